@@ -16,6 +16,7 @@ LIFESPAN = rf",[{WS}]*([0-9]{{1,4}})?\??[{WS}]*-[{WS}]*([0-9]{{1,4}})?\??[{WS}]*
 # First entry of a list separated by semicolons that is not blank.
 FIRST_ENTRY = rf"^(?:[{WS}]*;)*([^;]*)"
 NOT_WORD = r"[^\p{L}\p{N}_]"
+IN_WORD = r"[\p{L}\p{N}_]"
 
 
 def _year(entry: Column, group: int) -> Column:
@@ -52,7 +53,19 @@ def _escape(word: str) -> str:
 
 
 def keyword_pattern(keywords) -> str:
-    return f"(^|{NOT_WORD})(" + "|".join(_escape(k) for k in keywords) + ")"
+    """One alternation; a keyword follows a word boundary.
+
+    Before a word character the boundary is the start of the text or another
+    kind of character, before any other character it is a word character.
+    """
+    inner = [_escape(k) for k in keywords if re.match(r"\w", k)]
+    outer = [_escape(k) for k in keywords if not re.match(r"\w", k)]
+    parts = []
+    if inner:
+        parts.append(f"(^|{NOT_WORD})(" + "|".join(inner) + ")")
+    if outer:
+        parts.append(f"{IN_WORD}(" + "|".join(outer) + ")")
+    return "|".join(parts)
 
 
 def contains_keyword(text: Column, keywords) -> Column:

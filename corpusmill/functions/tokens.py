@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions.text import WS
 
 WORD = r"[\p{L}\p{M}\p{N}]+(?:['’-][\p{L}\p{M}\p{N}]+)*"
-SENTENCE_END = rf"[.!?…]+[»“”’)]*([{WS}]+|$)"
+SENTENCE_END = rf"[.!?…]+[»«“”’\")]*([{WS}]+|$)"
 CAPITALISED = r"\p{Lu}[\p{L}\p{M}'’-]*"
 
 
@@ -44,16 +44,17 @@ def array_median(values: Column) -> Column:
     return F.when(n > 0, (low + high) / F.lit(2.0))
 
 
-def standardised_ttr(lower_words: Column, window: int) -> Column:
+def standardised_ttr(lower_words: Column, window: int, strict: bool = False) -> Column:
     """Mean share of distinct words over complete windows.
 
-    Null when the text is shorter than one window.
+    Null when the text is shorter than one window, or an error if ``strict``.
     """
     n = F.floor(F.size(lower_words) / F.lit(window)).cast("int")
     starts = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
     total = F.aggregate(starts, F.lit(0), lambda acc, i: acc + F.size(
         F.array_distinct(F.slice(lower_words, i * window + 1, F.lit(window)))))
-    return F.when(n > 0, total / (n * F.lit(float(window))))
+    share = F.when(n > 0, total / (n * F.lit(float(window))))
+    return share.otherwise(F.raise_error(F.lit(f"text shorter than one window of {window} words"))) if strict else share
 
 
 def guarded_ratio(part: Column, whole: Column) -> Column:
@@ -77,7 +78,8 @@ def function_words(lower_words: Column, lang: Column, lexicon) -> Column:
     return hits
 
 
-def with_style(df: DataFrame, text: str, *, window: int, lexicon, lang: str = "lang") -> DataFrame:
+def with_style(df: DataFrame, text: str, *, window: int, lexicon, lang: str = "lang",
+               strict: bool = False) -> DataFrame:
     """Add ``n_words, median_sentence_length, sttr, function_word_ratio``.
 
     The word list and the sentence lengths are columns of their own first, so
@@ -88,7 +90,7 @@ def with_style(df: DataFrame, text: str, *, window: int, lexicon, lang: str = "l
     return out.withColumns({
         "n_words": F.size(w).cast("long"),
         "median_sentence_length": array_median(F.col(s)),
-        "sttr": standardised_ttr(F.col(w), window),
+        "sttr": standardised_ttr(F.col(w), window, strict),
         "function_word_ratio": guarded_ratio(function_words(F.col(w), F.col(lang), lexicon), F.size(w)),
     }).drop(w, s)
 

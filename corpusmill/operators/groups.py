@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.stats import chi_square_tail
-from corpusmill.operators.orderstats import long_form, quantiles, rank_sums, value_counts
+from corpusmill.operators.orderstats import long_form, quantiles, quantiles_of, rank_sums, value_counts
 from corpusmill.params import order_table
 
 
@@ -75,17 +75,28 @@ def box_stats(df: DataFrame, *, by: str, columns: list[str]) -> DataFrame:
     """``(grp, feature, q1, median, q3, whisker_low, whisker_high)``.
 
     The whiskers end at the last value within 1.5 quartile ranges of the box,
-    and at the box when there is none beyond it.
+    and at the box when there is none beyond it. The limits meet the ends of
+    the value buckets first; single values are looked at only in the buckets
+    that a limit cuts through.
     """
-    long = long_form(df, by, columns)
-    wide = quantiles(long, [0.25, 0.5, 0.75]).groupBy("feature", "grp").agg(
+    counts = value_counts(long_form(df, by, columns))
+    wide = quantiles_of(counts, [0.25, 0.5, 0.75]).groupBy("feature", "grp").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name)
           for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
+    limits = wide.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach})
+    keys = ["feature", "grp", "bucket"]
+    ends = (counts.groupBy(*keys).agg(F.min("value").alias("first"), F.max("value").alias("last"))
+            .join(limits, ["feature", "grp"]))
+    inside = ends.select("feature", "grp", F.when(F.col("first") >= F.col("low"), F.col("first")).alias("from"),
+                         F.when(F.col("last") <= F.col("high"), F.col("last")).alias("to"))
+    cut = ((F.col("first") < F.col("low")) & (F.col("last") >= F.col("low"))) | (
+        (F.col("first") <= F.col("high")) & (F.col("last") > F.col("high")))
     value = F.col("value")
-    ends = (value_counts(long).join(wide, ["feature", "grp"])
-            .groupBy("feature", "grp", "q1", "median", "q3")
-            .agg(F.min(F.when(value >= F.col("q1") - reach, value)).alias("low"),
-                 F.max(F.when(value <= F.col("q3") + reach, value)).alias("high")))
-    return ends.select("grp", "feature", "q1", "median", "q3",
-                       F.least("low", "q1").alias("whisker_low"), F.greatest("high", "q3").alias("whisker_high"))
+    near = counts.join(ends.where(cut).select(*keys, "low", "high"), keys).select(
+        "feature", "grp", F.when(value >= F.col("low"), value).alias("from"),
+        F.when(value <= F.col("high"), value).alias("to"))
+    reached = inside.unionByName(near).groupBy("feature", "grp").agg(F.min("from").alias("from"), F.max("to").alias("to"))
+    return wide.join(reached, ["feature", "grp"]).select(
+        "grp", "feature", "q1", "median", "q3",
+        F.least("from", "q1").alias("whisker_low"), F.greatest("to", "q3").alias("whisker_high"))

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.runtime import spread_small
+
 # Split points per feature. The broadcast side of the bucket join holds one
 # array of at most this many doubles for every feature column.
 SPLITS = 512
@@ -21,7 +23,8 @@ def long_form(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
     """``(feature, grp, value)``, one row per input row and column, no nulls."""
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
                       for c in columns])
-    return (df.select(F.col(by).alias("grp"), F.explode(cells).alias("__c"))
+    rows = spread_small(df.select(by, *columns))
+    return (rows.select(F.col(by).alias("grp"), F.explode(cells).alias("__c"))
             .select(F.col("__c.feature").alias("feature"), "grp", F.col("__c.value").alias("value"))
             .where(F.col("value").isNotNull() & F.col("grp").isNotNull()))
 
@@ -30,7 +33,9 @@ def value_counts(long: DataFrame, splits: int = SPLITS) -> DataFrame:
     """``(feature, grp, value, n, bucket)``: counts of distinct values."""
     counts = long.groupBy("feature", "grp", "value").agg(F.count("*").alias("n"))
     digest = F.xxhash64("value")
-    picks = (counts.groupBy("feature", F.pmod(digest, F.lit(splits)).alias("cell"))
+    # The filter keeps every row; it keeps the count column in this branch too,
+    # so that both branches share one shuffle of the counts.
+    picks = (counts.where(F.col("n") > 0).groupBy("feature", F.pmod(digest, F.lit(splits)).alias("cell"))
              .agg(F.min_by("value", digest).alias("pick"))
              .groupBy("feature").agg(F.sort_array(F.collect_set("pick")).alias("picks")))
     steps, step = [], 1 << (splits.bit_length() - 1)
@@ -88,12 +93,16 @@ def rank_sums(long: DataFrame) -> DataFrame:
 
 
 def quantiles(long: DataFrame, probs: list[float]) -> DataFrame:
-    """``(feature, grp, prob, value)``: exact quantiles, linear between ranks.
+    """``(feature, grp, prob, value)``: exact quantiles, linear between ranks."""
+    return quantiles_of(value_counts(long), probs)
+
+
+def quantiles_of(counts: DataFrame, probs: list[float]) -> DataFrame:
+    """The same from counted values.
 
     The totals of the buckets tell which bucket holds each wanted rank; only
     these buckets are ordered.
     """
-    counts = value_counts(long)
     keys = ["feature", "grp", "bucket"]
     whole = Window.partitionBy("feature", "grp")
     earlier = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

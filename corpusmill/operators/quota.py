@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.runtime import materialise
+
 
 def _numbered(df: DataFrame, keys: list[str], order: list[str], limit: int) -> DataFrame:
     place = Window.partitionBy(*keys).orderBy(*order)
@@ -34,10 +36,10 @@ def quota_select_general(rows: DataFrame, *, author: str, group: str, order: lis
     by round, the earliest place where another class fills up is found and the
     later rows of that class are dropped, since they no longer use up places of
     their authors. One row per round reaches the driver, and there are at most
-    as many rounds as classes. ``rows`` is read once per round, so it should be
-    a written table.
+    as many rounds as classes. Every round reads the rows that are left, so
+    these are written first.
     """
-    live = _numbered(rows, [author, group], order, per_author)
+    live = materialise(_numbered(rows, [author, group], order, per_author), "quota")
     place = F.struct(*order)
     full: list[str] = []
     while True:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import tokens as K
-from corpusmill.functions.text import WS, clean_text, paragraphs, strip_boilerplate
+from corpusmill.functions.text import clean_text, paragraphs, strip_boilerplate
 from corpusmill.operators.characters import character_counts, mention_counts
 from corpusmill.operators.ordering import block_rank, block_sum
 from corpusmill.params import lexicon_table
@@ -82,41 +82,53 @@ def mentions(tokens: DataFrame, label: str = "PER") -> DataFrame:
     return spans.select("doc_id", F.array_join(F.transform("parts", lambda p: p["token"]), " ").alias("name"))
 
 
-def character_density(tokens: DataFrame, titles, min_mentions: int) -> DataFrame:
+def _with_density(sizes: DataFrame, tokens: DataFrame, style) -> DataFrame:
+    people = character_counts(mention_counts(mentions(tokens), style.titles), style.min_mentions)
+    n = F.coalesce("characters", F.lit(0)).cast("double")
+    return sizes.join(people, "doc_id", "left").withColumn(
+        "character_density", F.try_divide(n, F.col("n_words").cast("double")) * 1000).drop("characters")
+
+
+def character_density(tokens: DataFrame, style) -> DataFrame:
     """``(doc_id, character_density)``: characters per 1000 words."""
-    people = character_counts(mention_counts(mentions(tokens), titles), min_mentions)
     sizes = word_tokens(tokens).groupBy("doc_id").agg(F.count("*").alias("n_words"))
-    n = F.coalesce("characters", F.lit(0))
-    return sizes.join(people, "doc_id", "left").select(
-        "doc_id", (F.try_divide(n.cast("double"), F.col("n_words").cast("double")) * 1000).alias("character_density"))
+    return _with_density(sizes, tokens, style).select("doc_id", "character_density")
 
 
 def token_features(tokens: DataFrame, style) -> DataFrame:
-    """The four measures of every text in a token table."""
-    ratio = function_word_ratio(tokens, style.pos).drop("n_words")
-    return (ratio.join(median_sentence_length(tokens), "doc_id")
-            .join(standardised_ttr(tokens, style.window), "doc_id", "left")
-            .join(character_density(tokens, style.titles, style.min_mentions), "doc_id")
+    """The four measures of every text in a token table.
+
+    Sentence lengths and tags come from one aggregation by sentence.
+    """
+    hit = F.count_if(F.col("upos").isin(list(style.pos)))
+    by_sentence = word_tokens(tokens).groupBy("doc_id", "sent_id").agg(F.count("*").alias("words"), hit.alias("hits"))
+    plain = by_sentence.groupBy("doc_id").agg(
+        F.sum("words").alias("n_words"), F.percentile("words", F.lit(0.5)).alias("median_sentence_length"),
+        (F.sum("hits") / F.sum("words")).alias("function_word_ratio"))
+    return (_with_density(plain.join(standardised_ttr(tokens, style.window), "doc_id"), tokens, style)
             .select("doc_id", "median_sentence_length", "sttr", "function_word_ratio", "character_density"))
 
 
-def gazetteer_mentions(texts: DataFrame, names: DataFrame, *, doc_id: str, text: str,
-                       longest: int = 3) -> DataFrame:
-    """``(doc_id, pos, name)``: runs of words that a name table lists.
+def gazetteer_mentions(texts: DataFrame, names: DataFrame, *, doc_id: str, text: str) -> DataFrame:
+    """``(doc_id, pos, name)``: runs of one to three words that a name table lists.
 
-    Runs of up to ``longest`` words are formed inside each text and meet the
-    lower-case names in an equality join. At one start the longest name counts,
-    and a name that starts inside another one does not.
+    Each word is paired with the next two inside its text. Words that begin no
+    name are dropped first; the runs that are left meet the lower-case names in
+    an equality join. At one start the longest name counts, and a name that
+    starts inside another one does not.
     """
+    listed = names.select(F.lower("name").alias("key")).distinct()
+    first = listed.select(F.substring_index("key", " ", 1).alias("first")).distinct()
     w = F.col("__words")
-    runs = F.flatten(F.transform(w, lambda _, i: F.transform(
-        F.sequence(F.lit(0), F.least(F.lit(longest - 1), F.size(w) - 1 - i)),
-        lambda extra: F.struct(i.cast("long").alias("pos"), extra.alias("extra"),
-                               F.array_join(F.slice(w, i + 1, extra + 1), " ").alias("text")))))
-    grams = (texts.withColumn("__words", K.words(F.col(text)))
-             .select(F.col(doc_id).alias("doc_id"), F.explode(runs).alias("r"))
-             .select("doc_id", "r.*").withColumn("key", F.lower("text")))
-    hits = (grams.join(names.select(F.lower("name").alias("key")).distinct(), "key", "left_semi")
+    near = F.transform(w, lambda one, i: F.struct(
+        i.cast("long").alias("pos"), one.alias("w1"), F.get(w, i + 1).alias("w2"), F.get(w, i + 2).alias("w3")))
+    starts = (texts.withColumn("__words", K.words(F.col(text)))
+              .select(F.col(doc_id).alias("doc_id"), F.explode(near).alias("r")).select("doc_id", "r.*")
+              .withColumn("first", F.lower("w1")).join(first, "first", "left_semi"))
+    runs = F.array(F.col("w1"), F.concat("w1", F.lit(" "), "w2"), F.concat("w1", F.lit(" "), "w2", F.lit(" "), "w3"))
+    grams = (starts.select("doc_id", "pos", F.posexplode(runs).alias("extra", "text"))
+             .where(F.col("text").isNotNull()).withColumn("key", F.lower("text")))
+    hits = (grams.join(listed, "key", "left_semi")
             .groupBy("doc_id", "pos").agg(F.max(F.struct("extra", "text")).alias("best")))
     inner = hits.where(F.col("best.extra") > 0).select(
         "doc_id", F.explode(F.sequence(F.col("pos") + 1, F.col("pos") + F.col("best.extra"))).alias("pos")).distinct()
@@ -129,7 +141,7 @@ def paragraph_table(books: DataFrame, *, doc_id: str, raw: str) -> DataFrame:
     clean = clean_text(strip_boilerplate(F.col(raw)))
     return (books.select(F.col(doc_id).alias("doc_id"), F.posexplode(paragraphs(clean)).alias("par", "text"))
             .where(F.col("text") != "")
-            .select("doc_id", F.col("par").cast("long").alias("par"), F.split("text", f"[{WS}]+").alias("words")))
+            .select("doc_id", F.col("par").cast("long").alias("par"), F.split("text", " ").alias("words")))
 
 
 def sample_paragraphs(pars: DataFrame, *, skip_fraction: float, sample_words: int) -> DataFrame:

@@ -18,7 +18,7 @@ from corpusmill.operators.characters import character_counts, mention_counts
 from corpusmill.operators.importance import permutation_importance
 from corpusmill.operators.tokens import gazetteer_mentions
 from corpusmill.params import Settings, lexicon
-from corpusmill.runtime import computed_once, materialise, spread_small
+from corpusmill.runtime import computed_once, materialise, scratch, spread_small
 from corpusmill.sources import tables as T
 from corpusmill.sources.catalog import read_catalog
 
@@ -32,7 +32,7 @@ def only_ids(texts: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
     A longer list leaves the texts as they are; the join that follows on the
     small results of the text work then does the selection.
     """
-    few = ids.select(id_col).limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
+    few = ids.count() <= MAX_BROADCAST_IDS
     return texts.join(F.broadcast(ids.select(id_col)), id_col, "left_semi") if few else texts
 
 
@@ -48,7 +48,7 @@ def build_candidates(spark: SparkSession, catalog_path: str, out: str, settings:
 def word_counts(texts: DataFrame, *, id_col: str = "id", raw: str = "raw") -> DataFrame:
     """``(id, n_words)`` of the cleaned texts; no text leaves its task."""
     clean = spread_small(texts).select(id_col, X.clean_text(X.strip_boilerplate(F.col(raw))).alias("clean"))
-    return computed_once(clean.select(id_col, X.count_words(F.col("clean")).alias("n_words")), "n_words")
+    return computed_once(clean.select(id_col, X.count_clean_words(F.col("clean")).alias("n_words")), "n_words")
 
 
 def select_corpus(candidates: DataFrame, counts: DataFrame, selection, *, general: bool = False) -> DataFrame:
@@ -57,7 +57,7 @@ def select_corpus(candidates: DataFrame, counts: DataFrame, selection, *, genera
     rule = dict(author="author", group="epoch", order=["shuffle_key", "id"],
                 per_author=selection.max_per_author, per_group=selection.max_per_epoch)
     if general:
-        return Q.quota_select_general(materialise(eligible, "eligible"), **rule)
+        return Q.quota_select_general(eligible, **rule)
     return Q.quota_select(eligible, **rule)
 
 
@@ -69,8 +69,9 @@ def build_corpus(candidates: DataFrame, texts: DataFrame, out: str, settings: Se
     counted first.
     """
     spark = candidates.sparkSession
-    counts = word_counts(only_ids(texts, candidates))
-    T.write_table(select_corpus(candidates, counts, settings.selection, general=general), out)
+    with scratch(spark):
+        counts = word_counts(only_ids(texts, candidates))
+        T.write_table(select_corpus(candidates, counts, settings.selection, general=general), out)
     return T.read_table(spark, out, T.CORPUS_SCHEMA)
 
 
@@ -85,14 +86,15 @@ def samples(texts: DataFrame, sampling, *, keep: list[str] = (), raw: str = "raw
 
 
 def style_features(passages: DataFrame, style, *, mentions: DataFrame | None = None,
-                   names: DataFrame | None = None) -> DataFrame:
+                   names: DataFrame | None = None, strict: bool = False) -> DataFrame:
     """``(id, four features)`` of ``(id, lang, sample)`` rows.
 
     Person mentions come from a given ``mentions`` table ``(doc_id, name)``,
     from a ``names`` list, or from titles in the text. Three measures are
-    narrow; only the few mentions are shuffled and joined back by id.
+    narrow; only the few mentions are shuffled and joined back by id. With
+    ``strict`` a passage shorter than one window is an error, not a null.
     """
-    measured = (K.with_style(passages, "sample", window=style.window, lexicon=lexicon(style.pos))
+    measured = (K.with_style(passages, "sample", window=style.window, lexicon=lexicon(style.pos), strict=strict)
                 .drop("sample", "lang"))
     if mentions is None and names is not None:
         mentions = gazetteer_mentions(passages, names, doc_id="id", text="sample")
@@ -132,10 +134,11 @@ def build_features(corpus: DataFrame, texts: DataFrame, out: str, settings: Sett
     todo = new_rows(corpus, done)
     if strict:
         assert_texts(todo, texts)
-    passages = materialise(samples(only_ids(texts, todo), settings.sampling, keep=["lang"]), "samples")
-    rows = style_features(passages, settings.style, mentions=mentions, names=names)
-    fresh = todo.select(*T.METADATA_COLUMNS).join(rows, "id")
-    T.write_table(fresh.select(*T.FEATURE_SCHEMA.fieldNames()), out, mode="append")
+    with scratch(spark):
+        passages = materialise(samples(only_ids(texts, todo), settings.sampling, keep=["lang"]), "samples")
+        rows = style_features(passages, settings.style, mentions=mentions, names=names)
+        fresh = todo.select(*T.METADATA_COLUMNS).join(rows, "id")
+        T.write_table(fresh.select(*T.FEATURE_SCHEMA.fieldNames()), out, mode="append")
     return T.read_table(spark, out, T.FEATURE_SCHEMA)
 
 
@@ -223,26 +226,25 @@ def summary_record(features: DataFrame, train: DataFrame, test: DataFrame, score
     return whole.crossJoin(sizes).crossJoin(numbers)
 
 
-def run_analysis(features: DataFrame, out: str, settings: Settings, **columns) -> dict[str, DataFrame]:
+def run_analysis(features: DataFrame, out: str, settings: Settings, **columns) -> None:
     """Group statistics and the experiment, written below ``out``."""
-    order = settings.epochs.order
-    label = columns.get("label", "epoch")
-    group = columns.get("group", "author")
+    order = list(columns.get("order") or settings.epochs.order)
+    label, group = columns.get("label", "epoch"), columns.get("group", "author")
     measured = list(columns.get("columns", T.FEATURE_COLUMNS))
-    results = {
-        "epoch_distribution": G.distribution(features, by=label, member=group, order=order),
-        "feature_summary": G.summary(features, by=label, columns=measured, order=order),
-        "kruskal_tests": G.kruskal(features, by=label, columns=measured, order=order),
-        "feature_boxes": G.box_stats(features, by=label, columns=measured),
-    }
-    results.update(run_experiment(features, settings, **columns))
-    model, best, record = results.pop("model"), results.pop("best"), results.pop("summary")
-    for name, table in results.items():
-        exact = name in ("kruskal_tests", "test_predictions", "misclassified")
-        T.write_table(table, f"{out}/{name}", fmt="csv", digits=None if exact else 4)
-    T.write_record(record, f"{out}/metrics")
-    if best == E.CENTROID:
-        T.write_table(model, f"{out}/best_model")
-    else:
-        M.save_model(model, f"{out}/best_model")
-    return {**results, "summary": record}
+    with scratch(features.sparkSession):
+        results = {
+            "epoch_distribution": G.distribution(features, by=label, member=group, order=order),
+            "feature_summary": G.summary(features, by=label, columns=measured, order=order),
+            "kruskal_tests": G.kruskal(features, by=label, columns=measured, order=order),
+            "feature_boxes": G.box_stats(features, by=label, columns=measured),
+        }
+        results.update(run_experiment(features, settings, **columns))
+        model, best, record = results.pop("model"), results.pop("best"), results.pop("summary")
+        for name, table in results.items():
+            exact = name in ("kruskal_tests", "test_predictions", "misclassified")
+            T.write_table(table, f"{out}/{name}", fmt="csv", digits=None if exact else 4)
+        T.write_record(record, f"{out}/metrics")
+        if best == E.CENTROID:
+            T.write_table(model, f"{out}/best_model")
+        else:
+            M.save_model(model, f"{out}/best_model")

@@ -8,7 +8,7 @@ statistics.
 
 from corpusmill.functions.catalog import LIFESPAN, NOT_WORD
 from corpusmill.functions.names import NAME_EDGE
-from corpusmill.functions.text import BRACKET_NOTE, NON_WS, WS
+from corpusmill.functions.text import BRACKET_NOTE, WS
 from corpusmill.functions.tokens import SENTENCE_END, WORD, cue_pattern
 from corpusmill.operators.evaluate import BASELINE, CENTROID, GROUPED, RANDOM, pred_column
 from corpusmill.params import PERSON_TITLES, lexicon
@@ -132,7 +132,7 @@ pars AS (SELECT id, lang, i, p FROM (
     FROM lines)) WHERE p <> ''),
 clean AS (SELECT b.id, b.lang, coalesce(string_agg(p, chr(10) || chr(10) ORDER BY i), '') AS clean
   FROM body b LEFT JOIN pars USING (id) GROUP BY b.id, b.lang),
-counts AS (SELECT id, CAST(len(regexp_extract_all(clean, {q(NON_WS)})) AS BIGINT) AS n_words FROM clean)"""
+counts AS (SELECT id, CAST(len(regexp_extract_all(clean, {q(f'[^{WS}]+')})) AS BIGINT) AS n_words FROM clean)"""
 _S = SETTINGS.sampling
 SAMPLE = f"""sized AS (SELECT id, lang, i, str_split(p, ' ') AS ws, len(str_split(p, ' ')) AS n FROM pars),
 before AS (SELECT *, sum(n) OVER (PARTITION BY id) AS total,
@@ -147,6 +147,7 @@ ORACLE["text_scan"] = with_(BOOKS, select="SELECT id, replace(raw, chr(13) || ch
 ORACLE["strip_boilerplate"] = with_(BOOKS, BODY, select="SELECT id, body FROM body")
 ORACLE["clean_text"] = with_(BOOKS, BODY, PARS, select="SELECT id, clean FROM clean")
 ORACLE["clean_words"] = with_(BOOKS, BODY, PARS, select="SELECT id, n_words FROM counts")
+ORACLE["raw_words"] = f"SELECT doc_id, CAST(len(regexp_extract_all(text, {q(f'[^{WS}]+')})) AS BIGINT) AS n_words FROM documents"
 ORACLE["min_length"] = with_(BOOKS, BODY, PARS, select=f"SELECT id, n_words FROM counts WHERE n_words >= {SEL.min_words}")
 ORACLE["extract_sample"] = with_(BOOKS, BODY, PARS, SAMPLE, select="SELECT id, sample FROM samples")
 ORACLE["sample_paragraphs"] = with_(BOOKS, BODY, PARS, SAMPLE, select="""
@@ -278,13 +279,20 @@ ORACLE["character_counts"] = with_(*PERSONS, select="SELECT * FROM cast_size")
 ORACLE["character_density"] = with_(*PERSONS, select=f"""
 SELECT doc_id, round(CASE WHEN n > 0 THEN coalesce(characters, 0) / CAST(n AS DOUBLE) * 1000 END, 6) AS character_density
 FROM (SELECT doc_id, len(regexp_extract_all(text, {q(WORD)})) AS n FROM documents) LEFT JOIN cast_size USING (doc_id)""")
+ORACLE["token_features"] = with_(
+    LEX, DOC_TOKENS, LENGTHS, MEDIAN, WINDOWS, STTR, RATIO,
+    "listed AS (SELECT d AS doc_id, pos, token AS name FROM tokens WHERE pos % 11 = 0)", person_ctes("listed"), select="""
+SELECT m.d AS doc_id, round(median_sentence_length, 9) AS median_sentence_length, round(sttr, 9) AS sttr,
+  round(function_word_ratio, 9) AS function_word_ratio,
+  round(coalesce(characters, 0) / CAST(n_words AS DOUBLE) * 1000, 9) AS character_density
+FROM medians m JOIN ttr t ON t.d = m.d JOIN ratio r ON r.d = m.d LEFT JOIN cast_size c ON c.doc_id = m.d""")
 FEATURE_CTES = (BOOKS, BODY, PARS.replace("parts AS", "parts0 AS"), SAMPLE.replace("parts", "cut"), LEX,
                 token_ctes("samples", "id", "sample"), LENGTHS, MEDIAN, WINDOWS, STTR, RATIO, NAMES,
                 gazetteer("samples", "id", "sample"),
                 "listed AS (SELECT d AS doc_id, pos, name FROM found)", person_ctes("listed"))
-FEATURE_COLS = """round(median_sentence_length, 6) AS median_sentence_length, round(sttr, 6) AS sttr,
-  round(function_word_ratio, 6) AS function_word_ratio,
-  round(coalesce(characters, 0) / CAST(n_words AS DOUBLE) * 1000, 6) AS character_density"""
+FEATURE_COLS = """round(median_sentence_length, 9) AS median_sentence_length, round(sttr, 9) AS sttr,
+  round(function_word_ratio, 9) AS function_word_ratio,
+  round(coalesce(characters, 0) / CAST(n_words AS DOUBLE) * 1000, 9) AS character_density"""
 FEATURE_JOIN = """samples s LEFT JOIN medians m ON m.d = s.id LEFT JOIN ttr t ON t.d = s.id
 LEFT JOIN ratio r ON r.d = s.id LEFT JOIN cast_size c ON c.doc_id = s.id"""
 ORACLE["feature_table"] = with_(*FEATURE_CTES, select=f"SELECT s.id, {FEATURE_COLS} FROM {FEATURE_JOIN}")
@@ -417,6 +425,8 @@ ORACLE["group_folds_orders"] = with_(group_folds("orders", "gf", 5, "o_custkey",
                                      select="SELECT g AS o_custkey, fold FROM gf")
 ORACLE["random_folds"] = with_(FIN, select=f"SELECT id, epoch, fold FROM ({random_folds('fin', 5)})")
 ORACLE["leak_check"] = with_(*SPLIT, select="SELECT author FROM train INTERSECT SELECT author FROM test")
+ORACLE["leaky_authors"] = with_(FIN, f"rf AS ({random_folds('fin', 5)})", select="""
+SELECT author FROM rf WHERE fold <> 0 INTERSECT SELECT author FROM rf WHERE fold = 0""")
 ORACLE["split_sizes"] = with_(*SPLIT, select=" UNION ALL ".join(
     f"SELECT '{part}' AS part, count(*) AS texts, count(DISTINCT author) AS authors FROM {src}"
     for part, src in (("all", "fin"), ("train", "train"), ("test", "test"))))

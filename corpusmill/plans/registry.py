@@ -243,6 +243,11 @@ def clean_words(spark, sf):
     return jobs.word_counts(books(spark, sf))
 
 
+@query
+def raw_words(spark, sf):
+    return spread_small(documents(spark, sf)).select("doc_id", X.count_words(F.col("text")).alias("n_words"))
+
+
 @query
 def min_length(spark, sf):
     return jobs.word_counts(books(spark, sf)).where(F.col("n_words") >= SEL.min_words)
@@ -284,7 +289,7 @@ def _quota_rows(spark, sf):
 
 @query
 def quota_select_general(spark, sf):
-    return Q.quota_select_general(materialise(_quota_rows(spark, sf)), author="author", group="epoch",
+    return Q.quota_select_general(_quota_rows(spark, sf), author="author", group="epoch",
                                   order=["shuffle_key", "id"], per_author=5, per_group=90)
 
 
@@ -344,6 +349,14 @@ def token_windows(spark, sf):
     return W.windows(_tokens(spark, sf), STYLE.window)
 
 
+@query
+def token_features(spark, sf):
+    """Every eleventh token as a person, so all four measures have input."""
+    rows = materialise(_tokens(spark, sf), "tokens").withColumns({
+        "ent_id": F.col("pos"), "ent_label": F.when(F.col("pos") % 11 == 0, "PER")})
+    return numbers(W.token_features(rows, STYLE), 9, *T.FEATURE_COLUMNS)
+
+
 @query
 def gazetteer_mentions(spark, sf):
     return W.gazetteer_mentions(spread_small(documents(spark, sf)), names(spark, sf), doc_id="doc_id", text="text")
@@ -401,7 +414,7 @@ def _features(spark, sf):
 
 @query
 def feature_table(spark, sf):
-    return numbers(_features(spark, sf), 6, *T.FEATURE_COLUMNS)
+    return numbers(_features(spark, sf), 9, *T.FEATURE_COLUMNS)
 
 
 @query
@@ -425,7 +438,7 @@ def incremental_features(spark, sf):
     known = table(spark, sf, "labels").select(F.col("doc_id").alias("id"))
     first = corpus.join(known, "id", "left_semi")
     jobs.build_features(first, texts, out, SETTINGS, names=names(spark, sf))
-    return numbers(jobs.build_features(corpus, texts, out, SETTINGS, names=names(spark, sf)), 6, *T.FEATURE_COLUMNS)
+    return numbers(jobs.build_features(corpus, texts, out, SETTINGS, names=names(spark, sf)), 9, *T.FEATURE_COLUMNS)
 
 
 @query
@@ -436,7 +449,7 @@ def streamed_features(spark, sf):
                                      "left_anti" if _ else "left_semi")
         part.write.mode("append").parquet(source)
         stream_features(spark, source, out, mark, SETTINGS, names=names(spark, sf)).awaitTermination()
-    return numbers(spark.read.parquet(out).drop("batch"), 6, *T.FEATURE_COLUMNS)
+    return numbers(spark.read.parquet(out).drop("batch"), 9, *T.FEATURE_COLUMNS)
 
 
 # Group statistics
@@ -513,6 +526,12 @@ def leak_check(spark, sf):
     return D.shared_groups(train, test, group="author")
 
 
+@query
+def leaky_authors(spark, sf):
+    rows = D.with_random_folds(features_in(spark, sf), id_col="id", label="epoch", folds=5, seed=EV.seed)
+    return D.shared_groups(rows.where(F.col("fold") != 0), rows.where(F.col("fold") == 0), group="author")
+
+
 @query
 def split_sizes(spark, sf):
     train, test = split(spark, sf)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 SMALL_INPUT_BYTES = 1 << 30
 
 _local_dirs: dict[str, str] = {}
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def session(app: str = "corpusmill", master: str | None = None, partitions: int | None = None,
@@ -57,14 +60,32 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
 
     Used where several branches read one expensive result. Unlike a cached
     table the written one survives the loss of executors, and unlike a plain
-    checkpoint it keeps column pruning and filter push-down.
+    checkpoint it keeps column pruning and filter push-down. Inside
+    ``scratch`` it is deleted at the end.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
+    kept = _scratch.get()
+    if kept is not None:
+        kept.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession):
+    """Delete the tables that were materialised inside, once results are written."""
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """The optimiser's estimate of the size of ``df``."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -10,6 +10,9 @@ CATALOG_COLUMNS = {
     "Subjects": "subjects", "LoCC": "locc", "Bookshelves": "bookshelves",
 }
 
+_FORMAT = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+           "ignoreTrailingWhiteSpace": False}
+
 
 def require_columns(df: DataFrame, wanted) -> DataFrame:
     """``df``, or an error that names the missing columns."""
@@ -25,8 +28,7 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     Cells may span lines and contain doubled quotes. Nothing is inferred, so
     the literal ``NA`` stays a text; columns are found by name.
     """
-    raw = (spark.read.option("header", True).option("inferSchema", False).option("multiLine", True)
-           .option("quote", '"').option("escape", '"').csv(path))
+    raw = spark.read.options(**_FORMAT, inferSchema=False, multiLine=True).csv(path)
     require_columns(raw, CATALOG_COLUMNS)
     return raw.select(*[raw[f"`{name}`"].alias(alias) for name, alias in CATALOG_COLUMNS.items()]).na.fill("")
 
@@ -34,4 +36,4 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
 def write_catalog(df: DataFrame, path: str) -> None:
     """The reverse of ``read_catalog``."""
     named = df.select(*[df[alias].alias(name) for name, alias in CATALOG_COLUMNS.items()])
-    named.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    named.write.options(**_FORMAT).csv(path)

@@ -19,7 +19,7 @@ def _unix_lines(raw: Column) -> Column:
 
 def read_text_files(spark: SparkSession, folder: str) -> DataFrame:
     """``(id, raw)`` from a folder of files ``<id>.txt``; others are left out."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(folder)
+    files = spark.read.option("pathGlobFilter", "*.txt").text(folder, wholetext=True)
     named = files.select(F.regexp_extract(F.col("_metadata.file_name"), FILE_ID, 1).alias("name"), "value")
     return named.where(F.col("name") != "").select(
         F.col("name").cast("long").alias("id"), _unix_lines(F.col("value")).alias("raw"))
