@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.params import Settings
-from corpusmill.plans.jobs import samples, style_features
-from corpusmill.runtime import materialise
+from corpusmill.plans.jobs import new_rows, samples, style_features
+from corpusmill.runtime import materialise, scratch
+from corpusmill.sources.tables import table_exists
 
 TEXT_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("lang", T.StringType()),
                             T.StructField("raw", T.StringType())])
@@ -18,13 +20,20 @@ def stream_features(spark: SparkSession, source: str, out: str, checkpoint: str,
     """Process every file that is new since the last run, then stop.
 
     Each batch writes its own folder ``batch=<n>`` and replaces it when the
-    batch is tried again after a failure, so no text appears twice.
+    batch is tried again after a failure; an id that an earlier batch has is
+    left out. So no text appears twice, given that a batch has an id once.
     """
-    arriving = (spark.readStream.schema(TEXT_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(source))
+    arriving = spark.readStream.schema(TEXT_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(source)
 
     def write(batch: DataFrame, number: int) -> None:
-        passages = materialise(samples(batch, settings.sampling, keep=["lang"]), "stream-samples")
-        style_features(passages, settings.style, names=names).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        with scratch(batch.sparkSession):
+            fresh = batch
+            if table_exists(spark, out):
+                done = spark.read.schema("id bigint, batch int").parquet(out).where(F.col("batch") != number)
+                fresh = new_rows(fresh, done)
+            passages = materialise(samples(fresh, settings.sampling, keep=["lang"]), "stream-samples")
+            rows = style_features(passages, settings.style, names=names)
+            rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return (arriving.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
