@@ -45,6 +45,10 @@ def collapse_ws(text: Column) -> Column:
     return F.btrim(F.regexp_replace(text, f"(?U){SPACE}+", " "))
 
 
+def _swap(text: Column, old: str, new: str) -> Column:
+    return F.replace(text, F.lit(old), F.lit(new))
+
+
 def strip_boilerplate(raw: Column) -> Column:
     """The text between the first start marker line and the first end marker.
 
@@ -67,15 +71,16 @@ def clean_text(text: Column) -> Column:
     marks go, wrapped lines are joined. A run of white space with at least two
     line feeds is a paragraph break, every other run is a blank.
     """
-    out = F.replace(text, F.lit("\r\n"), F.lit("\n"))
+    out = _swap(text, "\r\n", "\n")
     out = F.regexp_replace(out, BRACKET_NOTE, " ")
     out = F.regexp_replace(out, SEPARATOR_LINE, "")
-    out = F.translate(out, MARKUP_CHARS, "")
+    for char in MARKUP_CHARS:
+        out = _swap(out, char, "")
     out = F.regexp_replace(out, SPACE_IN_LINE, " ")
-    out = F.regexp_replace(out, r" ?\n[ \n]*\n ?", _MARK)
-    out = F.regexp_replace(out, r" ?\n ?", " ")
-    out = F.btrim(out, F.lit(" " + _MARK))
-    return F.replace(out, F.lit(_MARK), F.lit(BREAK))
+    # Blanks are single now, so these two leave none next to a line feed.
+    out = _swap(_swap(out, " \n", "\n"), "\n ", "\n")
+    out = _swap(F.regexp_replace(out, "\n\n+", _MARK), "\n", " ")
+    return _swap(F.btrim(out, F.lit(" " + _MARK)), _MARK, BREAK)
 
 
 def paragraphs(clean: Column) -> Column:
@@ -97,11 +102,11 @@ def count_clean_words(clean: Column) -> Column:
 
 def _spaced(clean: Column) -> Column:
     """One blank before every word but the first, breaks kept before it."""
-    return F.replace(clean, F.lit(BREAK), F.lit(BREAK + " "))
+    return _swap(clean, BREAK, BREAK + " ")
 
 
 def _blanks(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
+    return F.length(text) - F.length(_swap(text, " ", ""))
 
 
 def with_sample(df: DataFrame, clean: str, *, skip_fraction: float, sample_words: int,

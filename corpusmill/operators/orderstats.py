@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.runtime import spread_small
-
 # Split points per feature. The broadcast side of the bucket join holds one
 # array of at most this many doubles for every feature column.
 SPLITS = 512
@@ -23,8 +21,7 @@ def long_form(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
     """``(feature, grp, value)``, one row per input row and column, no nulls."""
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
                       for c in columns])
-    rows = spread_small(df.select(by, *columns))
-    return (rows.select(F.col(by).alias("grp"), F.explode(cells).alias("__c"))
+    return (df.select(F.col(by).alias("grp"), F.explode(cells).alias("__c"))
             .select(F.col("__c.feature").alias("feature"), "grp", F.col("__c.value").alias("value"))
             .where(F.col("value").isNotNull() & F.col("grp").isNotNull()))
 
@@ -38,16 +35,15 @@ def value_counts(long: DataFrame, splits: int = SPLITS) -> DataFrame:
     picks = (counts.where(F.col("n") > 0).groupBy("feature", F.pmod(digest, F.lit(splits)).alias("cell"))
              .agg(F.min_by("value", digest).alias("pick"))
              .groupBy("feature").agg(F.sort_array(F.collect_set("pick")).alias("picks")))
-    steps, step = [], 1 << (splits.bit_length() - 1)
+    out = counts.join(F.broadcast(picks), "feature").withColumn("bucket", F.lit(0))
+    # Binary search: the number of split points below the value. One projection
+    # per step keeps each of them a plain array access in generated code.
+    step = 1 << (splits.bit_length() - 1)
     while step:
-        steps.append(step)
+        below = F.get("picks", F.col("bucket") + (step - 1)) < F.col("value")
+        out = out.withColumn("bucket", F.col("bucket") + F.when(below, step).otherwise(0))
         step >>= 1
-    # Binary search: the number of split points below the value.
-    bucket = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]), F.lit(0),
-        lambda at, s: F.when(F.get("picks", at + s - 1) < F.col("value"), at + s).otherwise(at))
-    return (counts.join(F.broadcast(picks), "feature")
-            .select("feature", "grp", "value", "n", bucket.alias("bucket")))
+    return out.drop("picks")
 
 
 def _ranked_in_bucket(counts: DataFrame) -> DataFrame:

@@ -235,7 +235,8 @@ def run_analysis(features: DataFrame, out: str, settings: Settings, **columns) -
         results = {
             "epoch_distribution": G.distribution(features, by=label, member=group, order=order),
             "feature_summary": G.summary(features, by=label, columns=measured, order=order),
-            "kruskal_tests": G.kruskal(features, by=label, columns=measured, order=order),
+            "kruskal_tests": G.kruskal(features, by=label, columns=measured, order=order).withColumn(
+                "h", F.bround("h", 3)),
             "feature_boxes": G.box_stats(features, by=label, columns=measured),
         }
         results.update(run_experiment(features, settings, **columns))
