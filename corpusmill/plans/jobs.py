@@ -75,14 +75,17 @@ def build_corpus(candidates: DataFrame, texts: DataFrame, out: str, settings: Se
     return T.read_table(spark, out, T.CORPUS_SCHEMA)
 
 
-def samples(texts: DataFrame, sampling, *, keep: list[str] = (), raw: str = "raw") -> DataFrame:
+def samples(texts: DataFrame, sampling, *, keep: list[str] = (), raw: str = "raw",
+            short: bool = False) -> DataFrame:
     """``(id, .., sample)`` for every text long enough for a sample.
 
-    The raw text is cut down to the passage before anything else sees it.
+    The raw text is cut down to the passage before anything else sees it. With
+    ``short`` the other texts stay, with a null sample.
     """
     clean = spread_small(texts).select("id", *keep, X.clean_text(X.strip_boilerplate(F.col(raw))).alias("clean"))
     cut = X.with_sample(clean, "clean", skip_fraction=sampling.skip_fraction, sample_words=sampling.sample_words)
-    return computed_once(cut.select("id", *keep, "sample"), "sample").where(F.col("sample").isNotNull())
+    rows = computed_once(cut.select("id", *keep, "sample"), "sample")
+    return rows if short else rows.where(F.col("sample").isNotNull())
 
 
 def style_features(passages: DataFrame, style, *, mentions: DataFrame | None = None,
@@ -126,16 +129,17 @@ def build_features(corpus: DataFrame, texts: DataFrame, out: str, settings: Sett
     """Append the features of texts that the table at ``out`` does not have yet.
 
     A text without a sample leaves no row and is tried again on the next run.
-    The samples are written once, because the measures and the mentions both
-    read them.
+    The samples are written once, because the measures, the mentions and the
+    check for lost texts all read them; the texts themselves are read once.
     """
     spark = corpus.sparkSession
     done = T.read_table(spark, out, T.FEATURE_SCHEMA) if T.table_exists(spark, out) else None
     todo = new_rows(corpus, done)
-    if strict:
-        assert_texts(todo, texts)
     with scratch(spark):
-        passages = materialise(samples(only_ids(texts, todo), settings.sampling, keep=["lang"]), "samples")
+        cut = materialise(samples(only_ids(texts, todo), settings.sampling, keep=["lang"], short=True), "samples")
+        if strict:
+            assert_texts(todo, cut)
+        passages = cut.where(F.col("sample").isNotNull())
         rows = style_features(passages, settings.style, mentions=mentions, names=names)
         fresh = todo.select(*T.METADATA_COLUMNS).join(rows, "id")
         T.write_table(fresh.select(*T.FEATURE_SCHEMA.fieldNames()), out, mode="append")
