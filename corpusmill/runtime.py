@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -34,15 +35,15 @@ def session(app: str = "corpusmill", master: str | None = None, partitions: int
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
+    """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    A temporary folder is made only when the setting is absent and the session
-    is a local one, as in tests; a cluster has to name a shared folder.
+    Only a session whose driver is its one executor may leave it out, as tests
+    do; it then works in a folder of its own. Any other has to name it.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
