@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.llm.langid import identify
 from corpusmill.llm.neardup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +26,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def op8_near_duplicates(spark, sf):
     """Every document with its set size and component of near-duplicates."""
     return near_duplicates(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op4_language_id(spark, sf):
+    """The language of every document, learned from the labelled ones that are not held out."""
+    return identify(table(spark, sf, "documents"))
