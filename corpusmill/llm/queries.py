@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.langid import identify
 from corpusmill.llm.neardup import near_duplicates
+from corpusmill.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -32,3 +33,9 @@ def op8_near_duplicates(spark, sf):
 def op4_language_id(spark, sf):
     """The language of every document, learned from the labelled ones that are not held out."""
     return identify(table(spark, sf, "documents"))
+
+
+@query
+def op2_toxicity(spark, sf):
+    """A toxicity score for every document, learned from the labels that are not held out."""
+    return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
