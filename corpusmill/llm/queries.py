@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.llm import hmmlm
 from corpusmill.llm.langid import identify
 from corpusmill.llm.neardup import near_duplicates
 from corpusmill.llm.toxicity import toxicity
@@ -39,3 +40,9 @@ def op4_language_id(spark, sf):
 def op2_toxicity(spark, sf):
     """A toxicity score for every document, learned from the labels that are not held out."""
     return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op9_language_model(spark, sf):
+    """Unigram and hidden Markov scores of every document."""
+    return hmmlm.score(table(spark, sf, "documents"))
