@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import hmmlm
+from corpusmill.llm import decontaminate, hmmlm
 from corpusmill.llm.langid import identify
 from corpusmill.llm.neardup import near_duplicates
 from corpusmill.llm.toxicity import toxicity
@@ -46,3 +46,10 @@ def op2_toxicity(spark, sf):
 def op9_language_model(spark, sf):
     """Unigram and hidden Markov scores of every document."""
     return hmmlm.score(table(spark, sf, "documents"))
+
+
+@query
+def op10_decontamination(spark, sf):
+    """Hit words and items of every document against all benchmark items."""
+    found = decontaminate.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")

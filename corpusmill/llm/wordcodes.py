@@ -57,13 +57,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Words:
-    """``code`` per word; ``bounds[i]:bounds[i + 1]`` are the words of text i."""
+    """``code`` per word; ``bounds[i]:bounds[i + 1]`` are the words of text i, which begins at byte ``text_start[i]``."""
 
     data: np.ndarray
     start: np.ndarray
     end: np.ndarray
     code: np.ndarray
     bounds: np.ndarray
+    text_start: np.ndarray
 
     @property
     def counts(self) -> np.ndarray:
@@ -98,7 +99,7 @@ def words(column: pa.Array, inside: np.ndarray = UNSPACED) -> Words:
     after[at] = False
     end = np.flatnonzero(member & ~after[1:]) + 1
     bounds = np.searchsorted(start, at)
-    return Words(data, start, end, _codes(data, start, end), bounds)
+    return Words(data, start, end, _codes(data, start, end), bounds, at[:-1])
 
 
 def _codes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
