@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, hmmlm
+from corpusmill.llm import decontaminate, hmmlm, tokencounts
+from corpusmill.llm.fingerprint import fingerprints
 from corpusmill.llm.langid import identify
+from corpusmill.llm.mixing import mix
 from corpusmill.llm.neardup import near_duplicates
 from corpusmill.llm.toxicity import toxicity
 
@@ -53,3 +55,21 @@ def op10_decontamination(spark, sf):
     """Hit words and items of every document against all benchmark items."""
     found = decontaminate.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query
+def op7_fingerprints(spark, sf):
+    """Sketches of every document and its edited text, and how alike they are."""
+    return fingerprints(table(spark, sf, "documents"))
+
+
+@query
+def op1_token_counts(spark, sf):
+    """Histogram of the documents' token counts with suffix sums."""
+    return tokencounts.histogram(tokencounts.lengths(table(spark, sf, "documents").select("text")))
+
+
+@query
+def op3_mixing(spark, sf):
+    """Words that a weighted mix of the sources takes of every document."""
+    return mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
