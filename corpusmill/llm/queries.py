@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, hmmlm, tokencounts
+from corpusmill.llm import decontaminate, hmmlm, secrets, tokencounts
 from corpusmill.llm.fingerprint import fingerprints
 from corpusmill.llm.langid import identify
 from corpusmill.llm.mixing import mix
@@ -73,3 +73,9 @@ def op1_token_counts(spark, sf):
 def op3_mixing(spark, sf):
     """Words that a weighted mix of the sources takes of every document."""
     return mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op6_secrets(spark, sf):
+    """Spans of secrets in every document."""
+    return secrets.scan(table(spark, sf, "documents"))
