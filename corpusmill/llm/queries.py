@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, hmmlm, secrets, tokencounts
+from corpusmill.llm import decontaminate, hmmlm, licenses, secrets, tokencounts
 from corpusmill.llm.fingerprint import fingerprints
 from corpusmill.llm.langid import identify
 from corpusmill.llm.mixing import mix
@@ -79,3 +79,9 @@ def op3_mixing(spark, sf):
 def op6_secrets(spark, sf):
     """Spans of secrets in every document."""
     return secrets.scan(table(spark, sf, "documents"))
+
+
+@query
+def op5_licenses(spark, sf):
+    """Licence notices in every document."""
+    return licenses.scan(table(spark, sf, "documents"))
