@@ -9,9 +9,10 @@ from corpusmill.runtime import session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     s = session("tests", master="local[8]", partitions=4, **{
-        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
