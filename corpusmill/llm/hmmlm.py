@@ -45,7 +45,7 @@ class HmmLm:
     folds: int = 5
     seed: int = 3
     part_words: int = 1_000_000
-    merge_words: int = 1_000_000
+    merge_words: int = 250_000
 
 
 @dataclass(frozen=True)

@@ -16,9 +16,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: Bytes of text that are turned into words together.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _STEP = np.random.default_rng(20260101).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
