@@ -7,39 +7,48 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Terms of the series and of the continued fraction below; both are used only
-# where they reach double precision well before that.
+# For one degree of freedom the series below is used up to h = 1.5 and the
+# continued fraction beyond; there both reach double precision well before
+# this many terms, whatever the data.
 _TERMS = 400
 
 
-def chi_square_tail(x: Column, df: int) -> Column:
-    """Upper tail of the chi-square distribution, null for a null ``x``.
-
-    Even degrees of freedom have a finite sum. For odd ones the lower gamma
-    series serves small ``x`` and the continued fraction of the upper gamma
-    function large ``x``, so small p-values keep their digits.
-    """
-    if df < 1:
-        return F.lit(None).cast("double")
-    h = x / F.lit(2.0)
-    if df % 2 == 0:
-        terms, term = F.lit(1.0), F.lit(1.0)
-        for i in range(1, df // 2):
-            term = term * h / F.lit(float(i))
-            terms = terms + term
-        return F.exp(-h) * terms
-    a = df / 2
-    front = F.exp(-h + F.lit(a) * F.ln(h) - F.lit(math.lgamma(a)))
+def _one_degree(h: Column) -> Column:
+    """Upper tail for one degree of freedom at ``x = 2 h``."""
+    front = F.exp(-h + 0.5 * F.ln(h) - F.lit(math.lgamma(0.5)))
     steps = F.sequence(F.lit(1), F.lit(_TERMS))
     series = F.aggregate(
-        steps, F.struct(F.lit(1.0 / a).alias("t"), F.lit(1.0 / a).alias("s")),
-        lambda acc, i: F.struct((acc.t * h / (i + F.lit(a))).alias("t"),
-                                (acc.s + acc.t * h / (i + F.lit(a))).alias("s")),
+        steps, F.struct(F.lit(2.0).alias("t"), F.lit(2.0).alias("s")),
+        lambda acc, i: F.struct((acc.t * h / (i + F.lit(0.5))).alias("t"), (acc.s + acc.t * h / (i + F.lit(0.5))).alias("s")),
         lambda acc: acc.s)
     fraction = F.aggregate(
-        F.reverse(steps), h + F.lit(2.0 * _TERMS + 1 - a),
-        lambda acc, i: h + (i * 2 - 1) - F.lit(a) - i * (i - F.lit(a)) / acc)
-    return F.when(x <= 0, F.lit(1.0)).when(h < a + 1, F.lit(1.0) - front * series).otherwise(front / fraction)
+        F.reverse(steps), h + F.lit(2.0 * _TERMS + 0.5),
+        lambda acc, i: h + (i * 2 - 1) - F.lit(0.5) - i * (i - F.lit(0.5)) / acc)
+    return F.when(h <= 0, F.lit(1.0)).when(h < 1.5, F.lit(1.0) - front * series).otherwise(front / fraction)
+
+
+def chi_square_tail(x: Column, df: Column | int) -> Column:
+    """Upper tail of the chi-square distribution; null for a null ``x`` or without a degree of freedom.
+
+    A finite sum, for odd degrees on top of the tail for one degree. Terms are
+    kept as logarithms, so thousands of degrees neither overflow nor lose the
+    digits of small tails, and the plan has the same size for any number.
+    """
+    df = df if isinstance(df, Column) else F.lit(df)
+    h, odd = x / F.lit(2.0), df % 2 == 1
+    half = F.when(odd, 0.5).otherwise(0.0)
+    # Terms h ** (j - half) / Gamma(j + 1 - half) for j from 0 (even) or 1 (odd), from the first on by recurrence.
+    first = F.when(odd, 0.5 * F.ln(h) - F.lit(math.lgamma(1.5))).otherwise(0.0)
+    count = F.floor(df / 2).cast("int")
+    total = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
+        F.struct(first.alias("t"), F.lit(0.0).alias("s")),
+        lambda acc, j: F.struct((acc.t + F.ln(h) - F.ln(j + half)).alias("t"), (acc.s + F.exp(acc.t - h)).alias("s")),
+        lambda acc: acc.s)
+    total = F.when(count > 0, total).otherwise(0.0)
+    tail = F.when(odd, _one_degree(h) + total).otherwise(total)
+    return F.when(df < 1, F.lit(None).cast("double")).when(x <= 0, F.lit(1.0)).when(
+        tail > 1, F.lit(1.0)).otherwise(tail)
 
 
 def tidy(value: Column, digits: int) -> Column:

@@ -13,6 +13,14 @@ from corpusmill.functions.text import WS
 
 WORD = r"[\p{L}\p{M}\p{N}]+(?:['’-][\p{L}\p{M}\p{N}]+)*"
 SENTENCE_END = rf"[.!?…]+[»«“”’\")]*([{WS}]+|$)"
+# Abbreviations, in any case, whose dot ends no sentence.
+ABBREVIATIONS = ["hr", "hrn", "fr", "frl", "dr", "prof", "st", "mr", "mrs", "ms", "mme", "mlle", "sr", "sra"]
+# A dot after one of these, an initial or a small ordinal number stays inside the sentence.
+INNER_DOT = (r"(^|[^\p{L}\p{M}\p{N}])((?:" + "|".join(f"[{a[0].upper()}{a[0]}]{a[1:]}" for a in ABBREVIATIONS)
+             + r")|\p{Lu}|[0-9]{1,2})\.")
+NO_END = "\ue000"  # stands for such a dot while sentences are cut
+SENTENCE_BREAK = "\x1e"
+BLANK_LINE = rf"\n[{WS}]*\n"
 CAPITALISED = r"\p{Lu}[\p{L}\p{M}'’-]*"
 
 
@@ -21,16 +29,23 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
+def _parts(text: Column) -> Column:
+    """The text cut at closing marks and blank lines; a single line break does not end a sentence."""
+    for _ in range(2):  # of two initials in a row the second starts where the first has ended
+        text = F.regexp_replace(text, INNER_DOT, f"$1$2{NO_END}")
+    text = F.regexp_replace(text, BLANK_LINE, SENTENCE_BREAK)
+    parts = F.split(F.regexp_replace(text, SENTENCE_END, SENTENCE_BREAK), f"{SENTENCE_BREAK}+")
+    return F.transform(parts, lambda s: F.replace(s, F.lit(NO_END), F.lit(".")))
+
+
 def sentences(text: Column) -> Column:
     """The sentences of a text that contain a word."""
-    lines = F.split(F.regexp_replace(text, SENTENCE_END, "\n"), "\n+")
-    return F.filter(lines, lambda s: s.rlike(WORD))
+    return F.filter(_parts(text), lambda s: s.rlike(WORD))
 
 
 def sentence_lengths(text: Column) -> Column:
     """Words per sentence, sentences without a word left out."""
-    lines = F.split(F.regexp_replace(text, SENTENCE_END, "\n"), "\n+")
-    return F.filter(F.transform(lines, lambda s: F.regexp_count(s, F.lit(WORD))), lambda n: n > 0)
+    return F.filter(F.transform(_parts(text), lambda s: F.regexp_count(s, F.lit(WORD))), lambda n: n > 0)
 
 
 def array_median(values: Column) -> Column:

@@ -38,20 +38,22 @@ def without_keywords(selection) -> Column:
     return ~C.contains_keyword(searchable(), list(selection.keywords))
 
 
-def keyword_hits(df: DataFrame, keywords: DataFrame, *, id_col: str, text: Column,
-                 max_length: int) -> DataFrame:
+def keyword_hits(df: DataFrame, keywords: DataFrame, *, id_col: str, text: Column) -> DataFrame:
     """Ids of rows where a word starts with a keyword of a large table.
 
     Each word start contributes its prefixes, one for every keyword length,
     and the prefixes meet the keywords in an equality join; the plan picks the
-    join by size. ``max_length`` is the longest keyword in the table.
+    join by size. A keyword that begins with another kind of character has to
+    follow a word, as in ``functions.catalog``. Lengths come from the table.
     """
-    starts = rf"(?<![\p{{L}}\p{{N}}_])(?=([\p{{L}}\p{{N}}_][\s\S]{{0,{max_length - 1}}}))"
+    longest = keywords.agg(F.coalesce(F.max(F.length("keyword")), F.lit(1))).first()[0]
+    rest = rf"[\s\S]{{0,{max(1, longest) - 1}}}"
+    starts = [rf"(?<!{C.IN_WORD})(?=({C.IN_WORD}{rest}))", rf"(?<={C.IN_WORD})(?=({C.NOT_WORD}{rest}))"]
     lengths = keywords.select(F.length("keyword").alias("size")).distinct().agg(
         F.collect_set("size").alias("sizes"))
-    tails = df.select(id_col, F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(text), F.lit(starts), F.lit(1)))).alias("tail"))
-    # At most max_length different sizes, whatever the table holds.
+    tails = df.select(id_col, F.explode(F.array_distinct(F.concat(*[F.regexp_extract_all(
+        F.lower(text), F.lit(s), F.lit(1)) for s in starts]))).alias("tail"))
+    # As many different sizes as the longest keyword has letters, at most.
     prefixes = (tails.crossJoin(F.broadcast(lengths)).select(id_col, "tail", F.explode("sizes").alias("size"))
                 .where(F.length("tail") >= F.col("size"))
                 .select(id_col, F.substr("tail", F.lit(1), F.col("size")).alias("keyword")))
@@ -107,15 +109,16 @@ def candidates(catalog: DataFrame, selection, epochs, pos: str | None = None) ->
 
 def filter_funnel(catalog: DataFrame, selection, epochs) -> DataFrame:
     """``(ord, step, rows)``: rows that survive each step, from one pass."""
-    person = C.first_author(F.col("authors"))
-    rows = null_to_empty(catalog).select(
-        is_prose_type(selection).alias("c1"), in_class(selection).alias("c2"), not_translated().alias("c3"),
-        without_keywords(selection).alias("c4"),
-        C.epoch_label(person["death_year"], epochs).isNotNull().alias("c5"),
-        person["name"].alias("author"), C.title_key(C.title_text(F.col("title"))).alias("title_key"))
-    conditions = [F.lit(True)]
-    for name in ("c1", "c2", "c3", "c4", "c5"):
-        conditions.append(conditions[-1] & F.col(name))
+    # A row that a step drops is not looked at by the later, dearer ones.
+    rows = null_to_empty(catalog).withColumn("c1", is_prose_type(selection))
+    steps_ = [in_class(selection), not_translated(), without_keywords(selection)]
+    for i, condition in enumerate(steps_, 2):
+        rows = rows.withColumn(f"c{i}", F.when(F.col(f"c{i - 1}"), condition).otherwise(False))
+    rows = rows.withColumn("person", F.when(F.col("c4"), C.first_author(F.col("authors"))))
+    rows = rows.withColumn("c5", C.epoch_label(F.col("person.death_year"), epochs).isNotNull())
+    rows = rows.select("c1", "c2", "c3", "c4", "c5", F.col("person.name").alias("author"),
+                       F.when(F.col("c5"), C.title_key(C.title_text(F.col("title")))).alias("title_key"))
+    conditions = [F.lit(True), *[F.col(f"c{i}") for i in range(1, 6)]]
     last = conditions[-1]
     counted = rows.agg(
         *[F.count_if(c).alias(f"n{i}") for i, c in enumerate(conditions)],

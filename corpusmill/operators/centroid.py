@@ -1,42 +1,31 @@
 """Majority baseline and nearest centroid, fitted from group statistics.
 
 One pass over the rows yields count, mean and sum of squared deviations per
-class, and per fold when there are folds. A model is one row of arrays computed
-from these few numbers. The training part of a fold is the other folds'
-statistics put together, so cross-validation reads the rows once instead of
-once per fold.
+class and column, and per fold when there are folds, as rows. Models are put
+together from these few numbers. The training part of a fold is the other
+folds' statistics put together, so cross-validation reads the rows once instead
+of once per fold. A missing value is left out of its column's statistics; a row
+with a missing value has no nearest class.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.vectors import euclidean, pack, standardise
+from corpusmill.runtime import materialise
 
-# A model holds an entry per class; a column with more values is not a class.
-MAX_CLASSES = 10_000
-# Above this many columns one vector aggregate replaces two per column.
-MAX_COLUMN_AGGREGATES = 16
+# A model of up to this many numbers (8 bytes each) is sent to every task.
+BROADCAST_NUMBERS = 16_000_000
 
 
 def class_stats(df: DataFrame, *, label: str, columns: list[str], by: list[str] = ()) -> DataFrame:
-    """``(by.., label, n, mean, m2)`` with arrays over the columns."""
-    groups = df.groupBy(*by, F.col(label).alias("label"))
-    if len(columns) > MAX_COLUMN_AGGREGATES:
-        rows = df.select(*by, F.col(label).alias("label"), array_to_vector(pack(columns)).alias("__v"))
-        s = rows.groupBy(*by, "label").agg(Summarizer.metrics("count", "mean", "variance").summary(F.col("__v")).alias("s"))
-        return s.select(*by, "label", F.col("s.count").alias("n"), vector_to_array("s.mean").alias("mean"),
-                        F.transform(vector_to_array("s.variance"), lambda v: v * (F.col("s.count") - 1)).alias("m2"))
-    aggs = [F.count("*").alias("n")]
-    for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
-        aggs += [F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
-    wide, each = groups.agg(*aggs), range(len(columns))
-    return wide.select(*by, "label", "n", F.array(*[F.col(f"m{i}") for i in each]).alias("mean"),
-                       F.array(*[F.col(f"v{i}") * F.col("n") for i in each]).alias("m2"))
+    """``(by.., label, dim, n, c, mean, m2)``: rows, values, their mean and squared deviations."""
+    cells = df.select(*by, F.col(label).alias("label"), F.posexplode(pack(columns)).alias("dim", "x"))
+    return cells.groupBy(*by, "label", "dim").agg(
+        F.count("*").alias("n"), F.count("x").alias("c"), F.coalesce(F.avg("x"), F.lit(0.0)).alias("mean"),
+        F.coalesce(F.var_pop("x") * F.count("x"), F.lit(0.0)).alias("m2"))
 
 
 def held_out(stats: DataFrame, fold: str, folds: int) -> DataFrame:
@@ -45,41 +34,44 @@ def held_out(stats: DataFrame, fold: str, folds: int) -> DataFrame:
     return stats.withColumnRenamed(fold, "part").withColumn(fold, F.explode(others))
 
 
-def _add(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda p, q: p + q)
+def model_rows(stats: DataFrame, by: list[str] = ()) -> DataFrame:
+    """``(by.., label, dim, n, mean, scale, centroid)``: one row per class and column.
+
+    Mean and scale are those of all rows (population standard deviation, 1 for
+    a constant column); a class mean is standardised with them, which equals
+    the mean of the standardised rows. A class may come in several parts.
+    """
+    by = list(by)
+    column = Window.partitionBy(*by, "dim")
+    mean = F.try_divide(F.sum(F.col("c") * F.col("mean")).over(column), F.sum("c").over(column))
+    parts = stats.withColumn("__mean", mean)
+    gap = F.col("mean") - F.col("__mean")
+    square = F.try_divide(F.sum(F.col("m2") + F.col("c") * gap * gap).over(column), F.sum("c").over(column))
+    parts = parts.withColumn("__scale", F.when(square > 0, F.sqrt(square)).otherwise(1.0))
+    rows = parts.groupBy(*by, "label", "dim").agg(
+        F.sum("n").alias("n"), F.max("__mean").alias("mean"), F.max("__scale").alias("scale"),
+        F.try_divide(F.sum(F.col("c") * F.col("mean")), F.sum("c")).alias("__own"))
+    return rows.select(*by, "label", "dim", "n", "mean", "scale",
+                       ((F.col("__own") - F.col("mean")) / F.col("scale")).alias("centroid"))
 
 
 def model_row(stats: DataFrame, by: list[str] = ()) -> DataFrame:
-    """``(by.., mean, scale, classes)``: one row per key.
+    """``(by.., mean, scale, classes)``: one written row per key, to put next to rows.
 
-    ``classes`` is an array of ``(label, n, centroid)`` in label order. Mean
-    and scale are those of all rows (population standard deviation, 1 for a
-    constant column); a class mean is standardised with them, which equals the
-    mean of the standardised rows. A class may come in several parts.
+    ``classes`` is an array of ``(label, n, centroid)`` in label order. It is
+    put together from ``model_rows`` class by class, so its work grows with
+    classes times columns. Without rows there is no model.
     """
-    extra = ["part"] if "part" in stats.columns else []
-    listed = F.sort_array(F.collect_list(F.struct("label", *extra, "n", "mean", "m2")))
-    one = stats.groupBy(*by).agg(listed.alias("parts"))
-    names = F.array_distinct(F.transform("parts", lambda p: p["label"]))
-    one = one.withColumn("labels", F.when(F.size(names) <= MAX_CLASSES, names).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_CLASSES} classes"))))
-
-    count = lambda parts: F.aggregate(parts, F.lit(0).cast("long"), lambda a, p: a + p["n"])
-    zeros = F.transform(F.col("parts")[0]["mean"], lambda _: F.lit(0.0))
-    total = lambda parts: F.aggregate(parts, zeros, lambda a, p: _add(a, F.transform(p["mean"], lambda m: m * p["n"])))
-    one = one.withColumns({"size": count(F.col("parts")), "total": total(F.col("parts"))})
-    one = one.withColumn("mean", F.transform("total", lambda t: t / F.col("size")))
-    gap = lambda p: F.zip_with(p["mean"], F.col("mean"), lambda m, c: (m - c) * (m - c) * p["n"])
-    squares = F.aggregate("parts", zeros, lambda a, p: _add(a, _add(p["m2"], gap(p))))
-    one = one.withColumn("sd", F.transform(squares, lambda s: F.sqrt(s / F.col("size"))))
-    one = one.withColumn("scale", F.transform("sd", lambda s: F.when(s == 0, F.lit(1.0)).otherwise(s)))
-
-    own = lambda name: F.filter("parts", lambda p: p["label"] == name)
-    one = one.withColumn("sums", F.transform("labels", lambda name: F.struct(
-        name.alias("label"), count(own(name)).alias("n"), total(own(name)).alias("total"))))
-    classes = F.transform("sums", lambda s: F.struct(s["label"].alias("label"), s["n"].alias("n"), standardise(
-        F.transform(s["total"], lambda t: t / s["n"]), F.col("mean"), F.col("scale")).alias("centroid")))
-    return one.select(*by, "mean", "scale", classes.alias("classes"))
+    by = list(by)
+    listed = lambda *cols: F.sort_array(F.collect_list(F.struct("dim", *cols)))
+    per_class = model_rows(stats, by).groupBy(*by, "label").agg(
+        F.max("n").alias("n"), listed("centroid", "mean", "scale").alias("v"))
+    one = per_class.groupBy(*by).agg(
+        F.any_value(F.transform("v", lambda v: v["mean"])).alias("mean"),
+        F.any_value(F.transform("v", lambda v: v["scale"])).alias("scale"),
+        F.sort_array(F.collect_list(F.struct("label", "n", F.transform("v", lambda v: v["centroid"]).alias("centroid"))))
+        .alias("classes"))
+    return materialise(one.where(F.size("classes") > 0), "model")
 
 
 def fit(df: DataFrame, *, label: str, columns: list[str]) -> DataFrame:
@@ -96,12 +88,11 @@ def model_table(model: DataFrame) -> DataFrame:
 
 
 def _joined(df: DataFrame, model: DataFrame, by: list[str]) -> DataFrame:
-    """Rows next to their model.
-
-    A model is one row of classes times columns numbers, the classes being
-    checked, and there is one per key, so it can be sent to every task.
-    """
-    small = F.broadcast(model.withColumnsRenamed({"mean": "__mean", "scale": "__scale", "classes": "__classes"}))
+    """Rows next to their model; it is sent to every task up to a size, and met by a plain join beyond."""
+    small = model.withColumnsRenamed({"mean": "__mean", "scale": "__scale", "classes": "__classes"})
+    numbers = model.agg(F.coalesce(F.sum(F.size("classes").cast("long") * F.size("mean")), F.lit(0))).first()[0]
+    if numbers <= BROADCAST_NUMBERS:
+        small = F.broadcast(small)
     return df.join(small, by) if by else df.crossJoin(small)
 
 
@@ -122,9 +113,14 @@ def with_distances(df: DataFrame, model: DataFrame, *, columns: list[str], by: l
 
 
 def predict(df: DataFrame, model: DataFrame, *, columns: list[str], by: list[str] = (), out: str = "pred") -> DataFrame:
-    """Add the label of the nearest centroid, the first by name on a tie."""
+    """Add the label of the nearest centroid, the first by name on a tie; null where a value is missing."""
     near = with_distances(df, model, columns=columns, by=by, out="__d")
-    return near.withColumn(out, F.array_min("__d")["label"]).drop("__d")
+    return near.withColumn(out, _nearest(F.col("__d"))).drop("__d")
+
+
+def _nearest(distances: Column) -> Column:
+    """The label at the least distance. A class without a value in some column has no distance."""
+    return F.array_min(F.filter(distances, lambda d: d["dist"].isNotNull()))["label"]
 
 
 def _most_frequent() -> Column:
@@ -142,6 +138,6 @@ def predict_both(df: DataFrame, model: DataFrame, *, columns: list[str], by: lis
     """Add the labels of the baseline and of the nearest centroid in one go."""
     rows = _joined(df, model, list(by)).withColumn(
         "__z", standardise(pack(columns), F.col("__mean"), F.col("__scale")))
-    near = F.array_min(F.transform("__classes", lambda c: F.struct(
-        euclidean(F.col("__z"), c["centroid"]).alias("dist"), c["label"].alias("label"))))["label"]
+    near = _nearest(F.transform("__classes", lambda c: F.struct(
+        euclidean(F.col("__z"), c["centroid"]).alias("dist"), c["label"].alias("label"))))
     return rows.withColumns({baseline: _most_frequent(), nearest: near}).select(*df.columns, baseline, nearest)

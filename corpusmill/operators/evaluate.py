@@ -151,4 +151,5 @@ def best_model(cv: DataFrame) -> DataFrame:
 
 
 def misclassified(predictions: DataFrame, *, truth: str, pred: str) -> DataFrame:
-    return predictions.where(F.col(truth) != F.col(pred))
+    """Rows whose prediction is not the truth; a missing prediction is wrong too."""
+    return predictions.where(~F.col(truth).eqNullSafe(F.col(pred)))

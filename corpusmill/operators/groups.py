@@ -49,13 +49,14 @@ def summary(df: DataFrame, *, by: str, columns: list[str], order: list[str] | No
             .select("ord", "grp", "feature", "n", "mean", "sd", "median").orderBy("ord", "feature"))
 
 
-def kruskal(df: DataFrame, *, by: str, columns: list[str], order: list[str]) -> DataFrame:
-    """``(feature, n, h, p_value)``: rank test over the classes of ``order``.
+def kruskal(df: DataFrame, *, by: str, columns: list[str], order: list[str] | None = None) -> DataFrame:
+    """``(feature, n, h, p_value)``: rank test over the classes of ``order``, or over all.
 
     Corrected for ties; null when all values of a feature are equal. The
-    degrees of freedom follow from the classes that have rows.
+    degrees of freedom follow from the classes that have rows; the plan does
+    not depend on their number.
     """
-    rows = df.where(F.col(by).isin(list(order)))
+    rows = df.where(F.col(by).isNotNull() if order is None else F.col(by).isin(list(order)))
     per_class = rank_sums(long_form(rows, by, columns))
     n = F.col("n").cast("double")
     total = per_class.groupBy("feature").agg(
@@ -65,10 +66,7 @@ def kruskal(df: DataFrame, *, by: str, columns: list[str], order: list[str]) ->
     raw = F.lit(12.0) / (n * (n + 1)) * F.col("squares") - 3 * (n + 1)
     fair = 1 - F.col("ties") / (n * n * n - n)
     scored = total.withColumn("h", F.when((F.col("n") > 1) & (fair > 0), F.try_divide(raw, fair)))
-    p = F.lit(None).cast("double")
-    for k in range(2, len(order) + 1):
-        p = F.when(F.col("classes") == k, chi_square_tail(F.col("h"), k - 1)).otherwise(p)
-    return scored.select("feature", "n", "h", p.alias("p_value"))
+    return scored.select("feature", "n", "h", chi_square_tail(F.col("h"), F.col("classes") - 1).alias("p_value"))
 
 
 def box_stats(df: DataFrame, *, by: str, columns: list[str]) -> DataFrame:

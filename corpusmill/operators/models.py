@@ -4,22 +4,26 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.operators.evaluate import FOREST, LOGISTIC, cv_scores, pair_counts, scores, with_cv_folds
+from corpusmill.runtime import materialise
 
 _PREFIX = "__z_"
-ROWS_PER_TASK = 50_000
+# Tasks of a fit. Sums and the forest's row samples follow the layout of the
+# rows, so it is fixed here and not taken from wherever the rows come from.
+FIT_TASKS = 8
 
 
-def few_partitions(df: DataFrame, rows: int) -> DataFrame:
-    """Merge the partitions of a small table, since each step of a fit is a job."""
-    return df.coalesce(max(1, min(df.rdd.getNumPartitions(), rows // ROWS_PER_TASK)))
+def laid_out(df: DataFrame, columns: list[str], tasks: int = FIT_TASKS) -> DataFrame:
+    """The same rows dealt out and sorted by their own values: equal for any former partitioning."""
+    key = F.xxhash64(*columns)
+    return df.repartition(tasks, key).sortWithinPartitions(key, *columns)
 
 
 def _scaler(df: DataFrame, columns: list[str]) -> tuple[SQLTransformer, int]:
@@ -35,8 +39,9 @@ def _scaler(df: DataFrame, columns: list[str]) -> tuple[SQLTransformer, int]:
     return SQLTransformer(statement=f"SELECT *, {cols} FROM __THIS__"), stats["n"]
 
 
-def _train(train: DataFrame, label: str, before: list, learner) -> PipelineModel:
+def _train(train: DataFrame, label: str, columns: list[str], before: list, learner, tasks: int) -> PipelineModel:
     """Fit ``learner`` on indexed labels; the result needs no label column."""
+    train = laid_out(train.select(label, *columns), [*columns, label], tasks)
     indexer = StringIndexer(inputCol=label, outputCol="__y", stringOrderType="alphabetAsc").fit(train)
     rows = indexer.transform(train)
     for stage in before:
@@ -50,7 +55,7 @@ _COLUMNS = dict(featuresCol="__x", labelCol="__y", predictionCol="__p", probabil
 
 
 def fit_logistic(train: DataFrame, *, label: str, columns: list[str], max_iter: int = 1000,
-                 c: float = 1.0) -> PipelineModel:
+                 c: float = 1.0, tasks: int = FIT_TASKS) -> PipelineModel:
     """Multinomial regression on z-scores with an L2 penalty.
 
     The penalty of the whole likelihood is ``1 / (2 c)``; Spark averages the
@@ -60,15 +65,16 @@ def fit_logistic(train: DataFrame, *, label: str, columns: list[str], max_iter:
     assembler = VectorAssembler(inputCols=[_PREFIX + col for col in columns], outputCol="__x")
     learner = LogisticRegression(**_COLUMNS, family="multinomial", regParam=1.0 / (c * n), elasticNetParam=0.0,
                                  maxIter=max_iter, tol=1e-8, standardization=False)
-    return _train(train, label, [scaler, assembler], learner)
+    return _train(train, label, list(columns), [scaler, assembler], learner, tasks)
 
 
 def fit_forest(train: DataFrame, *, label: str, columns: list[str], seed: int, trees: int = 300,
-               min_leaf: int = 2) -> PipelineModel:
+               min_leaf: int = 2, tasks: int = FIT_TASKS) -> PipelineModel:
+    """A forest that depends on the rows, the seed and ``tasks`` alone."""
     assembler = VectorAssembler(inputCols=list(columns), outputCol="__x")
     learner = RandomForestClassifier(**_COLUMNS, numTrees=trees, minInstancesPerNode=min_leaf, maxDepth=30,
                                      featureSubsetStrategy="sqrt", seed=seed)
-    return _train(train, label, [assembler], learner)
+    return _train(train, label, list(columns), [assembler], learner, tasks)
 
 
 def apply_model(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -93,6 +99,24 @@ def coefficients(model: PipelineModel, columns: list[str], order: list[str]) ->
     return SparkSession.active().createDataFrame(rows, "ord int, label string, feature string, coefficient double")
 
 
+def logistic_gradient(model: PipelineModel, train: DataFrame, *, label: str, columns: list[str],
+                      c: float = 1.0) -> DataFrame:
+    """``(label, feature, slope)``: the objective's slope in every coefficient at the fitted model.
+
+    Rows times (probability - truth) times the standardised value, plus the
+    penalty's part; all but 0 where the fit has converged.
+    """
+    labels = model.stages[-1].getLabels()
+    weights = model.stages[-2].coefficientMatrix.toArray()
+    scored = model.transform(train).withColumn("__p", vector_to_array("__prob")).withColumn("__v", vector_to_array("__x"))
+    cells = [(i, j) for i in range(len(labels)) for j in range(len(columns))]
+    sums = scored.agg(*[F.sum((F.col("__p")[i] - (F.col(label) == labels[i]).cast("double")) * F.col("__v")[j])
+                        .alias(f"s{i}_{j}") for i, j in cells])
+    rows = F.array(*[F.struct(F.lit(labels[i]).alias("label"), F.lit(columns[j]).alias("feature"),
+                              (F.col(f"s{i}_{j}") + F.lit(float(weights[i][j]) / c)).alias("slope")) for i, j in cells])
+    return sums.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def cross_validate(train: DataFrame, fits: dict, *, id_col: str, group: str, label: str, folds: int, seed: int,
                    grouped: bool, split: str, parallel: int = 8) -> DataFrame:
     """Cross-validated scores of models that take a fit per fold.
@@ -102,8 +126,8 @@ def cross_validate(train: DataFrame, fits: dict, *, id_col: str, group: str, lab
     returns its counts of truth and prediction, at most classes squared.
     """
     spark = train.sparkSession
-    marked = with_cv_folds(train, id_col=id_col, group=group, label=label, folds=folds, seed=seed,
-                           grouped=grouped).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = materialise(with_cv_folds(train, id_col=id_col, group=group, label=label, folds=folds, seed=seed,
+                                     grouped=grouped), "folds")
 
     def one(job):
         name, fold = job
@@ -111,12 +135,8 @@ def cross_validate(train: DataFrame, fits: dict, *, id_col: str, group: str, lab
         preds = apply_model(model, rows.where(F.col("fold") == fold))
         return [(name, fold, r["truth"], r["pred"], r["n"]) for r in pair_counts(preds, truth=label).collect()]
 
-    try:
-        rows = few_partitions(marked, marked.count())
-        with ThreadPoolExecutor(parallel) as pool:
-            found = [row for rows in pool.map(one, [(n, f) for n in fits for f in range(folds)]) for row in rows]
-    finally:
-        marked.unpersist()
+    with ThreadPoolExecutor(parallel) as pool:
+        found = [row for some in pool.map(one, [(n, f) for n in fits for f in range(folds)]) for row in some]
     pairs = spark.createDataFrame(found, "model string, fold int, truth string, pred string, n bigint")
     return cv_scores(scores(pairs, ["model", "fold"]), split)
 

@@ -21,12 +21,20 @@ def order_key(*parts: Column | int | str) -> Column:
     return F.md5(F.concat_ws(":", *[c.cast("string") for c in cols]))
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which a null key meets the null key, so no row is lost."""
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
+    return left.join(renamed, same).drop(*[f"__r_{k}" for k in keys])
+
+
 def with_rank(df: DataFrame, *, key: str, ties: list[str], by: list[str] = (), leading: list[str] = (),
               out: str = "rank", prefix: int = PREFIX) -> DataFrame:
     """Exact 1-based ``row_number`` within ``by``, ordered by leading, key, ties.
 
     ``leading`` are ascending columns with few values; ``key`` is a hash in
-    hexadecimal. Grouping columns must not be null.
+    hexadecimal. Rows with a null grouping column are a group of their own.
+    ``prefix`` digits make ``16 ** prefix`` cells per group.
     """
     by, leading, ties = list(by), list(leading), list(ties)
     cell, before, local = "__cell", "__before", "__local"
@@ -36,7 +44,7 @@ def with_rank(df: DataFrame, *, key: str, ties: list[str], by: list[str] = (), l
     cells = (rows.groupBy(*group).agg(F.count("*").alias("__n"))
              .select(*group, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(before)))
     placed = rows.withColumn(local, F.row_number().over(Window.partitionBy(*group).orderBy(key, *ties)))
-    return (placed.join(cells, group)
+    return (join_on(placed, cells, group)
             .withColumn(out, F.col(before) + F.col(local))
             .select(*df.columns, out))
 
@@ -58,7 +66,7 @@ def block_rank(df: DataFrame, *, by: str, pos: str, out: str, block: int = 4096)
     cells = (rows.groupBy(by, cell).agg(F.count("*").alias("__n"))
              .select(by, cell, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(before)))
     placed = rows.withColumn(local, F.row_number().over(Window.partitionBy(by, cell).orderBy(pos)))
-    return (placed.join(cells, [by, cell]).withColumn(out, F.col(before) + F.col(local))
+    return (join_on(placed, cells, [by, cell]).withColumn(out, F.col(before) + F.col(local))
             .select(*df.columns, out))
 
 
@@ -71,5 +79,5 @@ def block_sum(df: DataFrame, *, by: str, pos: str, amount: str, out: str, block:
              .select(by, cell, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(before)))
     inside = Window.partitionBy(by, cell).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn(local, F.coalesce(F.sum(amount).over(inside), F.lit(0)))
-    return (placed.join(cells, [by, cell]).withColumn(out, F.col(before) + F.col(local))
+    return (join_on(placed, cells, [by, cell]).withColumn(out, F.col(before) + F.col(local))
             .select(*df.columns, out))

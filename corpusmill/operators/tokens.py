@@ -6,7 +6,7 @@ ent_id, ent_label``; ``pos`` orders the tokens of a text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import tokens as K
@@ -17,9 +17,10 @@ from corpusmill.params import lexicon_table
 
 
 def token_table(texts: DataFrame, *, doc_id: str, text: str, lang: str) -> DataFrame:
-    """One row per word: ``doc_id, pos, sent_id, token, lower, is_word, upos``.
+    """One row per word: ``doc_id, pos, word_pos, sent_id, token, lower, is_word, upos``.
 
     The tag is that of the closed-class lexicon and null for other words.
+    Every token is a word here, so its place among the words is known.
     """
     nested = F.transform(K.sentences(F.col(text)), lambda s, i: F.transform(
         K.words(s), lambda w: F.struct(i.alias("sent_id"), w.alias("token"))))
@@ -27,10 +28,11 @@ def token_table(texts: DataFrame, *, doc_id: str, text: str, lang: str) -> DataF
                          F.posexplode(F.flatten(nested)).alias("pos", "t"))
             .select("doc_id", "lang", F.col("pos").cast("long").alias("pos"), F.col("t.sent_id").alias("sent_id"),
                     F.col("t.token").alias("token"), F.lower("t.token").alias("lower")))
-    # A fixed list of fewer than 200 rows.
+    # A fixed list of some hundred rows.
     tags = F.broadcast(lexicon_table(texts.sparkSession).withColumnRenamed("word", "lower"))
     return (rows.join(tags, ["lang", "lower"], "left")
-            .select("doc_id", "pos", "sent_id", "token", "lower", F.lit(True).alias("is_word"), "upos"))
+            .select("doc_id", "pos", F.col("pos").alias("word_pos"), "sent_id", "token", "lower",
+                    F.lit(True).alias("is_word"), "upos"))
 
 
 def word_tokens(tokens: DataFrame) -> DataFrame:
@@ -55,11 +57,20 @@ def median_sentence_length(tokens: DataFrame) -> DataFrame:
 
 
 def windows(tokens: DataFrame, window: int) -> DataFrame:
-    """``(doc_id, win, types, size)``: consecutive windows of word tokens."""
-    numbered = block_rank(word_tokens(tokens).select("doc_id", "pos", F.lower("token").alias("lower")),
-                          by="doc_id", pos="pos", out="__rank")
-    return (numbered.withColumn("win", F.floor((F.col("__rank") - 1) / window).cast("long"))
-            .groupBy("doc_id", "win").agg(F.count_distinct("lower").alias("types"), F.count("*").alias("size")))
+    """``(doc_id, win, types, size)``: consecutive windows of word tokens.
+
+    A table from elsewhere, without the column ``word_pos``, is ranked first.
+    """
+    rows = word_tokens(tokens)
+    if "word_pos" in tokens.columns:
+        rows = rows.select("doc_id", "word_pos", F.lower("token").alias("lower"))
+    else:
+        rows = block_rank(rows.select("doc_id", "pos", F.lower("token").alias("lower")), by="doc_id", pos="pos",
+                          out="__rank").withColumn("word_pos", F.col("__rank") - 1)
+    # Per window and word first, which is done before the shuffle in part; then both sizes are sums.
+    kinds = rows.groupBy("doc_id", F.floor(F.col("word_pos") / window).cast("long").alias("win"), "lower").agg(
+        F.count("*").alias("n"))
+    return kinds.groupBy("doc_id", "win").agg(F.count("*").alias("types"), F.sum("n").alias("size"))
 
 
 def standardised_ttr(tokens: DataFrame, window: int) -> DataFrame:
@@ -110,29 +121,30 @@ def token_features(tokens: DataFrame, style) -> DataFrame:
 
 
 def gazetteer_mentions(texts: DataFrame, names: DataFrame, *, doc_id: str, text: str) -> DataFrame:
-    """``(doc_id, pos, name)``: runs of one to three words that a name table lists.
+    """``(doc_id, pos, name)``: runs of words that a name table lists, of any length.
 
-    Each word is paired with the next two inside its text. Words that begin no
-    name are dropped first; the runs that are left meet the lower-case names in
-    an equality join. At one start the longest name counts, and a name that
-    starts inside another one does not.
+    Words that begin no name are dropped first; each other one is tried with
+    the lengths of the names that begin with it, and the runs meet the
+    lower-case names in an equality join. At one start the longest name counts,
+    and a name that starts inside another one does not. Texts are read and
+    split once. A null text has no mentions, a null name lists nothing.
     """
-    listed = names.select(F.lower("name").alias("key")).distinct()
-    first = listed.select(F.substring_index("key", " ", 1).alias("first")).distinct()
+    listed = names.select(F.array_join(K.words(F.lower("name")), " ").alias("key")).where("key <> ''").distinct()
+    sizes = listed.select(F.substring_index("key", " ", 1).alias("first"), F.size(F.split("key", " ")).alias("size"))
+    by_first = sizes.groupBy("first").agg(F.collect_set("size").alias("sizes"))
+    longest = F.broadcast(sizes.agg(F.coalesce(F.max("size"), F.lit(1)).alias("__longest")))  # one row
     w = F.col("__words")
     near = F.transform(w, lambda one, i: F.struct(
-        i.cast("long").alias("pos"), one.alias("w1"), F.get(w, i + 1).alias("w2"), F.get(w, i + 2).alias("w3")))
-    starts = (texts.withColumn("__words", K.words(F.col(text)))
-              .select(F.col(doc_id).alias("doc_id"), F.explode(near).alias("r")).select("doc_id", "r.*")
-              .withColumn("first", F.lower("w1")).join(first, "first", "left_semi"))
-    runs = F.array(F.col("w1"), F.concat("w1", F.lit(" "), "w2"), F.concat("w1", F.lit(" "), "w2", F.lit(" "), "w3"))
-    grams = (starts.select("doc_id", "pos", F.posexplode(runs).alias("extra", "text"))
-             .where(F.col("text").isNotNull()).withColumn("key", F.lower("text")))
-    hits = (grams.join(listed, "key", "left_semi")
-            .groupBy("doc_id", "pos").agg(F.max(F.struct("extra", "text")).alias("best")))
-    inner = hits.where(F.col("best.extra") > 0).select(
-        "doc_id", F.explode(F.sequence(F.col("pos") + 1, F.col("pos") + F.col("best.extra"))).alias("pos")).distinct()
-    return (hits.join(inner, ["doc_id", "pos"], "left_anti")
+        i.cast("long").alias("pos"), F.lower(one).alias("first"), F.slice(w, i + 1, F.col("__longest")).alias("run")))
+    starts = (texts.select(F.col(doc_id).alias("doc_id"), K.words(F.col(text)).alias("__words")).crossJoin(longest)
+              .select("doc_id", F.explode(near).alias("r")).select("doc_id", "r.*").join(by_first, "first"))
+    runs = starts.select("doc_id", "pos", "run", F.explode("sizes").alias("size")).where(F.size("run") >= F.col("size"))
+    grams = runs.select("doc_id", "pos", "size", F.array_join(F.slice("run", F.lit(1), F.col("size")), " ").alias("text"))
+    hits = (grams.withColumn("key", F.lower("text")).join(listed, "key", "left_semi")
+            .groupBy("doc_id", "pos").agg(F.max(F.struct("size", "text")).alias("best")))
+    earlier = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.max(F.col("pos") + F.col("best.size") - 1).over(earlier)
+    return (hits.withColumn("reach", reach).where(F.col("reach").isNull() | (F.col("reach") < F.col("pos")))
             .select("doc_id", "pos", F.col("best.text").alias("name")))
 
 

@@ -32,22 +32,22 @@ FUNCTION_POS = ["DET", "ADP", "CCONJ", "SCONJ"]
 
 # Closed-class words by language and tag, one string per list.
 FUNCTION_WORDS = {
-    ("de", "DET"): "der die das den dem des ein eine einen einem einer eines kein keine",
-    ("de", "ADP"): "in an auf aus bei mit nach von zu vor über unter durch für gegen ohne um im am zum zur",
-    ("de", "CCONJ"): "und oder aber denn sondern",
-    ("de", "SCONJ"): "dass daß weil wenn als ob obwohl nachdem bevor",
-    ("en", "DET"): "the a an this that these those each every no some any",
-    ("en", "ADP"): "of in on at by for with from into over under through between to about",
-    ("en", "CCONJ"): "and or but nor",
-    ("en", "SCONJ"): "because if while although since unless whether",
-    ("fr", "DET"): "le la les un une des du ce cette ces",
-    ("fr", "ADP"): "de à dans par pour sur avec sans sous chez entre",
+    ("de", "DET"): "der die das den dem des ein eine einen einem einer eines kein keine keinen keinem keiner keines dieser diese dieses diesen diesem jeder jede jedes jeden jedem jener jene jenes jenen jenem welcher welche welches mein meine meinen meinem meiner dein deine sein seine seinen seinem seiner ihr ihre ihren ihrem ihrer unser unsere euer eure alle einige manche",
+    ("de", "ADP"): "in an auf aus bei mit nach von zu vor über unter durch für gegen ohne um im am zum zur vom beim ins ans aufs seit wegen während neben hinter bis zwischen außer statt trotz gegenüber innerhalb außerhalb",
+    ("de", "CCONJ"): "und oder aber denn sondern sowie weder noch",
+    ("de", "SCONJ"): "dass daß weil wenn als ob obwohl nachdem bevor da damit indem sobald solange obgleich falls sodass ehe",
+    ("en", "DET"): "the a an this that these those each every no some any my your his her its our their which what all both another",
+    ("en", "ADP"): "of in on at by for with from into over under through between to about before after against during without within among upon toward towards behind beside near since until across along around",
+    ("en", "CCONJ"): "and or but nor yet",
+    ("en", "SCONJ"): "because if while although unless whether than as though lest once",
+    ("fr", "DET"): "le la les un une des du ce cet cette ces mon ma mes ton ta tes son sa ses notre nos votre vos leur leurs chaque quelque quelques aucun aucune",
+    ("fr", "ADP"): "de à dans par pour sur avec sans sous chez entre vers avant après depuis pendant contre en au aux malgré parmi",
     ("fr", "CCONJ"): "et ou mais ni car",
-    ("fr", "SCONJ"): "que si quand lorsque puisque",
-    ("es", "DET"): "el la los las un una unos unas este esta",
-    ("es", "ADP"): "de en a por para con sin sobre entre desde",
-    ("es", "CCONJ"): "y e o pero ni",
-    ("es", "SCONJ"): "que si cuando porque aunque",
+    ("fr", "SCONJ"): "que si quand lorsque puisque comme quoique",
+    ("es", "DET"): "el la los las un una unos unas este esta estos estas ese esa esos esas aquel aquella mi tu su mis tus sus cada algún alguna ningún ninguna",
+    ("es", "ADP"): "de en a por para con sin sobre entre desde hasta hacia ante bajo contra según durante tras al del",
+    ("es", "CCONJ"): "y e o u pero ni sino",
+    ("es", "SCONJ"): "que si cuando porque aunque como mientras pues",
 }
 
 
@@ -139,10 +139,6 @@ def keyword_table(spark: SparkSession, keywords) -> DataFrame:
     return spark.createDataFrame([(k,) for k in keywords], "keyword string")
 
 
-def title_table(spark: SparkSession, titles) -> DataFrame:
-    return spark.createDataFrame([(t,) for t in titles], "title string")
-
-
 def lexicon(pos=tuple(FUNCTION_POS)) -> list[tuple[str, str, str]]:
     """``(lang, word, upos)`` for the wanted tags."""
     return [(lang, word, tag) for (lang, tag), words in FUNCTION_WORDS.items() if tag in pos

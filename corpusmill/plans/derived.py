@@ -48,27 +48,20 @@ FROM (SELECT doc_id, lang,
       FROM {documents}) d
 """
 
-MENTIONS = """
-SELECT doc_id, i AS pos,
-       CASE CAST((doc_id * 7 + i * i) % 11 AS INT)
-         WHEN 0 THEN 'Effi' WHEN 1 THEN 'Effis' WHEN 2 THEN 'Effi Briest' WHEN 3 THEN 'Herr von Innstetten,'
-         WHEN 4 THEN 'Frau Briest' WHEN 5 THEN 'Fabian' WHEN 6 THEN 'Fabians' WHEN 7 THEN 'Herr'
-         WHEN 8 THEN 'S' WHEN 9 THEN 'Roswitha' ELSE '(Effi Innstetten)' END AS name
-FROM {documents} CROSS JOIN (VALUES (0),(1),(2),(3),(4),(5),(6),(7),(8),(9),(10),(11)) AS n(i)
+# Every sentence of a text introduces its first word as a person.
+CUED = """
+SELECT doc_id, 'Frau ' || replace(text, '. ', '. Frau ') AS text FROM {documents}
 """
 
-# One spelling per engine: arrays start at 0 in Spark and at 1 in DuckDB.
-FEATURES_SPARK = """
+# Four measures that take in every entry of a vector: means of sixteen each.
+# Sums of sixteen single-precision numbers are exact in double precision, so
+# their order does not matter. One spelling per engine.
+_HEAD = """
 SELECT vec_id AS id, 'A' || CAST(label AS STRING) || '_' || CAST(vec_id % 6 AS STRING) AS author,
-       'E' || CAST(label % 3 AS STRING) AS epoch,
-       CAST(embedding[0] AS DOUBLE) AS f1, CAST(embedding[1] AS DOUBLE) AS f2,
-       CAST(embedding[2] AS DOUBLE) AS f3, CAST(embedding[3] AS DOUBLE) AS f4
-FROM {embeddings}
-"""
-FEATURES_DUCKDB = """
-SELECT vec_id AS id, 'A' || CAST(label AS STRING) || '_' || CAST(vec_id % 6 AS STRING) AS author,
-       'E' || CAST(label % 3 AS STRING) AS epoch,
-       CAST(embedding[1] AS DOUBLE) AS f1, CAST(embedding[2] AS DOUBLE) AS f2,
-       CAST(embedding[3] AS DOUBLE) AS f3, CAST(embedding[4] AS DOUBLE) AS f4
-FROM embeddings
-"""
+       'E' || CAST(label % 3 AS STRING) AS epoch, """
+FEATURES_SPARK = _HEAD + ", ".join(
+    f"aggregate(slice(embedding, {16 * i + 1}, 16), CAST(0 AS DOUBLE), (a, x) -> a + CAST(x AS DOUBLE)) / 16 AS f{i + 1}"
+    for i in range(4)) + " FROM {embeddings}"
+FEATURES_DUCKDB = _HEAD + ", ".join(
+    f"list_sum(list_transform(embedding[{16 * i + 1}:{16 * i + 16}], lambda x: CAST(x AS DOUBLE))) / 16 AS f{i + 1}"
+    for i in range(4)) + " FROM embeddings"

@@ -18,22 +18,13 @@ from corpusmill.operators.characters import character_counts, mention_counts
 from corpusmill.operators.importance import permutation_importance
 from corpusmill.operators.tokens import gazetteer_mentions
 from corpusmill.params import Settings, lexicon
-from corpusmill.runtime import computed_once, materialise, scratch, spread_small
+from corpusmill.runtime import computed_once, materialise, scratch, spread
 from corpusmill.sources import tables as T
 from corpusmill.sources.catalog import read_catalog
 
-# A list of ids up to this long (8 bytes each) is sent to all tasks.
-MAX_BROADCAST_IDS = 5_000_000
-
-
 def only_ids(texts: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
-    """The texts with a listed id, without moving text when the list is short.
-
-    A longer list leaves the texts as they are; the join that follows on the
-    small results of the text work then does the selection.
-    """
-    few = ids.count() <= MAX_BROADCAST_IDS
-    return texts.join(F.broadcast(ids.select(id_col)), id_col, "left_semi") if few else texts
+    """The texts with a listed id; how they meet is left to the optimiser."""
+    return texts.join(ids.select(id_col), id_col, "left_semi")
 
 
 def build_candidates(spark: SparkSession, catalog_path: str, out: str, settings: Settings) -> DataFrame:
@@ -47,7 +38,7 @@ def build_candidates(spark: SparkSession, catalog_path: str, out: str, settings:
 
 def word_counts(texts: DataFrame, *, id_col: str = "id", raw: str = "raw") -> DataFrame:
     """``(id, n_words)`` of the cleaned texts; no text leaves its task."""
-    clean = spread_small(texts).select(id_col, X.clean_text(X.strip_boilerplate(F.col(raw))).alias("clean"))
+    clean = spread(texts).select(id_col, X.clean_text(X.strip_boilerplate(F.col(raw))).alias("clean"))
     return computed_once(clean.select(id_col, X.count_clean_words(F.col("clean")).alias("n_words")), "n_words")
 
 
@@ -82,7 +73,7 @@ def samples(texts: DataFrame, sampling, *, keep: list[str] = (), raw: str = "raw
     The raw text is cut down to the passage before anything else sees it. With
     ``short`` the other texts stay, with a null sample.
     """
-    clean = spread_small(texts).select("id", *keep, X.clean_text(X.strip_boilerplate(F.col(raw))).alias("clean"))
+    clean = spread(texts).select("id", *keep, X.clean_text(X.strip_boilerplate(F.col(raw))).alias("clean"))
     cut = X.with_sample(clean, "clean", skip_fraction=sampling.skip_fraction, sample_words=sampling.sample_words)
     rows = computed_once(cut.select("id", *keep, "sample"), "sample")
     return rows if short else rows.where(F.col("sample").isNotNull())
@@ -129,6 +120,8 @@ def build_features(corpus: DataFrame, texts: DataFrame, out: str, settings: Sett
     """Append the features of texts that the table at ``out`` does not have yet.
 
     A text without a sample leaves no row and is tried again on the next run.
+    With ``strict`` a text that has not landed, or a sample shorter than one
+    window, is an error.
     The samples are written once, because the measures, the mentions and the
     check for lost texts all read them; the texts themselves are read once.
     """
@@ -140,7 +133,7 @@ def build_features(corpus: DataFrame, texts: DataFrame, out: str, settings: Sett
         if strict:
             assert_texts(todo, cut)
         passages = cut.where(F.col("sample").isNotNull())
-        rows = style_features(passages, settings.style, mentions=mentions, names=names)
+        rows = style_features(passages, settings.style, mentions=mentions, names=names, strict=strict)
         fresh = todo.select(*T.METADATA_COLUMNS).join(rows, "id")
         T.write_table(fresh.select(*T.FEATURE_SCHEMA.fieldNames()), out, mode="append")
     return T.read_table(spark, out, T.FEATURE_SCHEMA)

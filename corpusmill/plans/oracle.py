@@ -9,11 +9,12 @@ statistics.
 from corpusmill.functions.catalog import LIFESPAN, NOT_WORD
 from corpusmill.functions.names import NAME_EDGE
 from corpusmill.functions.text import BRACKET_NOTE, WS
-from corpusmill.functions.tokens import SENTENCE_END, WORD, cue_pattern
+from corpusmill.functions.tokens import BLANK_LINE, INNER_DOT, NO_END, SENTENCE_BREAK, SENTENCE_END, WORD, cue_pattern
 from corpusmill.operators.evaluate import BASELINE, CENTROID, GROUPED, RANDOM, pred_column
 from corpusmill.params import PERSON_TITLES, lexicon
 from corpusmill.plans import derived
-from corpusmill.plans.registry import CLASSES, EPOCHS, EV, FEATURES, FLAGS, MEASURES, SEL, SETTINGS, STYLE
+from corpusmill.plans.registry import (CLASSES, EPOCHS, EV, FEATURES, FLAGS, LONG_KEYWORDS, MEASURES, NAME_PATTERNS,
+                                       SEL, SETTINGS, STYLE)
 
 ORACLE: dict[str, str] = {}
 
@@ -42,7 +43,6 @@ cat AS (SELECT CAST(text_no AS BIGINT) AS id, coalesce(type, '') AS type, coales
   coalesce(title, '') AS title, coalesce(authors, '') AS authors, coalesce(subjects, '') AS subjects,
   coalesce(locc, '') AS locc, coalesce(bookshelves, '') AS bookshelves FROM catalog)"""
 BOOKS = f"books AS ({derived.BOOKS.format(documents=DOCS)})"
-MENTIONS = f"mentions AS ({derived.MENTIONS.format(documents=DOCS)})"
 
 # Catalog
 
@@ -53,6 +53,11 @@ C_WORDS = "(" + " AND ".join(
     f"NOT regexp_matches(lower(title || ' ' || subjects || ' ' || bookshelves), {q(f'(^|{NOT_WORD})' + k)})"
     for k in SEL.keywords) + ")"
 
+IN_WORD = r"[\p{L}\p{N}_]"
+C_LONG = "(" + " AND ".join(
+    f"NOT regexp_matches(lower(title || ' ' || subjects || ' ' || bookshelves), "
+    f"{q((f'(^|{NOT_WORD})' if k[0].isalnum() else IN_WORD) + k)})" for k in LONG_KEYWORDS) + ")"
+
 # Every author entry as a row; pos counts the entries that are not blank.
 PEOPLE = f"""entries AS (
   SELECT id, i, e FROM (SELECT id, unnest(str_split(authors, ';')) AS e,
@@ -84,7 +89,7 @@ SELECT text_no, type, title, language, authors, coalesce(subjects, '') AS subjec
 ORACLE["null_to_empty"] = with_(CATALOG, select="""
 SELECT text_no, coalesce(subjects, '') AS subjects, coalesce(bookshelves, '') AS bookshelves FROM catalog""")
 for name, condition in (("type_language_filter", C_PROSE), ("class_filter", C_CLASS), ("role_exclusion", C_ROLE),
-                        ("keyword_exclude", C_WORDS), ("keyword_exclude_table", C_WORDS)):
+                        ("keyword_exclude", C_WORDS), ("keyword_exclude_table", C_LONG)):
     ORACLE[name] = with_(CAT, select=f"SELECT id FROM cat WHERE {condition}")
 ORACLE["keyword_texts"] = "SELECT doc_id, (" + " OR ".join(
     f"regexp_matches(lower(text), {q(f'(^|{NOT_WORD})' + k)})" for k in ("the", "und ", "tion")) + ") AS hit FROM documents"
@@ -143,7 +148,8 @@ kept AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY id ORDER BY i
 parts AS (SELECT id, lang, i, array_to_string(list_slice(ws, 1, CAST(least(n, {_S.sample_words} - had) AS BIGINT)), ' ') AS p
   FROM kept WHERE rest >= {_S.sample_words} AND had < {_S.sample_words}),
 samples AS (SELECT id, lang, string_agg(p, chr(10) || chr(10) ORDER BY i) AS sample FROM parts GROUP BY id, lang)"""
-ORACLE["text_scan"] = with_(BOOKS, select="SELECT id, replace(raw, chr(13) || chr(10), chr(10)) AS raw FROM books")
+ORACLE["text_scan"] = with_(BOOKS, select="""
+SELECT id, replace(replace(raw, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS raw FROM books""")
 ORACLE["strip_boilerplate"] = with_(BOOKS, BODY, select="SELECT id, body FROM body")
 ORACLE["clean_text"] = with_(BOOKS, BODY, PARS, select="SELECT id, clean FROM clean")
 ORACLE["clean_words"] = with_(BOOKS, BODY, PARS, select="SELECT id, n_words FROM counts")
@@ -184,9 +190,14 @@ LEX = "lex AS (SELECT * FROM (VALUES " + ", ".join(
 
 def token_ctes(source: str, doc: str, text: str) -> str:
     """Words and sentences of a text column as rows."""
+    dots = text
+    for _ in range(2):
+        dots = f"regexp_replace({dots}, {q(INNER_DOT)}, '\\1\\2{NO_END}', 'g')"
+    ends = f"regexp_replace({dots}, {q(BLANK_LINE)}, {q(SENTENCE_BREAK)}, 'g')"
     return f"""sents AS (SELECT d, lang, si, s FROM (
   SELECT {doc} AS d, lang, unnest(ss) AS s, generate_subscripts(ss, 1) AS si FROM (
-    SELECT {doc}, lang, str_split_regex(regexp_replace({text}, {q(SENTENCE_END)}, chr(10), 'g'), '\\n+') AS ss
+    SELECT {doc}, lang, str_split_regex(regexp_replace({ends}, {q(SENTENCE_END)}, {q(SENTENCE_BREAK)}, 'g'),
+      {q(SENTENCE_BREAK + '+')}) AS ss
     FROM {source})) WHERE regexp_matches(s, {q(WORD)})),
 numbered AS (SELECT d, lang, s, si, row_number() OVER (PARTITION BY d ORDER BY si) - 1 AS sent_id FROM sents),
 words AS (SELECT d, lang, sent_id, unnest(ws) AS token, generate_subscripts(ws, 1) AS wi FROM (
@@ -221,20 +232,19 @@ ORACLE["token_function_word_ratio"] = with_(LEX, DOC_TOKENS, RATIO, select="""
 SELECT d AS doc_id, n_words, round(function_word_ratio, 9) AS function_word_ratio FROM ratio""")
 ORACLE["token_windows"] = with_(DOC_TOKENS, WINDOWS, select="SELECT d AS doc_id, win, types, size FROM wins")
 
-NAMES = """names AS (SELECT DISTINCT lower(name) AS key FROM (
-  SELECT unnest(regexp_extract_all(text, '[A-Z][a-z]{3,}')) AS name FROM benchmark
-  UNION ALL SELECT unnest(regexp_extract_all(text, '[A-Z][a-z]+ [a-z]+')) FROM benchmark))"""
+NAMES = "names AS (SELECT DISTINCT lower(name) AS key FROM (" + " UNION ALL ".join(
+    f"SELECT unnest(regexp_extract_all(text, {q(p)})) AS name FROM benchmark" for p in NAME_PATTERNS) + "))"
 
 
 def gazetteer(source: str, doc: str, text: str, out: str = "found") -> str:
     """Listed names by neighbouring word rows."""
     return f"""gw AS (SELECT {doc} AS d, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS pos FROM (
   SELECT {doc}, regexp_extract_all({text}, {q(WORD)}) AS ws FROM {source})),
-next AS (SELECT d, pos, w, lead(w, 1) OVER (PARTITION BY d ORDER BY pos) AS w2,
-  lead(w, 2) OVER (PARTITION BY d ORDER BY pos) AS w3 FROM gw),
+next AS (SELECT d, pos, w, {', '.join(f'lead(w, {i}) OVER (PARTITION BY d ORDER BY pos) AS w{i}' for i in range(1, 5))}
+  FROM gw),
 grams AS (SELECT d, pos, 0 AS extra, w AS text FROM next
-  UNION ALL SELECT d, pos, 1, w || ' ' || w2 FROM next WHERE w2 IS NOT NULL
-  UNION ALL SELECT d, pos, 2, w || ' ' || w2 || ' ' || w3 FROM next WHERE w3 IS NOT NULL),
+  {' '.join(f"UNION ALL SELECT d, pos, {k}, concat_ws(' ', w, {', '.join(f'w{i}' for i in range(1, k + 1))}) FROM next "
+            f"WHERE w{k} IS NOT NULL" for k in range(1, 5))}),
 hits AS (SELECT d, pos, max(extra) AS extra, max_by(text, extra) AS text FROM grams
   WHERE lower(text) IN (SELECT key FROM names) GROUP BY d, pos),
 {out} AS (SELECT d, pos, text AS name FROM hits h WHERE NOT EXISTS (SELECT 1 FROM hits o
@@ -243,10 +253,10 @@ hits AS (SELECT d, pos, max(extra) AS extra, max_by(text, extra) AS text FROM gr
 
 ORACLE["gazetteer_mentions"] = with_(NAMES, gazetteer("documents", "doc_id", "text"), select="""
 SELECT d AS doc_id, pos, name FROM found""")
-ORACLE["cue_mentions"] = with_(MENTIONS, select=f"""
+ORACLE["cue_mentions"] = f"""
 SELECT doc_id, name, count(*) AS n FROM (
-  SELECT doc_id, unnest(regexp_extract_all('Dort kam ' || name || ' herein.', {q(cue_pattern(PERSON_TITLES))}, 1)) AS name
-  FROM mentions) GROUP BY doc_id, name""")
+  SELECT doc_id, unnest(regexp_extract_all(text, {q(cue_pattern(PERSON_TITLES))}, 1)) AS name
+  FROM ({derived.CUED.format(documents=DOCS)})) GROUP BY doc_id, name"""
 
 
 def person_ctes(source: str) -> str:
@@ -270,7 +280,8 @@ groups AS (SELECT doc_id, character, CAST(sum(mentions) AS BIGINT) AS mentions F
 cast_size AS (SELECT doc_id, count(*) AS characters FROM groups WHERE mentions >= {STYLE.min_mentions} GROUP BY doc_id)"""
 
 
-PERSONS = (MENTIONS, person_ctes("mentions"))
+MENTIONS = "mentions AS (SELECT d AS doc_id, pos, name FROM found)"
+PERSONS = (NAMES, gazetteer("documents", "doc_id", "text"), MENTIONS, person_ctes("mentions"))
 ORACLE["person_names"] = with_(*PERSONS, select="SELECT doc_id, pos, name FROM normal")
 ORACLE["mention_counts"] = with_(*PERSONS, select="SELECT * FROM named")
 ORACLE["merge_genitives"] = with_(*PERSONS, select="SELECT * FROM merged")
@@ -280,8 +291,7 @@ ORACLE["character_density"] = with_(*PERSONS, select=f"""
 SELECT doc_id, round(CASE WHEN n > 0 THEN coalesce(characters, 0) / CAST(n AS DOUBLE) * 1000 END, 6) AS character_density
 FROM (SELECT doc_id, len(regexp_extract_all(text, {q(WORD)})) AS n FROM documents) LEFT JOIN cast_size USING (doc_id)""")
 ORACLE["token_features"] = with_(
-    LEX, DOC_TOKENS, LENGTHS, MEDIAN, WINDOWS, STTR, RATIO,
-    "listed AS (SELECT d AS doc_id, pos, token AS name FROM tokens WHERE pos % 11 = 0)", person_ctes("listed"), select="""
+    LEX, DOC_TOKENS, LENGTHS, MEDIAN, WINDOWS, STTR, RATIO, *PERSONS, select="""
 SELECT m.d AS doc_id, round(median_sentence_length, 9) AS median_sentence_length, round(sttr, 9) AS sttr,
   round(function_word_ratio, 9) AS function_word_ratio,
   round(coalesce(characters, 0) / CAST(n_words AS DOUBLE) * 1000, 9) AS character_density
@@ -321,7 +331,7 @@ def moments(digits: int) -> str:
 
 
 ORACLE["rounded_csv"] = with_(FIN, select="SELECT id, author, epoch, " + ", ".join(
-    f"round_even({c}, 4) AS {c}" for c in FEATURES) + " FROM fin")
+    f"round_even({c}, 4) + 0.0 AS {c}" for c in FEATURES) + " FROM fin")
 ORACLE["summary_by_group"] = with_(FIN, F_LONG, select=f"""
 SELECT grp, feature, coalesce(n, 0) AS n, mean, sd, median FROM
   (SELECT unnest({CLASSES + ['E9']}) AS grp) CROSS JOIN (SELECT unnest({FEATURES}) AS feature)
@@ -343,6 +353,8 @@ def kruskal(digits: int) -> str:
 
 ORACLE["kruskal"] = with_(FIN, F_LONG, RANKS, select=kruskal(6))
 ORACLE["kruskal_lineitem"] = with_(L_LONG, RANKS, select=kruskal(5))
+ORACLE["kruskal_parts"] = with_(long("lineitem", "l_suppkey", MEASURES), RANKS, select=f"""
+SELECT feature, n, h, true AS tail FROM ({kruskal(4)})""")
 ORACLE["average_ranks"] = with_(L_LONG, RANKS, select="""
 SELECT feature, grp, value, count(*) AS n, CAST(max(r) AS DOUBLE) AS mid_rank FROM ranked GROUP BY feature, grp, value""")
 
@@ -437,6 +449,41 @@ FROM centroids JOIN scales USING (dim)""")
 ORACLE["standardised"] = with_(*SPLIT, *MODEL, select="SELECT id, " + ", ".join(
     f"max(round((x - mean) / scale, 6)) FILTER (dim = {i + 1}) AS z{i + 1}" for i in range(4))
     + " FROM el JOIN scales USING (dim) GROUP BY id")
+NULLS = """marked AS (SELECT doc_id AS id, CAST(max(quality) AS VARCHAR) AS label FROM labels GROUP BY doc_id),
+nrows AS (SELECT d.doc_id AS id, label, CASE WHEN d.doc_id % 7 <> 0 THEN source END AS author
+  FROM documents d LEFT JOIN marked m ON m.id = d.doc_id)"""
+ORACLE["random_folds_nulls"] = with_(NULLS, select=f"""
+SELECT id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY md5(CAST(id AS VARCHAR) || ':{EV.seed}'), id) - 1) % 5
+  AS INTEGER) AS fold FROM nrows""")
+ORACLE["group_folds_nulls"] = with_(NULLS, f"""
+per AS (SELECT author, label, count(*) AS n FROM nrows GROUP BY ALL),
+cls AS (SELECT author, label, sum(n) OVER (PARTITION BY author) AS total,
+  row_number() OVER (PARTITION BY author ORDER BY n DESC, label NULLS FIRST) AS k FROM per),
+pl AS (SELECT author, row_number() OVER (PARTITION BY label ORDER BY total DESC,
+  md5(coalesce(author, '') || ':{EV.seed}'), author NULLS FIRST) - 1 AS r FROM cls WHERE k = 1)""", select="""
+SELECT id, n.author, CAST(CASE WHEN (r // 5) % 2 = 0 THEN r % 5 ELSE 4 - r % 5 END AS INTEGER) AS fold
+FROM nrows n JOIN pl ON pl.author IS NOT DISTINCT FROM n.author""")
+ORACLE["centroid_nulls"] = with_(FIN, f"""
+holey AS (SELECT id, epoch, CASE WHEN id % 5 <> 0 THEN f1 END AS f1, f2, f3, f4 FROM fin),
+el AS ({dims('holey', 'id, epoch')}),
+sc AS (SELECT dim, avg(x) AS mean, CASE WHEN stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END AS scale
+  FROM el WHERE id % 3 <> 0 GROUP BY dim),
+ce AS (SELECT epoch AS label, dim, avg((x - mean) / scale) AS c FROM el JOIN sc USING (dim) WHERE id % 3 <> 0 GROUP BY 1, 2),
+di AS (SELECT id, label, sqrt(sum(((x - mean) / scale - c) ** 2)) AS d FROM el JOIN sc USING (dim) JOIN ce USING (dim)
+  WHERE id % 5 <> 0 GROUP BY 1, 2)""", select="""
+SELECT s.id, s.epoch, n.pred FROM holey s LEFT JOIN (SELECT id, label AS pred FROM (SELECT *,
+  row_number() OVER (PARTITION BY id ORDER BY d, label) AS k FROM di) WHERE k = 1) n USING (id)""")
+ORACLE["centroid_many"] = f"""
+WITH el AS ({dims('lineitem', 'l_partkey AS label', MEASURES)}),
+sc AS (SELECT dim, avg(x) AS mean, stddev_pop(x) AS scale FROM el GROUP BY dim)
+SELECT label, dim, count(*) AS n, round(any_value(mean), 6) AS mean, round(any_value(scale), 6) AS scale,
+  round(avg((x - mean) / scale), 6) + 0.0 AS centroid FROM el JOIN sc USING (dim) GROUP BY label, dim"""
+ORACLE["logistic_gradient"] = f"""
+SELECT label, feature, CAST(0 AS DOUBLE) AS slope FROM (SELECT unnest({CLASSES}) AS label)
+CROSS JOIN (SELECT unnest({FEATURES}) AS feature)"""
+ORACLE["saved_predictions"] = with_(*SPLIT, select="SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differing FROM test")
+ORACLE["forest_layouts"] = ORACLE["saved_predictions"]
+ORACLE["required_columns"] = "SELECT count(*) AS rows, 'missing columns: title, locc' AS said FROM documents"
 ORACLE["centroid_distances"] = with_(*SPLIT, *MODEL, select="SELECT id, label, round(dist, 6) AS dist FROM dist")
 ORACLE["centroid_predict"] = with_(*SPLIT, *MODEL, select="SELECT id, epoch, pred FROM near")
 ORACLE["centroid_predict_wide"] = """
@@ -473,7 +520,7 @@ _BASE, _NEAR = pred_column(BASELINE), pred_column(CENTROID)
 ORACLE["prediction_columns"] = with_(*SPLIT, *MODEL, select=f"""
 SELECT t.id, t.author, t.epoch, top.pred AS {_BASE}, n.pred AS {_NEAR} FROM test t JOIN near n USING (id) CROSS JOIN top""")
 ORACLE["misclassified"] = with_(*SPLIT, *MODEL, select=f"""
-SELECT t.id, t.author, t.epoch, n.pred AS {_NEAR} FROM test t JOIN near n USING (id) WHERE t.epoch <> n.pred""")
+SELECT t.id, t.author, t.epoch, n.pred AS {_NEAR} FROM test t JOIN near n USING (id) WHERE t.epoch IS DISTINCT FROM n.pred""")
 
 
 def cv(name: str, split: str, folds_cte: str) -> tuple[str, ...]:

@@ -27,7 +27,7 @@ from corpusmill.operators.importance import permutation_importance
 from corpusmill.params import (PERSON_TITLES, Epochs, Evaluation, Sampling, Selection, Settings, Style, epoch_table,
                                keyword_table, lexicon, order_table)
 from corpusmill.plans import derived, jobs
-from corpusmill.runtime import fresh_path, materialise, spread_small
+from corpusmill.runtime import fresh_path, materialise, spread
 from corpusmill.sources import tables as T
 from corpusmill.sources.catalog import read_catalog, write_catalog
 from corpusmill.sources.texts import read_text_table
@@ -48,6 +48,10 @@ MEASURES = ["l_quantity", "l_extendedprice", "l_discount"]
 FLAGS = ["A", "N", "R"]
 CV = dict(id_col="id", group="author", label="epoch", folds=EV.cv_folds, seed=EV.seed)
 
+NAME_PATTERNS = ["[A-Z][a-z]{3,}", *["[A-Z][a-z]+" + " [a-z]+" * n for n in (1, 2, 3, 4)]]
+# Words of one and several lengths, and one that begins with another kind of character.
+LONG_KEYWORDS = ["drama", "gedicht", "reise", " preise", "effi briest band 2 die preise", " d"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -73,7 +77,9 @@ def books(spark, sf):
 
 
 def mentions(spark, sf):
-    return spark.sql(derived.MENTIONS, documents=documents(spark, sf))
+    """Listed names in the texts, which several queries read; written once."""
+    return materialise(W.gazetteer_mentions(spread(documents(spark, sf)), names(spark, sf), doc_id="doc_id", text="text"),
+                       "mentions")
 
 
 def features_in(spark, sf):
@@ -81,11 +87,10 @@ def features_in(spark, sf):
 
 
 def names(spark, sf):
-    """Capitalised words and word pairs of the benchmark texts."""
+    """Capitalised words of the benchmark texts, alone and with up to four words that follow."""
     text = table(spark, sf, "benchmark").select("text")
-    words = text.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Z][a-z]{3,}"), F.lit(0))).alias("name"))
-    pairs = text.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Z][a-z]+ [a-z]+"), F.lit(0))).alias("name"))
-    return words.union(pairs).distinct()
+    found = [F.regexp_extract_all("text", F.lit(p), F.lit(0)) for p in NAME_PATTERNS]
+    return text.select(F.explode(F.concat(*found)).alias("name")).distinct()
 
 
 def split(spark, sf):
@@ -161,9 +166,7 @@ def keyword_exclude(spark, sf):
 @query
 def keyword_exclude_table(spark, sf):
     rows = cat.null_to_empty(catalog(spark, sf)).withColumn("id", F.col("text_no").cast("long"))
-    words = list(SEL.keywords)
-    hits = cat.keyword_hits(rows, keyword_table(spark, words), id_col="id", text=cat.searchable(),
-                            max_length=max(map(len, words)))
+    hits = cat.keyword_hits(rows, keyword_table(spark, LONG_KEYWORDS), id_col="id", text=cat.searchable())
     return rows.join(hits, "id", "left_anti").select("id")
 
 
@@ -229,12 +232,12 @@ def filter_funnel(spark, sf):
 
 @query
 def strip_boilerplate(spark, sf):
-    return spread_small(books(spark, sf)).select("id", X.strip_boilerplate(F.col("raw")).alias("body"))
+    return spread(books(spark, sf)).select("id", X.strip_boilerplate(F.col("raw")).alias("body"))
 
 
 @query
 def clean_text(spark, sf):
-    return spread_small(books(spark, sf)).select(
+    return spread(books(spark, sf)).select(
         "id", X.clean_text(X.strip_boilerplate(F.col("raw"))).alias("clean"))
 
 
@@ -245,7 +248,7 @@ def clean_words(spark, sf):
 
 @query
 def raw_words(spark, sf):
-    return spread_small(documents(spark, sf)).select("doc_id", X.count_words(F.col("text")).alias("n_words"))
+    return spread(documents(spark, sf)).select("doc_id", X.count_words(F.col("text")).alias("n_words"))
 
 
 @query
@@ -260,7 +263,7 @@ def extract_sample(spark, sf):
 
 @query
 def sample_paragraphs(spark, sf):
-    pars = W.paragraph_table(spread_small(books(spark, sf)), doc_id="id", raw="raw")
+    pars = W.paragraph_table(spread(books(spark, sf)), doc_id="id", raw="raw")
     rows = W.sample_paragraphs(pars, skip_fraction=0.1, sample_words=60)
     # The paragraph counts from the first one of the sample.
     from pyspark.sql import Window
@@ -276,7 +279,9 @@ def epoch_distribution(spark, sf):
 
 @query
 def quota_select(spark, sf):
-    return jobs.select_corpus(cat.candidates(catalog(spark, sf), SEL, EPOCHS), jobs.word_counts(books(spark, sf)), SEL)
+    # As the job does: candidates first, then the words of their texts only.
+    chosen = materialise(cat.candidates(catalog(spark, sf), SEL, EPOCHS), "candidates")
+    return jobs.select_corpus(chosen, jobs.word_counts(jobs.only_ids(books(spark, sf), chosen)), SEL)
 
 
 def _quota_rows(spark, sf):
@@ -296,7 +301,7 @@ def quota_select_general(spark, sf):
 # Tokens and style
 
 def _tokens(spark, sf):
-    return W.token_table(spread_small(documents(spark, sf)), doc_id="doc_id", text="text", lang="lang")
+    return W.token_table(spread(documents(spark, sf)), doc_id="doc_id", text="text", lang="lang")
 
 
 @query
@@ -310,7 +315,7 @@ def sentence_lengths(spark, sf):
 
 
 def _style(spark, sf):
-    rows = spread_small(documents(spark, sf)).select("doc_id", "lang", "text")
+    rows = spread(documents(spark, sf)).select("doc_id", "lang", "text")
     return K.with_style(rows, "text", window=STYLE.window, lexicon=lexicon(STYLE.pos))
 
 
@@ -351,22 +356,22 @@ def token_windows(spark, sf):
 
 @query
 def token_features(spark, sf):
-    """Every eleventh token as a person, so all four measures have input."""
-    rows = materialise(_tokens(spark, sf), "tokens").withColumns({
-        "ent_id": F.col("pos"), "ent_label": F.when(F.col("pos") % 11 == 0, "PER")})
+    """Persons are the listed names, as a tagger would mark them: every word of a mention by its first one's place."""
+    found = mentions(spark, sf).select("doc_id", F.col("pos").alias("ent_id"), F.explode(F.sequence(
+        "pos", F.col("pos") + F.size(F.split("name", " ")) - 1)).alias("pos"), F.lit("PER").alias("ent_label"))
+    rows = materialise(_tokens(spark, sf).join(found, ["doc_id", "pos"], "left"), "tokens")
     return numbers(W.token_features(rows, STYLE), 9, *T.FEATURE_COLUMNS)
 
 
 @query
 def gazetteer_mentions(spark, sf):
-    return W.gazetteer_mentions(spread_small(documents(spark, sf)), names(spark, sf), doc_id="doc_id", text="text")
+    return W.gazetteer_mentions(spread(documents(spark, sf)), names(spark, sf), doc_id="doc_id", text="text")
 
 
 @query
 def cue_mentions(spark, sf):
-    # The derived names read as one sentence per mention, so titles occur.
-    rows = mentions(spark, sf).withColumn("text", F.concat(F.lit("Dort kam "), F.col("name"), F.lit(" herein.")))
-    found = rows.select("doc_id", "pos", F.explode(K.cue_mentions(F.col("text"), PERSON_TITLES)).alias("name"))
+    rows = spark.sql(derived.CUED, documents=documents(spark, sf))
+    found = rows.select("doc_id", F.explode(K.cue_mentions(F.col("text"), PERSON_TITLES)).alias("name"))
     return found.groupBy("doc_id", "name").agg(F.count("*").alias("n"))
 
 
@@ -402,7 +407,7 @@ def character_counts(spark, sf):
 @query
 def character_density(spark, sf):
     people = H.character_counts(_counts(spark, sf), STYLE.min_mentions)
-    sizes = spread_small(documents(spark, sf)).select("doc_id", F.size(K.words(F.col("text"))).alias("n"))
+    sizes = spread(documents(spark, sf)).select("doc_id", F.size(K.words(F.col("text"))).alias("n"))
     per = F.try_divide(F.coalesce("characters", F.lit(0)).cast("double"), F.col("n").cast("double")) * 1000
     return sizes.join(people, "doc_id", "left").select("doc_id", tidy(per, 6).alias("character_density"))
 
@@ -477,6 +482,13 @@ def kruskal_lineitem(spark, sf):
                    "h", "p_value")
 
 
+@query
+def kruskal_parts(spark, sf):
+    """A class per supplier; the tail has as many degrees of freedom."""
+    rows = G.kruskal(table(spark, sf, "lineitem"), by="l_suppkey", columns=MEASURES)
+    return numbers(rows.select("feature", "n", "h", (F.col("p_value").between(0, 1)).alias("tail")), 4, "h")
+
+
 @query
 def average_ranks(spark, sf):
     long = O.long_form(table(spark, sf, "lineitem"), "l_returnflag", MEASURES)
@@ -556,6 +568,41 @@ def standardised(spark, sf):
     return rows.select("id", *[tidy(F.get("z", F.lit(i)), 6).alias(f"z{i + 1}") for i in range(4)])
 
 
+def _null_rows(spark, sf):
+    """Documents with their labels; most have none, and every seventh has no author."""
+    rows = documents(spark, sf).select(F.col("doc_id").alias("id"), "source", F.length("text").alias("size"))
+    marked = table(spark, sf, "labels").groupBy(F.col("doc_id").alias("id")).agg(F.max("quality").cast("string").alias("label"))
+    return rows.join(marked, "id", "left").withColumn("author", F.when(F.col("id") % 7 != 0, F.col("source")))
+
+
+@query
+def random_folds_nulls(spark, sf):
+    rows = _null_rows(spark, sf).select("id", "label")
+    return D.with_random_folds(rows, id_col="id", label="label", folds=5, seed=EV.seed)
+
+
+@query
+def group_folds_nulls(spark, sf):
+    rows = _null_rows(spark, sf).select("id", "label", "author")
+    return D.with_group_folds(rows, group="author", label="label", folds=5, seed=EV.seed).select("id", "author", "fold")
+
+
+@query
+def centroid_nulls(spark, sf):
+    """A missing value counts in no statistic, and its row gets no prediction."""
+    rows = features_in(spark, sf).withColumn("f1", F.when(F.col("id") % 5 != 0, F.col("f1")))
+    model = N.fit(rows.where("id % 3 <> 0"), label="epoch", columns=FEATURES)
+    return N.predict(rows, model, columns=FEATURES).select("id", "epoch", "pred")
+
+
+@query
+def centroid_many(spark, sf):
+    """A class per part number of the order lines: as many classes as parts."""
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", *MEASURES)
+    stats = N.class_stats(rows, label="l_partkey", columns=MEASURES)
+    return numbers(N.model_rows(stats).withColumn("dim", F.col("dim") + 1), 6, "mean", "scale", "centroid")
+
+
 @query
 def centroid_distances(spark, sf):
     train, test = split(spark, sf)
@@ -671,6 +718,52 @@ def forest_scores(spark, sf):
     return E.scores(E.pair_counts(M.apply_model(model, test), truth="epoch"))
 
 
+def _same(before, after):
+    """``(rows, differing)`` of two prediction tables by id."""
+    both = before.join(after.withColumnRenamed("pred", "other"), "id")
+    return both.agg(F.count("*").alias("rows"), F.count_if(~F.col("pred").eqNullSafe(F.col("other"))).alias("differing"))
+
+
+@query
+def logistic_gradient(spark, sf):
+    """The penalised likelihood's slope per class and feature at the solution: 0 everywhere."""
+    train = materialise(split(spark, sf)[0], "train")
+    model = M.fit_logistic(train, label="epoch", columns=FEATURES, max_iter=EV.max_iter)
+    return numbers(M.logistic_gradient(model, train, label="epoch", columns=FEATURES), 2, "slope")
+
+
+@query
+def saved_predictions(spark, sf):
+    """Predictions of a fitted model before it is saved and after it is loaded."""
+    train, test = split(spark, sf)
+    model = M.fit_logistic(train, label="epoch", columns=FEATURES, max_iter=EV.max_iter)
+    path = fresh_path(spark, "model")
+    M.save_model(model, path)
+    return _same(*[M.apply_model(m, test).select("id", "pred") for m in (model, M.load_model(path))])
+
+
+@query
+def forest_layouts(spark, sf):
+    """Forests of the same rows in one and in 23 partitions predict the same."""
+    train, test = split(spark, sf)
+    fits = [M.fit_forest(train.repartition(n), label="epoch", columns=FEATURES, seed=EV.seed, trees=10,
+                         min_leaf=EV.min_leaf) for n in (1, 23)]
+    return _same(*[M.apply_model(m, test).select("id", "pred") for m in fits])
+
+
+@query
+def required_columns(spark, sf):
+    """What a catalog without two of its columns is told."""
+    from corpusmill.sources.catalog import CATALOG_COLUMNS, require_columns
+    named = catalog(spark, sf).drop("locc", "title")
+    try:
+        require_columns(named, CATALOG_COLUMNS.values())
+        said = None
+    except ValueError as error:
+        said = str(error)
+    return named.agg(F.count("*").alias("rows")).withColumn("said", F.lit(said))
+
+
 @query
 def feature_ablation(spark, sf):
     return M.feature_ablation(split(spark, sf)[0], columns=FEATURES, max_iter=EV.max_iter, **CV)

@@ -1,4 +1,4 @@
-"""Session helpers: shared work folder, checkpoints, small-input spreading."""
+"""Session helpers: shared work folder, written stages, spreading of small files."""
 
 from __future__ import annotations
 
@@ -11,9 +11,6 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Inputs below this size are spread over all cores before heavy text work.
-SMALL_INPUT_BYTES = 1 << 30
-
 _local_dirs: dict[str, str] = {}
 _scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
@@ -87,21 +84,14 @@ def scratch(spark: SparkSession):
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """The optimiser's estimate of the size of ``df``."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Give every core a share of an input that arrives in too few splits.
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of an input out to as many tasks as the session asks for.
 
-    A small file with one row group is read by one task however large the
-    cluster is. Inputs above ``SMALL_INPUT_BYTES`` already have enough splits
-    and are passed on without a shuffle.
+    Texts are not moved unless the caller sets ``spark.corpusmill.spread``,
+    which only makes sense for one small file that arrives as a single split.
     """
-    if df.isStreaming or plan_bytes(df) > SMALL_INPUT_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    tasks = df.sparkSession.conf.get("spark.corpusmill.spread", None)
+    return df if tasks is None or df.isStreaming else df.repartition(int(tasks))
 
 
 def computed_once(df: DataFrame, column: str) -> DataFrame:

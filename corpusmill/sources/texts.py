@@ -8,13 +8,9 @@ from pyspark.sql import functions as F
 FILE_ID = r"([0-9]+)\.txt$"
 
 
-def text_file_name(text_id: Column) -> Column:
-    """File name of a text: its id with the ending ``.txt``."""
-    return F.concat(text_id.cast("string"), F.lit(".txt"))
-
-
 def _unix_lines(raw: Column) -> Column:
-    return F.replace(raw, F.lit("\r\n"), F.lit("\n"))
+    """Every kind of line end as one line feed."""
+    return F.replace(F.replace(raw, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
 def read_text_files(spark: SparkSession, folder: str) -> DataFrame:

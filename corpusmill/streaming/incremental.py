@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,21 +21,26 @@ def stream_features(spark: SparkSession, source: str, out: str, checkpoint: str,
                     names: DataFrame | None = None, files_per_batch: int = 1000):
     """Process every file that is new since the last run, then stop.
 
-    Each batch writes its own folder ``batch=<n>`` and replaces it when the
-    batch is tried again after a failure; an id that an earlier batch has is
-    left out. So no text appears twice, given that a batch has an id once.
+    Each batch writes its own folder ``batch=<run>-<n>``, where the run is that
+    of the checkpoint folder, and replaces it when the batch is tried again
+    after a failure. An id that another batch has is left out, and of several
+    rows of a batch with one id the first by language and text is kept, so no
+    text appears twice, and a new checkpoint overwrites nothing.
     """
+    run = f"{zlib.crc32(checkpoint.encode()):08x}"
     arriving = spark.readStream.schema(TEXT_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(source)
 
     def write(batch: DataFrame, number: int) -> None:
         with scratch(batch.sparkSession):
             fresh = batch
             if table_exists(spark, out):
-                done = spark.read.schema("id bigint, batch int").parquet(out).where(F.col("batch") != number)
+                done = spark.read.schema("id bigint, batch string").parquet(out).where(F.col("batch") != f"{run}-{number}")
                 fresh = new_rows(fresh, done)
-            passages = materialise(samples(fresh, settings.sampling, keep=["lang"]), "stream-samples")
+            cut = samples(fresh, settings.sampling, keep=["lang"])
+            once = cut.groupBy("id").agg(F.min(F.struct("lang", "sample")).alias("s")).select("id", "s.*")
+            passages = materialise(once, "stream-samples")
             rows = style_features(passages, settings.style, names=names)
-            rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
+            rows.write.mode("overwrite").parquet(f"{out}/batch={run}-{number}")
 
     return (arriving.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -31,6 +31,9 @@ def rows_of(rows):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_same_result(spark, duck, name):
     df = QUERIES[name](spark, SF)
+    if not name.startswith("op"):  # operators for training data may run Python where it serves
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not [bad for bad in ("Python", "Pandas", "Arrow", "CartesianProduct") if bad in plan]
     rel = duck.sql(SQL[name])
     columns = sorted(df.columns)
     assert sorted(rel.columns) == columns
@@ -42,7 +45,7 @@ def test_same_result(spark, duck, name):
 
 
 def test_queries_without_sql_are_the_learned_models():
-    assert set(QUERIES) - set(SQL) == {"logistic_scores", "logistic_coefficients", "forest_scores", "feature_ablation",
+    assert {n for n in set(QUERIES) - set(SQL) if n != "pipeline" and not n.startswith("op")} == {"logistic_scores", "logistic_coefficients", "forest_scores", "feature_ablation",
                                        "experiment_summary"}
     assert set(SQL) <= set(QUERIES)
 

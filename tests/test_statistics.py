@@ -115,39 +115,81 @@ def points(spark, rows):
     return spark.createDataFrame(rows, "x double, y double, label string")
 
 
-def test_centroid_golden(spark):
-    train = points(spark, [(0.0, 0.0, "early"), (0.0, 1.0, "early"), (10.0, 10.0, "late"), (10.0, 11.0, "late")])
+def test_centroid_by_hand(spark):
+    # Means 3 and 2; squared deviations add up to 40 and 4 over five rows.
+    train = points(spark, [(-1.0, 1.0, "low"), (1.0, 1.0, "low"), (3.0, 2.0, "mid"), (5.0, 3.0, "top"), (7.0, 3.0, "top")])
+    rows = {(r["label"], r["dim"]): r for r in N.model_rows(N.class_stats(train, label="label", columns=["x", "y"])).collect()}
+    assert rows[("low", 0)]["mean"] == 3.0 and rows[("low", 0)]["scale"] == pytest.approx(math.sqrt(8))
+    assert rows[("top", 1)]["centroid"] == pytest.approx(1 / math.sqrt(0.8))
     model = N.fit(train, label="label", columns=["x", "y"])
-    new = points(spark, [(1.0, 1.0, None), (9.0, 9.0, None)])
-    assert [r["pred"] for r in N.predict(new, model, columns=["x", "y"]).orderBy("x").collect()] == ["early", "late"]
+    new = points(spark, [(0.5, 1.2, None), (3.1, 2.1, None), (9.0, 2.6, None)])
+    assert [r["pred"] for r in N.predict(new, model, columns=["x", "y"]).orderBy("x").collect()] == ["low", "mid", "top"]
 
 
 def test_centroid_scale(spark):
-    train = points(spark, [(0.0, 1000.0, "a"), (0.0, 0.0, "a"), (1.0, 1000.0, "b"), (1.0, 0.0, "b")])
+    """A column in the thousands does not drown one in tenths."""
+    train = points(spark, [(0.1, 5000.0, "p"), (0.1, -5000.0, "p"), (0.4, 4000.0, "q"), (0.4, -4000.0, "q")])
     model = N.fit(train, label="label", columns=["x", "y"])
-    assert N.predict(points(spark, [(0.9, 1000.0, None)]), model, columns=["x", "y"]).first()["pred"] == "b"
+    got = N.predict(points(spark, [(0.15, -900.0, None), (0.33, 900.0, None)]), model, columns=["x", "y"])
+    assert [r["pred"] for r in got.orderBy("x").collect()] == ["p", "q"]
+
+
+def test_missing_values(spark):
+    train = points(spark, [(None, 1.0, "a"), (6.0, 1.0, "a"), (4.0, 3.0, "a"), (0.0, 7.0, "b"), (2.0, None, "b"), (None, None, "c")])
+    rows = {(r["label"], r["dim"]): r for r in N.model_rows(N.class_stats(train, label="label", columns=["x", "y"])).collect()}
+    assert rows[("a", 0)]["mean"] == 3.0 and rows[("a", 0)]["n"] == 3 and rows[("c", 0)]["centroid"] is None
+    model = N.fit(train, label="label", columns=["x", "y"])
+    new = points(spark, [(5.0, 1.0, None), (None, 1.0, None), (1.0, 7.0, None), (5.0, None, None)])
+    got = {(r["x"], r["y"]): r["pred"] for r in N.predict(new, model, columns=["x", "y"]).collect()}
+    assert got == {(5.0, 1.0): "a", (1.0, 7.0): "b", (None, 1.0): None, (5.0, None): None}
 
 
 def test_centroid_constant_column(spark):
-    train = points(spark, [(1.0, 5.0, "x"), (2.0, 5.0, "y")])
+    train = points(spark, [(-3.0, 8.0, "x"), (3.0, 8.0, "y")])
     model = N.fit(train, label="label", columns=["x", "y"])
     for r in N.with_distances(train, model, columns=["x", "y"]).collect():
         assert all(math.isfinite(d["dist"]) for d in r["distances"])
-    tie = N.predict(points(spark, [(1.5, 5.0, None)]), model, columns=["x", "y"])
+    tie = N.predict(points(spark, [(0.0, 8.0, None)]), model, columns=["x", "y"])
     assert tie.first()["pred"] == "x"
 
 
-def test_wide_statistics_agree(spark):
+def test_statistics_of_many_columns_and_classes(spark):
     rng = random.Random(1)
     cols = [f"c{i}" for i in range(20)]
-    df = spark.createDataFrame([(f"l{rng.randint(0, 2)}", *[rng.gauss(0, 1) for _ in cols]) for _ in range(200)],
-                               ["label", *cols])
-    wide = {r["label"]: r for r in N.class_stats(df, label="label", columns=cols).collect()}
-    narrow = {r["label"]: r for r in N.class_stats(df, label="label", columns=cols[:3]).collect()}
-    for label, row in narrow.items():
-        assert wide[label]["n"] == row["n"]
-        assert wide[label]["mean"][:3] == pytest.approx(row["mean"])
-        assert wide[label]["m2"][:3] == pytest.approx(row["m2"])
+    data = [(f"l{rng.randint(0, 300)}", *[rng.gauss(0, 1) for _ in cols]) for _ in range(1500)]
+    df = spark.createDataFrame(data, ["label", *cols])
+    got = {(r["label"], r["dim"]): r for r in N.class_stats(df, label="label", columns=cols).collect()}
+    for label in ("l0", "l7"):
+        own = [r[1:] for r in data if r[0] == label]
+        for d in range(20):
+            values = [r[d] for r in own]
+            assert got[(label, d)]["n"] == len(own)
+            assert got[(label, d)]["mean"] == pytest.approx(statistics.fmean(values))
+            assert got[(label, d)]["m2"] == pytest.approx(statistics.pvariance(values) * len(own), abs=1e-12)
+    model = N.fit(df, label="label", columns=cols)
+    assert model.first()["classes"][3]["label"] == sorted({r[0] for r in data})[3]
+
+
+def test_tail_for_many_degrees(one):
+    def exact(x, df):  # finite sums in logarithms
+        h, half = x / 2, 0.5 * (df % 2)
+        total = math.erfc(math.sqrt(h)) if df % 2 else 0.0
+        for j in range(1, df // 2 + 1) if df % 2 else range(df // 2):
+            total += math.exp(-h + (j - half) * math.log(h) - math.lgamma(j + 1 - half))
+        return total
+
+    for df in (1, 2, 3, 7, 60, 61, 999, 5000, 5001):
+        for x in (0.3 * df, 1.1 * df, 2.0 * df):
+            got = one(lambda v, n=df: chi_square_tail(v, n), float(x), schema="double")
+            assert got == pytest.approx(exact(x, df), rel=1e-7, abs=1e-12)
+
+
+def test_kruskal_with_many_classes(spark):
+    rng = random.Random(2)
+    data = [(f"k{i % 400}", rng.gauss(0, 1)) for i in range(2000)]
+    df = spark.createDataFrame(data, "g string, x double")
+    row = G.kruskal(df, by="g", columns=["x"]).first()
+    assert row["n"] == 2000 and 0.001 < row["p_value"] < 0.999
 
 
 PAIRS = [("a", "a", 5), ("a", "b", 1), ("b", "b", 2), ("b", "c", 2), ("c", "a", 1)]

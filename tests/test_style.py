@@ -12,12 +12,13 @@ from corpusmill.operators import tokens as W
 from corpusmill.params import PERSON_TITLES, Style, lexicon
 
 TITLES = ("herr", "frau", "von")
-# Four sentences of 2, 5, 1 and 2 words, punctuation apart.
-SENTENCES = [[("Effi", "PROPN", 1), ("lachte", "VERB", None), (".", "PUNCT", None)],
-             [("Herr", "NOUN", 2), ("Innstetten", "PROPN", 2), ("kam", "VERB", None), ("in", "ADP", None),
-              ("das", "DET", None), (".", "PUNCT", None)],
-             [("Haus", "NOUN", None), (".", "PUNCT", None)],
-             [("Effi", "PROPN", 3), ("schlief", "VERB", None), (".", "PUNCT", None)]]
+# Words per sentence, punctuation apart: 3, 6, 1, 1, 4. A person is named four times, two of them as Ole.
+SENTENCES = [[("Morgens", "ADV", None), ("rief", "VERB", None), ("Ole", "PROPN", 7), ("!", "PUNCT", None)],
+             [("Mit", "ADP", None), ("dem", "DET", None), ("Boot", "NOUN", None), ("fuhr", "VERB", None),
+              ("Frau", "NOUN", 8), ("Krogh", "PROPN", 8), (",", "PUNCT", None)],
+             [("Still", "ADV", None)],
+             [("Regen", "NOUN", None), (".", "PUNCT", None)],
+             [("Ole", "PROPN", 9), ("und", "CCONJ", None), ("Krogh", "PROPN", 10), ("schwiegen", "VERB", None)]]
 SCHEMA = "doc_id bigint, pos bigint, sent_id int, token string, is_word boolean, upos string, ent_id int, ent_label string"
 
 
@@ -36,21 +37,22 @@ def words_table(spark, words):
 
 
 def test_token_measures(annotated):
-    assert W.median_sentence_length(annotated).first()["median_sentence_length"] == 2.0
-    assert W.function_word_ratio(annotated, ["DET", "ADP"]).first()["function_word_ratio"] == pytest.approx(0.2)
-    for least, density in ((1, 200), (2, 100)):
-        style = Style(window=5, pos=("DET", "ADP"), titles=TITLES, min_mentions=least)
+    assert W.median_sentence_length(annotated).first()["median_sentence_length"] == 3.0
+    assert W.function_word_ratio(annotated, ["DET", "ADP"]).first()["function_word_ratio"] == pytest.approx(2 / 15)
+    for least, people in ((1, 2), (2, 2), (3, 0)):
+        style = Style(window=5, pos=("DET", "ADP", "CCONJ"), titles=TITLES, min_mentions=least)
+        density = people / 15 * 1000
         assert W.character_density(annotated, style).first()["character_density"] == pytest.approx(density)
         row = W.token_features(annotated, style).first()
-        assert row.asDict() == pytest.approx({"doc_id": 1, "median_sentence_length": 2.0, "sttr": 1.0,
+        assert row.asDict() == pytest.approx({"doc_id": 1, "median_sentence_length": 3.0, "sttr": 1.0,
                                               "function_word_ratio": 0.2, "character_density": density})
 
 
 @pytest.mark.parametrize("words, window, value", [
-    ("a a b c d d d d x".split(), 4, 0.5), ("Der der Mann mann".split(), 4, 0.5), (["kurz"], 10, None)])
+    ("u v u w w w u v x".split(), 3, 2 / 3), ("Ein EIN Boot boot".split(), 2, 0.5), (["eins", "zwei"], 3, None)])
 def test_sttr(spark, one, words, window, value):
-    assert W.standardised_ttr(words_table(spark, words), window).first()["sttr"] == value
-    assert one(lambda t: K.standardised_ttr(K.words(F.lower(t)), window), " ".join(words)) == value
+    assert W.standardised_ttr(words_table(spark, words), window).first()["sttr"] == pytest.approx(value)
+    assert one(lambda t: K.standardised_ttr(K.words(F.lower(t)), window), " ".join(words)) == pytest.approx(value)
 
 
 def test_strict_sttr_raises(spark):
@@ -88,17 +90,18 @@ def test_words_and_sentences(one):
 
 
 def test_cue_mentions(one):
-    text = "Dort kam Herr von Innstetten an, Frau Briest und Dr. Karl Meier."
-    assert one(lambda t: K.cue_mentions(t, PERSON_TITLES), text) == ["Herr von Innstetten", "Frau Briest", "Dr. Karl Meier"]
+    text = "Im Boot saßen Herr von Holm, Frau Krogh und Dr. Nils Ahrens."
+    assert one(lambda t: K.cue_mentions(t, PERSON_TITLES), text) == ["Herr von Holm", "Frau Krogh", "Dr. Nils Ahrens"]
 
 
 def test_person_name(one):
-    assert one(lambda n: P.person_name(n, TITLES), "Herr von Innstetten,") == "innstetten"
-    assert one(lambda n: P.person_name(n, TITLES), "Herr") == ""
-    assert one(lambda n: P.person_name(n, ()), " »Effi«  Briest ") == "effi briest"
+    assert one(lambda n: P.person_name(n, TITLES), "Frau von Holm;") == "holm"
+    assert one(lambda n: P.person_name(n, TITLES), "Von Frau") == ""
+    assert one(lambda n: P.person_name(n, ()), " »Lene«  Krogh ") == "lene krogh"
 
 
-NAMES = {"effi briest": 3, "effi": 5, "effis": 1, "innstetten": 4, "roswitha": 1}
+# The last words krogh and holm make two groups, ole joins holm by the name that contains it, nils stands alone.
+NAMES = {"lene krogh": 2, "kroghs": 1, "krogh": 1, "ole holm": 1, "ole": 6, "oles": 2, "nils": 1}
 
 
 def table(spark, docs):
@@ -108,8 +111,10 @@ def table(spark, docs):
 
 def test_characters_golden(spark):
     rows = table(spark, {1: NAMES})
+    groups = {r["character"]: r["mentions"] for r in H.character_groups(rows).collect()}
+    assert groups == {"krogh": 4, "holm": 9, "nils": 1}
     assert H.character_counts(rows, 2).first()["characters"] == 2
-    assert H.character_counts(rows, 1).first()["characters"] == 3
+    assert H.character_counts(rows, 9).first()["characters"] == 1
 
 
 def cast_model(names, least):
@@ -131,7 +136,7 @@ def cast_model(names, least):
 
 def test_characters_agree_with_single_lookups(spark):
     rng = random.Random(9)
-    parts = ["effi", "effis", "briest", "briests", "s", "ss", "anna", "as", "a"]
+    parts = ["ole", "oles", "holm", "holms", "s", "ss", "lene", "as", "a"]
     docs = {}
     for d in range(120):
         names = {" ".join(rng.choice(parts) for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(1, 9))}
@@ -142,10 +147,26 @@ def test_characters_agree_with_single_lookups(spark):
 
 
 def test_gazetteer_takes_the_longest(spark):
-    texts = spark.createDataFrame([(1, "Effi Briest sah Anna Maria Briest, dann Effi.")], "id int, t string")
-    names = spark.createDataFrame([("effi",), ("Effi Briest",), ("briest",), ("anna maria briest",)], "name string")
-    got = sorted((r["pos"], r["name"]) for r in W.gazetteer_mentions(texts, names, doc_id="id", text="t").collect())
-    assert got == [(0, "Effi Briest"), (3, "Anna Maria Briest"), (7, "Effi")]
+    texts = spark.createDataFrame([(1, "Lene Krogh sah Anna Maria\nKrogh, dann Lene."),
+                                   (2, "Es kam Baron Ole Erik von und zu Holm mit Erik."), (3, None), (4, "")], "id int, t string")
+    names = spark.createDataFrame([("lene",), ("Lene Krogh",), ("krogh",), ("anna maria krogh",), ("Ole Erik von und zu Holm",),
+                                   ("erik",), ("Ole Erik von Holm",), (None,), ("...",)], "name string")
+    got = sorted((r["doc_id"], r["pos"], r["name"]) for r in W.gazetteer_mentions(texts, names, doc_id="id", text="t").collect())
+    assert got == [(1, 0, "Lene Krogh"), (1, 3, "Anna Maria Krogh"), (1, 7, "Lene"), (2, 3, "Ole Erik von und zu Holm"),
+                   (2, 10, "Erik")]
+
+
+def test_gazetteer_reads_texts_once(spark):
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    names = spark.createDataFrame([("Anna Maria",), ("the",)], "name string")
+    plan = W.gazetteer_mentions(texts, names, doc_id="doc_id", text="text")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_only_marks_and_blank_lines_end_a_sentence(one):
+    text = "Am 3. Mai kam\nHr. Dr. Holm\nmit J. R. Krogh. Es war 1832. Dann\n\nRuhe"
+    assert one(K.sentences, text) == ["Am 3. Mai kam\nHr. Dr. Holm\nmit J. R. Krogh", "Es war 1832", "Dann", "Ruhe"]
+    assert one(K.sentence_lengths, text) == [11, 3, 1, 1]
 
 
 def test_token_table(spark):
