@@ -1,3 +1,62 @@
-"""Equivalent SQL (DuckDB) of the registered queries of this subpackage, where SQL can express them."""
+"""Equivalent SQL (DuckDB) of the registered queries of this subpackage, where SQL can express them.
+
+Sketches, automata, tokenizers and learned models cannot be; those queries are
+held against plain Python in the tests.
+"""
 
 ORACLE: dict[str, str] = {}
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_ALNUM = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE["op3_mixing"] = f"""
+WITH sized AS (SELECT doc_id, source, coalesce(text, '') AS t, CAST(len({_WORDS.format("coalesce(text, '')")}) AS BIGINT) AS size
+  FROM documents),
+keyed AS (SELECT *, -ln((CAST('0x' || substr(md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5)
+    / 4503599627370496.0) / (1 / (1 + abs(ln(greatest(length(t) / greatest(size, 1), 0.5) / 6)))) AS key FROM sized),
+sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM keyed GROUP BY source),
+weighed AS (SELECT *, 2.0 * source_size AS cap, CAST([3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]
+  AS DOUBLE) AS w FROM sources),
+levels AS (SELECT a.cap / a.w AS per, (1.5 * (SELECT sum(source_size) FROM sources)
+    - coalesce(sum(b.cap) FILTER (b.cap / b.w < a.cap / a.w), 0)) / sum(b.w) FILTER (b.cap / b.w >= a.cap / a.w) AS level
+  FROM weighed a CROSS JOIN weighed b GROUP BY a.source, a.cap, a.w),
+goal AS (SELECT source, source_size, least(cap, coalesce(w * (SELECT level FROM levels WHERE per >= level ORDER BY per LIMIT 1),
+  cap)) AS target FROM weighed),
+placed AS (SELECT k.*, g.source_size, g.target, CAST(round(g.target) AS BIGINT) AS aim,
+  coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, md5(t)
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM keyed k JOIN goal g ON g.source IS NOT DISTINCT FROM k.source)
+SELECT doc_id, size, source_size, target, CAST(aim // greatest(source_size, 1) * size + greatest(0, least(size,
+  aim - aim // greatest(source_size, 1) * source_size - before)) AS BIGINT) AS taken FROM placed"""
+
+ORACLE["op8_near_duplicates"] = f"""
+WITH RECURSIVE words AS (SELECT doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS ws FROM documents),
+shingles AS (SELECT DISTINCT doc_id, s FROM (
+  SELECT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3),
+    lambda i: array_to_string(ws[i:i + 4], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM words)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS joint FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * joint >= 75 * (x.n + y.n - joint)),
+reach AS (SELECT doc_id AS a, doc_id AS r FROM documents UNION SELECT reach.a, l.b FROM reach JOIN links l ON l.a = reach.r)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN (SELECT a, min(r) AS component_id FROM reach GROUP BY a) c
+  ON c.a = d.doc_id"""
+
+ORACLE["op10_decontamination"] = f"""
+WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ALNUM.format(_LOWER.format("coalesce(text, '')"))} AS ws FROM benchmark),
+windows AS (SELECT DISTINCT item, l, win FROM (
+  SELECT item, least(13, len(ws)) AS l, unnest(list_transform(range(1, len(ws) - least(13, len(ws)) + 2),
+    lambda i: array_to_string(ws[i:i + least(13, len(ws)) - 1], ' '))) AS win FROM items WHERE len(ws) > 0)),
+docs AS (SELECT doc_id, {_ALNUM.format(_LOWER.format("coalesce(text, '')"))} AS ws FROM documents),
+places AS (SELECT doc_id, l, unnest(range(1, len(ws) - l + 2)) AS i, unnest(list_transform(range(1, len(ws) - l + 2),
+    lambda i: array_to_string(ws[i:i + l - 1], ' '))) AS win FROM docs CROSS JOIN (SELECT DISTINCT l FROM windows)),
+found AS (SELECT doc_id, i, places.l AS l, item FROM places JOIN windows ON windows.l = places.l AND windows.win = places.win),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names
+  FROM found GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM docs d LEFT JOIN hit h ON h.doc_id = d.doc_id LEFT JOIN named n ON n.doc_id = d.doc_id"""
