@@ -13,8 +13,9 @@ from corpusmill.functions.tokens import BLANK_LINE, INNER_DOT, NO_END, SENTENCE_
 from corpusmill.operators.evaluate import BASELINE, CENTROID, GROUPED, RANDOM, pred_column
 from corpusmill.params import PERSON_TITLES, lexicon
 from corpusmill.plans import derived
-from corpusmill.plans.registry import (CLASSES, EPOCHS, EV, FEATURES, FLAGS, LONG_KEYWORDS, MEASURES, NAME_PATTERNS,
+from corpusmill.plans.registry import (CHAIN, CLASSES, EPOCHS, EV, FEATURES, FLAGS, LONG_KEYWORDS, MEASURES, NAME_PATTERNS,
                                        SEL, SETTINGS, STYLE)
+from corpusmill.sources.tables import FEATURE_COLUMNS
 
 ORACLE: dict[str, str] = {}
 
@@ -310,6 +311,16 @@ ORACLE["streamed_features"] = ORACLE["feature_table"]
 ORACLE["incremental_features"] = with_(CAT, PEOPLE, *FEATURE_CTES, select=f"""
 SELECT s.id, p.name AS author, {collapse_ws('c0.title')} AS title, p.birth_year, p.death_year, {EPOCH} AS epoch,
   {FEATURE_COLS} FROM {FEATURE_JOIN} JOIN people p ON p.id = s.id AND p.pos = 0 JOIN cat c0 ON c0.id = s.id""")
+_CHAIN = CHAIN.selection
+CHAIN_CTES = (*ALL_CANDIDATES, *FEATURE_CTES, f"""
+eligible AS (SELECT c.*, n_words FROM candidates c JOIN counts USING (id) WHERE n_words >= {_CHAIN.min_words}),
+few AS (SELECT *, row_number() OVER (PARTITION BY author ORDER BY shuffle_key, id) AS ra FROM eligible),
+fewer AS (SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY shuffle_key, id) AS re FROM few
+  WHERE ra <= {_CHAIN.max_per_author}),
+chain AS (SELECT s.id, f.author, f.title, f.birth_year, f.death_year, f.epoch, {FEATURE_COLS.replace("round(", "(").replace(", 9)", ")").replace("n_words", "r.n_words")}
+  FROM {FEATURE_JOIN} JOIN fewer f ON f.id = s.id AND re <= {_CHAIN.max_per_epoch})""")
+ORACLE["pipeline_features"] = with_(*CHAIN_CTES, select="SELECT id, author, title, birth_year, death_year, epoch, "
+                                    + ", ".join(f"round({c}, 9) AS {c}" for c in FEATURE_COLUMNS) + " FROM chain")
 ORACLE["new_ids"] = "SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels"
 
 # Group statistics
@@ -496,6 +507,9 @@ SELECT vec_id, label, pred FROM (SELECT *, row_number() OVER (PARTITION BY vec_i
 SCORES = macro("preds", "model", "sc")
 ORACLE["test_scores"] = with_(*SPLIT, *MODEL, SCORES, select="""
 SELECT model, round(accuracy, 6) AS accuracy, round(macro_f1, 6) AS macro_f1 FROM sc""")
+ORACLE["pipeline_analysis"] = with_(*CHAIN_CTES, "fin AS (SELECT id, author, epoch, " + ", ".join(
+    f"{c} AS {f}" for c, f in zip(FEATURE_COLUMNS, FEATURES)) + " FROM chain)", *SPLIT[1:], *MODEL, SCORES, select="""
+SELECT model, round(accuracy, 6) AS accuracy, round(macro_f1, 6) AS macro_f1 FROM sc""")
 REPORT = f"""labels_ AS (SELECT CAST(o AS INTEGER) AS ord, label FROM (VALUES {', '.join(f"({i}, {q(c)})" for i, c in enumerate(CLASSES))}) AS v(o, label)),
 per AS (SELECT model, ord, label, count(*) FILTER (truth = label AND pred = label) AS hits,
   count(*) FILTER (pred = label) AS predicted, count(*) FILTER (truth = label) AS support

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -446,6 +447,37 @@ def incremental_features(spark, sf):
     return numbers(jobs.build_features(corpus, texts, out, SETTINGS, names=names(spark, sf)), 9, *T.FEATURE_COLUMNS)
 
 
+# The chain of jobs takes more texts per author and epoch than the single queries.
+CHAIN = replace(SETTINGS, selection=replace(SEL, max_per_author=20, max_per_epoch=200))
+
+
+def _chain(spark, sf):
+    """Catalog file, candidates, corpus under general quotas, features: each job reads what the last has written."""
+    path, out = fresh_path(spark, "catalog-csv"), fresh_path(spark, "chain")
+    write_catalog(catalog(spark, sf), path)
+    chosen = jobs.build_candidates(spark, path, f"{out}/candidates", CHAIN)
+    corpus = jobs.build_corpus(chosen, books(spark, sf), f"{out}/corpus", CHAIN, general=True)
+    return jobs.build_features(corpus, books(spark, sf), f"{out}/features", CHAIN, names=names(spark, sf))
+
+
+@query
+def pipeline_features(spark, sf):
+    return numbers(_chain(spark, sf), 9, *T.FEATURE_COLUMNS)
+
+
+@query
+def pipeline_analysis(spark, sf):
+    """The cheap models on the features of the chain, by model."""
+    rows = _chain(spark, sf).select("id", "author", "epoch", *[
+        F.col(c).alias(f) for c, f in zip(T.FEATURE_COLUMNS, FEATURES, strict=True)])
+    marked = materialise(D.with_group_folds(rows, group="author", label="epoch", folds=EV.test_folds, seed=EV.seed,
+                                            out="part"), "split")
+    train, test = marked.where("part <> 0").drop("part"), marked.where("part = 0").drop("part")
+    wide = jobs.test_predictions(train, test, label="epoch", columns=FEATURES, fitted={})
+    long = E.by_model(wide, {m: E.pred_column(m) for m in (E.BASELINE, E.CENTROID)})
+    return numbers(E.scores(E.pair_counts(long, truth="epoch", by=["model"]), ["model"]), 6, "accuracy", "macro_f1")
+
+
 @query
 def streamed_features(spark, sf):
     source, out, mark = (fresh_path(spark, n) for n in ("arriving", "streamed", "progress"))
