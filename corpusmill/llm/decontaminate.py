@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from corpusmill.llm.batches import small_batches
 from corpusmill.llm.fmindex import FmIndex
 from corpusmill.llm.wordcodes import ALNUM, chunks, words
 from corpusmill.runtime import materialise
@@ -137,6 +138,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, p: Decontaminate = Decontaminate
     hits words but is not named; repeated items are one. An empty benchmark
     hits nothing, an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     total = benchmark.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(total) // p.block_chars))
     fields = [StructField("_n_words", LongType()), StructField("_hits", ArrayType(LongType())),

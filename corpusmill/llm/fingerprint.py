@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.llm.batches import small_batches
 from corpusmill.llm.wordcodes import chunks, distinct, shingles, words
 
 
@@ -113,6 +114,7 @@ def fingerprints(docs: DataFrame, p: Sketch = Sketch()) -> DataFrame:
     first text of the next range. Null texts are empty; their sketch is the
     empty string. A single row follows itself. An empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.desc_nulls_last("doc_id"), F.asc("text")]
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))

@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.batches import small_batches
 from corpusmill.llm.hmm import Hmm, expected, initial, log10_forward, maximise
 from corpusmill.llm.langid import held_out
 from corpusmill.llm.wordcodes import Words, chunks, words
@@ -267,6 +268,7 @@ def score(docs: DataFrame, p: HmmLm = HmmLm()) -> DataFrame:
     end. Repeated rows are scored and counted each. Without rows to learn from
     all words are unknown and the model is uniform over its symbols.
     """
+    small_batches(docs.sparkSession)
     marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                          held_out(F.col("doc_id"), p.folds, p.held).alias("held_out"), "text")
     learn = marked.where("NOT held_out")

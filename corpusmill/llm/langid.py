@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from corpusmill.llm.batches import small_batches
 from corpusmill.llm.letters import lower_letters
 from corpusmill.llm.wordcodes import chunks
 
@@ -71,6 +72,7 @@ def features(column: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def train(docs: DataFrame, p: LangId = LangId()) -> Model:
     """Fit on the rows of ``docs`` (doc_id, text, lang) with a lang; others are ignored."""
+    small_batches(docs.sparkSession)
     labelled = docs.where("lang IS NOT NULL").select("doc_id", "text", F.col("lang").alias("lang"))
     most = p.max_bytes // (4 << p.bits)
     counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(most + 1).collect()}
@@ -135,6 +137,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     A text that is null, empty or without a letter is ``und`` with score 0, and
     so is every text if no document had a language to learn from.
     """
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
