@@ -12,6 +12,7 @@ numbers by kind, go through a logistic regression to a probability.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.automaton import NOTHING, STEM, STEM_1, WORD, WORD_1, WORD_2, Automaton, build, judge
+from corpusmill.llm.batches import small_batches
 from corpusmill.llm.langid import held_out
 from corpusmill.llm.letters import code_points
 from corpusmill.llm.wordcodes import chunks
@@ -53,10 +55,14 @@ class Toxicity:
 
 @dataclass
 class Model:
-    """``rates`` are the terms' occurrences per word of clean text, ``weak`` those that clean texts do contain."""
+    """Per word of clean text, ``rates`` are the terms' occurrences and ``loose`` any misspelling's.
+
+    ``weak`` are the terms that clean texts do contain.
+    """
 
     automaton: Automaton
     rates: np.ndarray
+    loose: float
     weak: np.ndarray
     weights: np.ndarray
     words: list[str]
@@ -115,17 +121,21 @@ def features(column: pa.Array, m: Model, p: Toxicity) -> np.ndarray:
         near[1:] |= close
         near[:-1] |= close
     exact = plain & ((verdict == WORD) | (verdict == STEM))
+    loose = plain & ~exact
     weak = m.weak[term]
+    # A misspelled term is a term of its own, as rare as misspellings are in clean texts.
+    kind = np.where(exact, term, term + len(m.rates))
+    rates = np.concatenate([m.rates, np.full(len(m.rates), m.loose)])
 
     def per_text(which: np.ndarray) -> np.ndarray:
         return np.bincount(text[which], minlength=n).astype(float)
 
     return np.stack([
-        np.minimum(12, _surprise(text[exact], term[exact], words, m.rates)),
-        np.log1p(per_text(exact & ~weak)), np.log1p(per_text(exact & weak)), np.minimum(1, per_text(exact & weak)),
+        np.minimum(12, _surprise(text[plain], kind[plain], words, rates)),
+        np.log1p(per_text(exact & ~weak) + 0.5 * per_text(loose)), np.log1p(per_text(exact & weak)), np.minimum(1, per_text(exact & weak)),
         np.log1p(per_text(plain & (verdict == WORD_1))), np.log1p(per_text(plain & (verdict == WORD_2))),
         np.log1p(per_text(plain & (verdict == STEM_1))), np.log1p(per_text(~plain)),
-        np.log1p(per_text(plain & near & ~weak)), np.minimum(1.0, 20 * per_text(exact) / np.maximum(words, 20)),
+        np.log1p(per_text(plain & near & ~weak)), np.minimum(1.0, 20 * per_text(plain) / np.maximum(words, 20)),
     ], axis=1)
 
 
@@ -179,7 +189,9 @@ def learn_lexicon(rows: DataFrame, p: Toxicity) -> tuple[list[str], list[str], s
         t = F.col(f"t{k}") / sizes["t"]
         return t / (t + F.col(f"c{k}") / sizes["c"])
 
-    kinds = counts.withColumn("twice", F.when((F.col("t1") >= least) & (rate(1) >= p.precision), False)
+    # A stem of three letters has to be surer than that.
+    sure = F.when(F.length("term") > 4, p.precision).when(F.col("term").endswith("*"), (4 + p.precision) / 5).otherwise(p.precision)
+    kinds = counts.withColumn("twice", F.when((F.col("t1") >= least) & (rate(1) >= sure), False)
                               .when((F.col("t2") >= least) & (rate(2) >= p.precision_twice), True))
     good = kinds.where("twice IS NOT NULL").orderBy(F.desc(F.when(F.col("twice"), F.col("t2")).otherwise(F.col("t1"))),
                                                     "term").limit(p.candidates).select("term", "twice")
@@ -191,10 +203,10 @@ def learn_lexicon(rows: DataFrame, p: Toxicity) -> tuple[list[str], list[str], s
     need = np.full(len(docs), p.cover)
     chosen: list[str] = []
     while has and len(chosen) < p.terms:
-        # Most documents that still lack an explanation; then the surer, then the whole word, then the longer stem.
-        gain, _, _, _, term = max((int((need[d] > 0).sum()), t not in twice, not t.endswith("*"), len(t), t)
-                                  for t, d in has.items())
-        if gain < least:
+        # Most documents that still lack an explanation; of about as many, the surer, the whole word, the longer stem.
+        gains = {t: int((need[d] > 0).sum()) for t, d in has.items()}
+        term = max(gains, key=lambda t: (int(20 * math.log(max(1, gains[t]))), t not in twice, t[-1] != "*", len(t), t))
+        if gains[term] < least:
             break
         need[has.pop(term)] -= 1
         chosen.append(term)
@@ -208,6 +220,7 @@ def learn_lexicon(rows: DataFrame, p: Toxicity) -> tuple[list[str], list[str], s
 
 def train(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model:
     """Fit on rows of ``docs`` that ``labels`` marks toxic 0 or 1; of double labels the toxic one counts."""
+    small_batches(docs.sparkSession)
     rows = sample(docs, labels, p)
     words, stems, weak = learn_lexicon(rows, p)
     first = build(words, stems, weak)
@@ -233,7 +246,9 @@ def train(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model
     automaton = build(words, stems, weak, seen["form"].dropna())
     n = dict(zip(seen["term"][seen["form"].isna()].astype(int), seen["n"][seen["form"].isna()], strict=True))
     rates = np.array([n.get(i, 0) + 0.5 for i in range(terms)] or [1.0]) / max(1, n.get(-1, 0))
-    model = Model(automaton, rates, np.array([t in weak for t in words + stems] or [False]), np.zeros(FEATURES + 1),
+    # Forms not seen before turn up about as often as forms seen once did.
+    loose = ((seen["n"][seen["form"].notna()] == 1).sum() + 0.5) / max(1, n.get(-1, 0))
+    model = Model(automaton, rates, loose, np.array([t in weak for t in words + stems] or [False]), np.zeros(FEATURES + 1),
                   words, stems)
 
     def measure(batches) -> Iterator[pa.RecordBatch]:
@@ -275,6 +290,7 @@ def score(docs: DataFrame, model: Model, p: Toxicity = Toxicity()) -> DataFrame:
 
     Null and empty texts have no hits and get the score of a text without any.
     """
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
