@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from corpusmill.llm.batches import small_batches
 from corpusmill.llm.wordcodes import chunks
+from corpusmill.runtime import materialise
 
 #: Fixed value: how the vocabulary's tokenizer splits a text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -33,6 +35,7 @@ def lengths(docs: DataFrame, p: Tokenizer = Tokenizer(), out: str = "_n_tokens")
         data = file.read(p.max_bytes + 1)
     if len(data) > p.max_bytes:
         raise ValueError(f"{p.path} is larger than {p.max_bytes} bytes")
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(data)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -74,7 +77,7 @@ def histogram(lengths_: DataFrame, length: str = "_n_tokens") -> DataFrame:
     gives no rows.
     """
     rows = lengths_.groupBy(F.col(length).alias("n_tokens")).agg(F.count("*").alias("n_docs"))
-    rows = rows.withColumn("bucket", _bucket("n_tokens"))
+    rows = materialise(rows.withColumn("bucket", _bucket("n_tokens")), "lengths")  # or texts would be encoded twice
     tokens = F.col("n_tokens") * F.col("n_docs")
     sums = rows.groupBy("bucket").agg(F.sum("n_docs").alias("d"), F.sum(tokens).alias("t"))
     above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
