@@ -40,9 +40,15 @@ def with_rank(df: DataFrame, *, key: str, ties: list[str], by: list[str] = (), l
     cell, before, local = "__cell", "__before", "__local"
     rows = df.withColumn(cell, F.substring(key, 1, prefix))
     group = by + leading + [cell]
-    earlier = Window.partitionBy(*by).orderBy(*leading, cell).rowsBetween(Window.unboundedPreceding, -1)
-    cells = (rows.groupBy(*group).agg(F.count("*").alias("__n"))
-             .select(*group, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(before)))
+    # Cells are added up inside one combination of the leading columns, and these among themselves.
+    earlier = Window.partitionBy(*by, *leading).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*group).agg(F.count("*").alias("__n"))
+    cells = counts.select(*group, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(before))
+    if leading:
+        sooner = Window.partitionBy(*by).orderBy(*leading).rowsBetween(Window.unboundedPreceding, -1)
+        heads = (counts.groupBy(*by, *leading).agg(F.sum("__n").alias("__n"))
+                 .select(*by, *leading, F.coalesce(F.sum("__n").over(sooner), F.lit(0)).alias("__sooner")))
+        cells = join_on(cells, heads, by + leading).select(*group, (F.col(before) + F.col("__sooner")).alias(before))
     placed = rows.withColumn(local, F.row_number().over(Window.partitionBy(*group).orderBy(key, *ties)))
     return (join_on(placed, cells, group)
             .withColumn(out, F.col(before) + F.col(local))

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from corpusmill.runtime import materialise
 
 
+# Parts of a class that are limited on their own first.
+CELLS = 64
+
+
 def _numbered(df: DataFrame, keys: list[str], order: list[str], limit: int) -> DataFrame:
     place = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(place)).where(F.col("__rn") <= limit).drop("__rn")
@@ -21,10 +25,11 @@ def quota_select(rows: DataFrame, *, author: str, group: str, order: list[str],
                  per_group: int) -> DataFrame:
     """The walk for authors that belong to one class only: two row limits.
 
-    Both limits are applied on the map side first, so a class that holds most
-    of the rows sends ``per_group`` rows per partition.
+    Both limits are applied on the map side first. A class may hold most of
+    the rows, so its limit is applied in cells and then to what these leave.
     """
-    return _numbered(_numbered(rows, [author], order, per_author), [group], order, per_group)
+    few = _numbered(rows, [author], order, per_author).withColumn("__cell", F.pmod(F.xxhash64(*order), F.lit(CELLS)))
+    return _numbered(_numbered(few, [group, "__cell"], order, per_group).drop("__cell"), [group], order, per_group)
 
 
 def quota_select_general(rows: DataFrame, *, author: str, group: str, order: list[str], per_author: int,

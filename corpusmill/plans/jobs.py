@@ -20,16 +20,21 @@ from corpusmill.operators.tokens import gazetteer_mentions
 from corpusmill.params import Settings, lexicon
 from corpusmill.runtime import computed_once, materialise, scratch, spread
 from corpusmill.sources import tables as T
-from corpusmill.sources.catalog import read_catalog
+from corpusmill.sources.catalog import CATALOG_COLUMNS, read_catalog, require_columns
 
 def only_ids(texts: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
     """The texts with a listed id; how they meet is left to the optimiser."""
     return texts.join(ids.select(id_col), id_col, "left_semi")
 
 
-def build_candidates(spark: SparkSession, catalog_path: str, out: str, settings: Settings) -> DataFrame:
-    """Catalog file to candidate table; the filter counts go next to it."""
-    catalog = read_catalog(spark, catalog_path)
+def build_candidates(spark: SparkSession, catalog: str | DataFrame, out: str, settings: Settings) -> DataFrame:
+    """Catalog to candidate table; the filter counts go next to it.
+
+    The catalog is a CSV file, or a table with the columns of ``read_catalog``:
+    cells with line breaks keep a CSV file from being split, so a very large
+    catalog should come as a table.
+    """
+    catalog = read_catalog(spark, catalog) if isinstance(catalog, str) else require_columns(catalog, CATALOG_COLUMNS.values())
     table = cat.candidates(catalog, settings.selection, settings.epochs)
     T.write_table(cat.filter_funnel(catalog, settings.selection, settings.epochs), out + "_filter_counts", fmt="csv")
     T.write_table(table.orderBy("shuffle_key", "id"), out)

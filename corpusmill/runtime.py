@@ -58,11 +58,13 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
 
     Used where several branches read one expensive result. Unlike a cached
     table the written one survives the loss of executors, and unlike a plain
-    checkpoint it keeps column pruning and filter push-down. Inside
-    ``scratch`` it is deleted at the end.
+    checkpoint it keeps column pruning and filter push-down. It is deleted at
+    the end of ``scratch``, and anyway when the driver ends.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     df.write.parquet(path)
     kept = _scratch.get()
     if kept is not None:

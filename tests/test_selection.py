@@ -92,3 +92,26 @@ def test_split_does_not_leak(spark, labelled):
     assert train.count() + test.count() == 600
     with pytest.raises(ValueError, match="both train and test"):
         D.assert_no_leak(labelled, labelled, group="author")
+
+
+def test_ranks_keep_rows_without_a_key(spark):
+    """Null groups and null leading values are groups of their own, and every rank occurs once."""
+    rng = random.Random(3)
+    rows = [(i, rng.choice([None, "a", "b"]), rng.choice([None, 1, 2, 3])) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, g string, s int").withColumn("k", order_key(F.col("id"), 1))
+    got = with_rank(df, key="k", ties=["id"], by=["g"], leading=["s"], out="r", prefix=1).collect()
+    assert len(got) == 300
+    for g in (None, "a", "b"):
+        own = sorted((r for r in got if r["g"] == g), key=lambda r: (r["s"] is not None, r["s"] or 0, r["k"], r["id"]))
+        assert [r["r"] for r in own] == list(range(1, len(own) + 1))
+
+
+def test_folds_keep_rows_without_group_or_label(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice([None, "x", "y"]), rng.choice([None, *"abcdefgh"])) for i in range(100)] + [(None, None, None)]
+    df = spark.createDataFrame(rows, "id int, label string, author string")
+    for fold in (D.with_random_folds(df, id_col="id", label="label", folds=5, seed=1),
+                 D.with_group_folds(df, group="author", label="label", folds=5, seed=1)):
+        got = fold.collect()
+        assert len(got) == 101 and all(0 <= r["fold"] < 5 for r in got)
+    assert len({r["fold"] for r in got if r["author"] is None}) == 1
