@@ -25,6 +25,7 @@ class Mix:
     total: float = 1.5
     most: int = 2
     seed: str = "mix"
+    copies: int = 64
 
 
 def prose_likeness(text: Column, size: Column) -> Column:
@@ -105,7 +106,10 @@ def mix(docs: DataFrame, p: Mix = Mix(), quality=prose_likeness) -> DataFrame:
     start = placed.groupBy("source").agg(F.min("all_before").alias("start"))
     known = goal.join(start, goal["source"].eqNullSafe(start["source"])).select(
         goal["source"].alias("_source"), "source_size", "target", "start")
-    joined = placed.join(known, F.col("source").eqNullSafe(F.col("_source")))
+    # A source may have a third of all rows: they are dealt out to copies of its one row.
+    known = known.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(p.copies - 1))))
+    joined = placed.withColumn("_deal", F.pmod("rank", F.lit(p.copies)).cast("int")).join(
+        known, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_deal") == F.col("_copy")))
     aim, whole = F.round("target").cast("long"), F.greatest("source_size", F.lit(1))
     epochs = F.floor(aim / whole)
     rest = aim - epochs * F.col("source_size") - (F.col("all_before") - F.col("start"))
