@@ -5,10 +5,12 @@ minima, packed in a few numbers, and one key per band of minima. Classes that
 share a band key are candidates; the packed bits estimate their similarity,
 corrected for chance agreement, and pairs that may reach the threshold are
 confirmed on their full sets. A bucket's members are held against its smallest
-member first; only members that are still in different components afterwards
-are held against each other, so a large group of copies costs a few links per
-copy. At a similarity of 0.75 a link misses all 32 bands of 4 minima with
-probability 5e-6, and falls below the cut of the estimate with 3e-7.
+member first. Only members that are still in different components afterwards
+are held against each other, by longer signatures that these classes alone get,
+and each pair in one of its common buckets only. So a large group of copies
+costs a few links per copy, and a group of texts that are merely alike few
+confirmations. At a similarity of 0.75 a link misses all 32 bands of 4 minima
+with probability 5e-6, and falls below a cut of the estimates with 5e-6.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.batches import small_batches
 from corpusmill.llm.components import components
 from corpusmill.llm.wordcodes import chunks, distinct, mix, shingles, words
 from corpusmill.runtime import materialise
@@ -31,22 +34,23 @@ HALF_MASK = 0x5555555555555555
 
 @dataclass(frozen=True)
 class NearDup:
-    """``percent`` of the union that two sets must share; ``cut`` on the estimate."""
+    """``percent`` of the union that two sets must share; ``cut`` on the estimate, ``fine_cut`` on that of ``fine`` minima."""
 
     shingle: int = 5
     percent: int = 75
     bands: int = 32
     rows: int = 4
     cut: float = 0.5
+    more: int = 2
+    fine: int = 2048
+    fine_cut: float = 0.7
+    block: int = 1024
     seed: int = 1
 
 
 def sketch_batches(p: NearDup):
     """Shingle-set size, digest, band keys, packed two-bit minima and packed text per row."""
     n = p.bands * p.rows
-    rng = np.random.default_rng(p.seed)
-    times = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    plus = rng.integers(0, 1 << 63, n, dtype=np.uint64)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         from hashlib import blake2b
@@ -58,13 +62,8 @@ def sketch_batches(p: NearDup):
             digest = [blake2b(raw[8 * a:8 * b], digest_size=16).digest() if b > a else None
                       for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             some = np.flatnonzero(size)
-            minima = np.zeros((len(some), n), dtype=np.uint64)
-            if len(some):
-                for j in range(n):
-                    minima[:, j] = np.minimum.reduceat(codes * times[j] + plus[j], bounds[:-1][some])
-            mixed = mix(minima.copy())
-            bits = (mixed & np.uint64(3)).reshape(len(some), n // 32, 32)
-            packed = (bits << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(axis=2, dtype=np.uint64)
+            mixed = minima(codes, bounds[:-1][some], n, p.seed)
+            packed = low_bits(mixed)
             key = np.zeros((len(some), p.bands), dtype=np.uint64)
             for r in range(p.rows):
                 key = mix(key + mixed[:, r::p.rows][:, :p.bands])
@@ -77,6 +76,37 @@ def sketch_batches(p: NearDup):
     return run
 
 
+def minima(codes: np.ndarray, starts: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """``n`` minima of each set, set after set in ``codes``, their bits spread."""
+    rng = np.random.default_rng(seed)
+    times = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    plus = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    out = np.zeros((len(starts), n), dtype=np.uint64)
+    if len(starts):
+        for j in range(n):
+            out[:, j] = np.minimum.reduceat(codes * times[j] + plus[j], starts)
+    return mix(out)
+
+
+def low_bits(mixed: np.ndarray) -> np.ndarray:
+    """Two bits of every minimum, 32 in a number."""
+    bits = (mixed & np.uint64(3)).reshape(len(mixed), mixed.shape[1] // 32, 32)
+    return (bits << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(axis=2, dtype=np.uint64)
+
+
+def fine_batches(p: NearDup):
+    """``(node, fine)``: a longer packed signature from the packed text."""
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(0, whole.num_rows, 256):
+                batch = whole.slice(i, 256)
+                codes, bounds = distinct(*shingles(words(unpack(batch.column(1))), p.shingle))
+                packed = low_bits(minima(codes, bounds[:-1], p.fine, p.seed + 1))
+                yield pa.RecordBatch.from_arrays([batch.column(0), _spread(packed, np.arange(len(packed)), len(packed))],
+                                                 names=["node", "fine"])
+    return run
+
+
 def _spread(rows: np.ndarray, at: np.ndarray, n: int) -> pa.Array:
     """Rows as lists of longs at their places, null elsewhere."""
     take = np.full(n, -1)
@@ -122,19 +152,34 @@ def confirm_batches(p: NearDup):
     return run
 
 
-def estimate(x: str, y: str, p: NearDup) -> Column:
+def _differing(pairs: list[tuple[Column, Column]]) -> Column:
+    """How many two-bit minima differ in pairs of packed numbers."""
+    total = F.lit(0)
+    for x, y in pairs:
+        d = x.bitwiseXOR(y)
+        total = total + F.bit_count(d.bitwiseOR(F.shiftright(d, 1)).bitwiseAND(F.lit(HALF_MASK)))
+    return total
+
+
+def _most_differing(n: int, cut: float) -> int:
+    """The most differing minima at which the similarity can be estimated as ``cut``."""
+    return int(n * 0.75 * (1 - cut) + 1e-9)
+
+
+def estimate(x: str, y: str, n: int) -> Column:
     """Similarity from equal two-bit minima, without those equal by chance."""
-    n = p.bands * p.rows
-    differ = None
-    for i in range(n // 32):
-        d = F.col(x)[i].bitwiseXOR(F.col(y)[i])
-        d = d.bitwiseOR(F.shiftright(d, 1)).bitwiseAND(F.lit(HALF_MASK))
-        differ = F.bit_count(d) if differ is None else differ + F.bit_count(d)
+    differ = _differing([(F.col(x)[i], F.col(y)[i]) for i in range(n // 32)])
     return (1 - differ / n - 0.25) / 0.75
 
 
+def _short(key: Column) -> Column:
+    """Half of a band key: enough to see whether a pair has met in an earlier bucket."""
+    return F.pmod(key, F.lit((1 << 31) - 1)).cast("int")
+
+
 def sketches(docs: DataFrame, p: NearDup) -> DataFrame:
     """One row per document, written: ``row`` (unique), doc_id, text_key and its sketch."""
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("text_key"), "text")
     made = slim.mapInArrow(
@@ -179,27 +224,38 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
 
     def near(pairs: DataFrame) -> DataFrame:
         return (pairs.join(bits.toDF("a", "xa"), "a").join(bits.toDF("b", "xb"), "b")
-                .withColumn("likeness", estimate("xa", "xb", p)).where(F.col("likeness") >= p.cut)
+                .withColumn("likeness", estimate("xa", "xb", p.bands * p.rows)).where(F.col("likeness") >= p.cut)
                 .select("a", "b", "likeness"))
 
     stars = materialise(near(members.where("node <> centre").select(
         F.col("node").alias("a"), F.col("centre").alias("b")).distinct()), "stars")
-    # First the likeliest centre of each member, then its others as far as they still matter.
+    # First the likeliest centre of each member.
     best = stars.groupBy("a").agg(F.max(F.struct("likeness", "b")).alias("m")).select("a", "m.b")
     links = materialise(confirmed(best, texts, p), "confirmed")
     comp = materialise(components(links), "comp")
-    rest = stars.join(best, ["a", "b"], "left_anti")
-    links = materialise(links.union(confirmed(apart(rest, comp), texts, p)), "confirmed")
+
+    def unresolved() -> DataFrame:
+        """``(key, node, comp)`` of the buckets whose members are not all in one component."""
+        placed = members.select("key", "node").join(comp, "node", "left").select(
+            "key", "node", F.coalesce("comp", "node").alias("comp"))
+        mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+        return materialise(placed.join(mixed.select("key"), "key"), "open")
+
+    # Then its other centres as far as they still matter, and a few more by chance, since the smallest
+    # member need not be the one that the others are near to.
+    rest = stars.join(best, ["a", "b"], "left_anti").select("a", "b")
+    open_ = unresolved()
+    by_chance = [F.min(F.struct(F.xxhash64("node", F.lit(i)), "node"))["node"].alias(f"c{i}") for i in range(p.more)]
+    more = open_.join(open_.groupBy("key").agg(*by_chance), "key").select(
+        F.col("node").alias("a"), F.explode(F.array(*[f"c{i}" for i in range(p.more)])).alias("b")).where("a <> b").distinct()
+    both = apart(rest, comp).union(near(apart(more, comp)).select("a", "b")).distinct()
+    links = materialise(links.union(confirmed(both, texts, p)), "confirmed")
     comp = materialise(components(links), "comp")
     # Then all members of a bucket that are not in one component.
-    placed = members.select("key", "node").join(comp, "node", "left").select(
-        "key", "node", F.coalesce("comp", "node").alias("comp"))
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    open_ = materialise(placed.join(mixed.select("key"), "key").join(bits, "node"), "open")
-    x, y = open_.toDF("key", "a", "ca", "xa"), open_.toDF("key", "b", "cb", "xb")
-    x, y = [t.select("key", *t.columns[1:]) for t in (x, y)]
-    cross = x.join(y, "key").where((F.col("ca") < F.col("cb")) & (estimate("xa", "xb", p) >= p.cut))
-    cross = cross.select("a", "b").distinct()
+    open_ = unresolved()
+    fine = materialise(texts.join(open_.select("node").distinct(), "node").select("node", "z").mapInArrow(
+        fine_batches(p), "node long, fine array<long>"), "fine")
+    cross = materialise(_across(open_, parts, fine, p), "cross")
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(
         done, ["a", "b"], "left_anti")
@@ -208,18 +264,92 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
 
     named = classes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = materialise(named, "named")
-    ids = named.groupBy("comp").agg(F.min("least").alias("component_id"))
+    # Written, so that the join below can split a component that has very many classes.
+    ids = materialise(named.groupBy("comp").agg(F.min("least").alias("component_id")), "ids")
     table = s.select("row", "doc_id", "text_key", "n_shingles", "digest").join(
         named.join(ids, "comp").select("digest", "component_id", "comp"), "digest", "left")
     table = table.withColumn("component_id", F.when(F.col("digest").isNull(), F.col("doc_id"))
                              .otherwise(F.col("component_id")))
     # The row that stands for a component is the first with its id.
-    heads = table.where("comp IS NOT NULL AND doc_id <=> component_id").groupBy("comp").agg(F.min("row").alias("head"))
-    table = table.join(heads, "comp", "left")
+    heads = table.where("comp IS NOT NULL AND doc_id <=> component_id").groupBy("comp").agg(F.min("row").alias("row"))
+    table = table.join(heads.select("row", F.lit(True).alias("head")), "row", "left")
     return table.select(
         "row", "doc_id", "text_key", "n_shingles", "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
-        F.coalesce(F.col("row") == F.col("head"), F.lit(True)).alias("first"))
+        (F.col("comp").isNull() | F.coalesce("head", F.lit(False))).alias("first"))
+
+
+def _across(members: DataFrame, parts: DataFrame, fine: DataFrame, p: NearDup) -> DataFrame:
+    """Pairs ``(a, b)`` of a bucket in different components that both signatures let through, each pair once.
+
+    A bucket is cut into blocks and every two blocks meet in a group of their
+    own, so no group holds more than about twice ``p.block`` members.
+    """
+    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / p.block).cast("int").alias("blocks"))
+    keys = parts.select("node", "bits", F.transform("bands", _short).alias("keys"))
+    rows = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node", F.lit(p.seed)), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "comp")
+    rows = rows.join(fine, "node").join(keys, "node").select(
+        "key", "lo", "hi", "block", "node", "comp", F.array_position("keys", _short(F.col("key"))).cast("int").alias("band"),
+        "bits", "fine", "keys")
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(n, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    return dealt.mapInArrow(_across_batches(p), "a long, b long")
+
+
+def _across_batches(p: NearDup):
+    def differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        d = x ^ y
+        return np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(HALF_MASK))
+
+    def compare(g: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+        _, lo, hi, block, node, comp, band, bits, fine, keys = g
+        same = lo[0] == hi[0]
+        left, right = (np.arange(len(node)),) * 2 if same else (np.flatnonzero(block == lo[0]), np.flatnonzero(block == hi[0]))
+        found = []
+        for i in range(0, len(left), 256):
+            some = left[i:i + 256]
+            differ = sum(differing(bits[some, w][:, None], bits[right, w][None]).astype(np.int32) for w in range(bits.shape[1]))
+            near = (differ <= _most_differing(p.bands * p.rows, p.cut)) & (comp[some][:, None] != comp[right][None])
+            if same:
+                near &= node[some][:, None] < node[right][None]
+            x, y = np.nonzero(near)
+            for j in range(0, len(x), 1 << 15):
+                u, v = some[x[j:j + (1 << 15)]], right[y[j:j + (1 << 15)]]
+                close = differing(fine[u], fine[v]).sum(axis=1, dtype=np.int32) <= _most_differing(p.fine, p.fine_cut)
+                u, v = u[close], v[close]
+                first = (keys[u] == keys[v]).argmax(axis=1) == band[0] - 1  # their first common bucket
+                found.append((node[u[first]], node[v[first]]))
+        return found
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+
+        def emit(group):
+            if len(group[4]) > 1 and (group[5] != group[5][0]).any():
+                for a, b in compare(group):
+                    if len(a):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))],
+                                                         names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = [np.asarray(c) for c in batch.columns[:7]]
+            for k, kind in ((7, np.uint64), (8, np.uint64), (9, np.int32)):
+                flat = np.asarray(batch.column(k).flatten())
+                new.append(flat.astype(np.int64).view(np.uint64).reshape(len(new[0]), -1) if kind is np.uint64
+                           else flat.reshape(len(new[0]), -1))
+            held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
+            change = (held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1]) | (held[2][1:] != held[2][:-1])
+            cuts = [0, *(np.flatnonzero(change) + 1)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                yield from emit([x[a:b] for x in held])
+            held = [x[cuts[-1]:] for x in held]
+        if held is not None:
+            yield from emit(held)
+    return run
 
 
 def apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:

@@ -84,6 +84,23 @@ def test_one_row_of_each_component_stays(docs, rows):
     assert sorted(r["doc_id"] for r in left.collect()) == sorted(set(expected))
 
 
+def test_links_that_no_centre_has(docs):
+    """Texts around a hidden base: few links lead to the smallest member of a bucket, the others have to be found."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    texts = []
+    for _ in range(60):
+        w = base[:]
+        for k in sorted(rng.sample(range(10), 3)):  # three of ten blocks changed in eight words
+            at = 30 * k + rng.randrange(20)
+            w[at:at + 8] = [f"n{rng.randrange(10**6)}" for _ in range(8)]
+        texts.append(" ".join(w))
+    rows = list(enumerate(texts))
+    expected, _ = brute(rows)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs(rows)).collect()}
+    assert got == dict(enumerate(expected))
+
+
 def test_nulls_repeats_and_empty_tables(docs):
     text = "a b c d e f g h"
     rows = [(None, text), (None, text), (5, text), (5, text), (9, None), (9, None), (None, "alone with no id at all"), (3, "")]
@@ -102,7 +119,7 @@ def test_nulls_repeats_and_empty_tables(docs):
 def test_a_loose_estimate_changes_nothing(docs, rows):
     """Pairs are confirmed on full sets, so the cut of the estimate only saves work."""
     expected, _ = brute(rows)
-    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs(rows), NearDup(cut=0.0, seed=9)).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs(rows), NearDup(cut=0.0, fine_cut=0.0, seed=9, block=8)).collect()}
     assert got == {i: c for (i, _), c in zip(rows, expected, strict=True)}
 
 
