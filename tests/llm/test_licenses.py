@@ -1,5 +1,6 @@
 import random
 import re
+import textwrap
 
 import pytest
 
@@ -64,3 +65,60 @@ def test_native_plan_and_empty_table(spark, docs):
     plan = L.scan(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
     assert L.scan(docs([])).collect() == []
+
+
+def wrapped(text, width, mark=""):
+    return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+
+def test_notices_wrapped_at_any_width_inside_long_documents(docs):
+    rng = random.Random(6)
+    prose = lambda n: "\n".join(" ".join(rng.choice("the of in any software copy or to was river".split()) for _ in range(11))
+                                for _ in range(n))
+    mit = "MIT License\n\nCopyright (c) 2020 Some One\n\n{}\n\n{}"
+    bsd = "Copyright (c) 2011, Some One. All rights reserved.\n\n{}"
+    notices = [("MIT", lambda w, m: mit.format(wrapped(L.MIT_GRANT, w, m), wrapped(L.MIT_REST, w, m))),
+               ("MIT", lambda w, m: wrapped(L.MIT_GRANT, w, m)),
+               ("BSD", lambda w, m: bsd.format(wrapped(f"{L.BSD_TWO} {L.BSD_REST}".replace(
+                   "THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "SOME ONE"), w, m))),
+               ("GPL-3.0", lambda w, m: wrapped(L.GNU[1][2], w, m)),
+               ("AGPL-3.0", lambda w, m: wrapped(L.GNU[3][2] + " " + L.GNU_REST.format(L.GNU[3][1]), w, m)),
+               ("Apache-2.0", lambda w, m: wrapped(L.APACHE, w, m))]
+    cases = [(name, make(w, m)) for name, make in notices for w, m in ((79, ""), (60, " * "), (30, "# "))]
+    rows = [(i, f"{prose(300)}\n{t}\n{prose(300)}") for i, (_, t) in enumerate(cases)]
+    n = len(rows)
+    rows += [(n, prose(600)), (n + 1, prose(500).replace("\n", " ") + " " + L.MIT_GRANT.replace("\n", " ") + " and " + prose(500).replace("\n", " "))]
+    got = {r["doc_id"]: r for r in L.scan(docs(rows)).collect()}
+    for i, (name, t) in enumerate(cases):
+        assert got[i]["license"] == name and got[i]["dice"] >= 0.75 and got[i]["n_units"] >= 1, (t, got[i])
+    assert got[n]["license"] is None and got[n + 1]["license"] == "MIT"
+
+
+@pytest.mark.parametrize("dice", [75, 50])
+def test_passages_match_every_window(docs, dice):
+    rng = random.Random(dice)
+    p = L.Licenses(templates=(("A", "one two three four five six seven eight"), ("B", "four five nine ten one two")), dice=dice)
+    rows = [(i, "\n".join(" ".join(rng.choice("one two three four five six seven eight nine ten x y".split()[:rng.choice([5, 8, 12])])
+                                   if rng.random() < 0.4 else "one two three four five six seven eight nine ten".split()[(j + k) % 10]
+                                   for k in range(rng.randrange(1, 5))) for j in range(0, rng.randrange(4, 40), 3)))
+            for i in range(60)]
+    got = {r["doc_id"]: r for r in L.scan(docs(rows), p).collect()}
+    through = 0
+    for i, text in rows:
+        units = brute(text, p)
+        ws = [(w, k) for k, line in enumerate(text.split("\n")) for w in line.split()]
+        best = [(units[1], units[0])] if units[0] else []
+        for name, t in p.templates:
+            b = set(grams(t))
+            if name in units[3].split(","):
+                continue
+            for s in range(len(ws)):
+                for e in range(s + 2, min(len(ws), s + 2 + 2 * (len(b) * (200 - dice) // dice)) + 1):
+                    g = set(grams(" ".join(w for w, _ in ws[s:e])))
+                    if ws[s][1] != ws[e - 1][1] and 200 * len(b & g) >= dice * (len(b) + len(g)):
+                        best.append((2 * len(b & g) / (len(b) + len(g)), name))
+        names = ",".join(sorted({m for _, m in best} | {*filter(None, units[3].split(","))}))
+        through += names != units[3]
+        assert got[i]["licenses"] == names, text
+        assert got[i]["dice"] == pytest.approx(max(best)[0] if best else 0.0), text
+    assert through > 5
