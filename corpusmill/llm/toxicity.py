@@ -28,8 +28,9 @@ from corpusmill.llm.langid import held_out
 from corpusmill.llm.letters import code_points
 from corpusmill.llm.wordcodes import chunks
 
-#: Quotation marks.
-QUOTES = "\"“”„«»‹›‘’"
+#: Quotation marks by kind, and what each is where its neighbours do not tell (1 opens, 2 closes, 0 by turns).
+QUOTES = ({"\"": 0}, {"“": 1, "”": 2, "„": 1}, {"«": 1, "»": 2}, {"‹": 1, "›": 2}, {"‘": 1, "’": 2})
+APOSTROPHES = "‘’"
 FEATURES = 10
 
 
@@ -106,15 +107,62 @@ def hits(column: pa.Array, a: Automaton) -> tuple[np.ndarray, ...]:
     return points, at, start, end, verdict[hit], term[hit], np.searchsorted(at, start, side="right") - 1, words
 
 
+@lru_cache(maxsize=1)
+def _marks() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each code point: its kind of quotation mark (from 1), what it is by itself, whether a word does not end before it."""
+    kind, alone, loose = (np.zeros(0x110000, dtype=np.int8) for _ in range(3))
+    for i, marks in enumerate(QUOTES, 1):
+        for c, what in marks.items():
+            kind[ord(c)], alone[ord(c)], loose[ord(c)] = i, what, 1
+    for i in range(0x110000):
+        c = chr(i)
+        if c.isspace() or c in "([{-–—":
+            loose[i] = 2 if c.isspace() else 1
+    return kind, alone, loose
+
+
+def quotations(points: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per kind of marks, where quotations open and close.
+
+    A mark after a space (or bracket, dash, mark) opens, one before no letter
+    closes; the rest go by their form, straight ones by turns. An opening mark
+    and the next one of its kind, if that closes, are a pair. Curly single marks between letters are
+    apostrophes, and a closing one never opens, so an apostrophe at a word's end closes only what is open.
+    """
+    kind, alone, loose = _marks()
+    all_marks = np.flatnonzero(kind[points])
+    of = kind[points[all_marks]]
+    out = []
+    for k in range(1, len(QUOTES) + 1):
+        marks = all_marks[of == k]
+        text = np.searchsorted(at, marks, side="right") - 1
+        # Beyond a text there are spaces.
+        left = np.where(marks > at[text], points[np.maximum(marks, 1) - 1], 32)
+        right = np.where(marks + 1 < at[text + 1], points[np.minimum(marks + 1, len(points) - 1)], 32)
+        before, after = _folded()[left] > 0, _folded()[right] > 0
+        single = np.isin(points[marks], [ord(c) for c in APOSTROPHES])
+        own = ~(single & before & after)
+        marks, text, left, right, after, single = (x[own] for x in (marks, text, left, right, after, single))
+        turn = 1 + (np.arange(len(marks)) - np.searchsorted(text, text)) % 2
+        form = alone[points[marks]]
+        what = np.where((loose[left] > 0) & (loose[right] != 2), 1, np.where((loose[left] == 0) & ~after, 2,
+                                                                             np.where(form > 0, form, turn)))
+        what = np.where(single & (form == 2), 2, what)
+        pair = np.flatnonzero((what[:-1] == 1) & (what[1:] == 2) & (text[:-1] == text[1:]))
+        out.append((marks[pair], marks[pair + 1]))
+    return out
+
+
 def features(column: pa.Array, m: Model, p: Toxicity) -> np.ndarray:
     """Per text: surprise and number of hits by kind, quoted ones apart, hits near others, and their rate."""
     points, at, start, end, verdict, term, text, words = hits(column, m.automaton)
     n = len(column)
-    marks = np.flatnonzero(np.isin(points, [ord(q) for q in QUOTES]))
-    lo, hi = at[:-1][text], at[1:][text]
-    left = np.searchsorted(marks, start) - np.searchsorted(marks, np.maximum(lo, start - p.quote_window))
-    right = np.searchsorted(marks, np.minimum(hi, end + p.quote_window)) - np.searchsorted(marks, end)
-    plain = ~((left % 2 == 1) & (right > 0))
+    plain = np.ones(len(start), dtype=bool)
+    for opens, closes in quotations(points, at) if len(start) else ():
+        if len(opens):
+            pair = np.searchsorted(opens, start) - 1
+            plain &= ~((pair >= 0) & (opens[pair] >= start - p.quote_window) & (closes[pair] >= end)
+                       & (closes[pair] < end + p.quote_window))
     near = np.zeros(len(start), dtype=bool)
     if len(start) > 1:
         close = (text[1:] == text[:-1]) & (start[1:] - end[:-1] <= p.close_window)

@@ -116,6 +116,23 @@ def test_quotation_is_told_from_abuse():
     assert x[2, 8] > 0 and not x[3].any()
 
 
+def test_apostrophes_and_other_kinds_of_marks_quote_nothing():
+    m = T.Model(A.build(["numpty"], []), np.array([1e-6]), 1e-6, np.array([False]), np.zeros(T.FEATURES + 1), ["numpty"], [])
+    abuse = ["You’re a numpty and that’s final", "the dogs’ numpty of the cats’ owner", "get ’em numpty, the boys’ own", "a 5\" numpty 6\" b",
+             "“so” numpty “so”", "so” numpty’s “so x", "\"a\" numpty \"b\"", "x “ a numpty", "He’s “so so” a numpty, isn’t he", "‘a’ numpty ‘b’",
+             "«a» numpty «b»", "„a“ numpty „b“", "»a« numpty »b«", "“" + "x" * 50 + " numpty”"]
+    quoted = ["he said “you’re a numpty, aren’t you”", "‘Don’t be a numpty,’ he’d say", "„numpty“ x", "»numpty« x", "« numpty »", "‹numpty›",
+              "”numpty” x", "said,\"numpty\"", "“‘numpty’”", "(\"numpty\")", "it’s \"a numpty\", isn’t it", "“numpty”", "\" numpty \""]
+    x = T.features(pa.array(abuse + quoted), m, T.Toxicity())
+    for i, t in enumerate(abuse):
+        assert x[i, 1] > 0 and x[i, 7] == 0, t
+    for i, t in enumerate(quoted, len(abuse)):
+        assert x[i, 1] == 0 and x[i, 7] > 0, t
+    # The neighbours of a text are no neighbours of its marks.
+    x = T.features(pa.array(["“a", "numpty", "b”", "", None, "\""]), m, T.Toxicity())
+    assert x[1, 1] > 0 and not x[:, 7].any()
+
+
 def test_held_out_scores_on_the_given_labels(spark):
     got = {r["doc_id"]: r for r in QUERIES["op2_toxicity"](spark, SF).collect()}
     assert len(got) == spark.read.parquet(f"{SF}/documents.parquet").count()
