@@ -3,10 +3,13 @@
 A token may be a secret if its characters look drawn at random. Its encoding is
 inferred (hex, base 32, base 62, base 64); within it a chi-squared test of
 uniformity, a runs test and a test of serial correlation must not contradict
-chance. The discovery itself rests on changes between lower case, upper case
-and digits: words change seldom. The chance of so many changes in a word, bounded
-from above, is the token's p-value, and Benjamini-Hochberg control among all
-tokens of about the same length in the whole table decides.
+chance. The discovery itself rests on what words are not: they change seldom between
+lower case, upper case and digits, and their letters are not equally frequent.
+The chance of so many changes in a word, bounded from above, and that of letters
+so much likelier in the encoding than in the words of all texts are put together
+(Fisher) to the token's p-value, and Benjamini-Hochberg control among all tokens
+of its encoding and about its length in the whole table decides. A token of one
+class of characters is never taken for random.
 """
 
 from __future__ import annotations
@@ -92,6 +95,42 @@ def log_p(n: Column, k: Column, change: float) -> Column:
     return F.when(x > change, -m * (x * F.log(x / change) + left)).otherwise(0.0)
 
 
+def letter_logs(docs: DataFrame) -> DataFrame:
+    """One row: ln of the share of each letter among the letters a to z of all texts, in either case."""
+    low = docs.select(F.lower(F.col("text").cast("string")).alias("low"))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    count = lambda c: F.octet_length("low") - F.octet_length(F.replace("low", F.lit(c), F.lit("")))
+    sums = low.agg(*(F.coalesce(F.sum(count(c).cast("bigint")), F.lit(0)).alias(c) for c in letters))
+    total = sum((F.col(c) for c in letters), F.lit(0))
+    return sums.select(F.array(*(F.log((F.col(c) + 1) / (total + len(letters))) for c in letters)).alias("_letters"))
+
+
+def letters_log_p(token: Column, logs: Column) -> Column:
+    """ln of an upper bound (Markov) on the chance that words have letters so much likelier when drawn evenly.
+
+    Evenly means from a to f for half the weight, and from a to z for the other.
+    """
+    own = F.split(F.lower(F.regexp_replace(token, "[^A-Za-z]", "")), "")
+    log = F.aggregate(own, F.lit(0.0), lambda a, c: a + F.coalesce(F.get(logs, F.ascii(c) - 97), F.lit(0.0)))
+    n = F.length(F.regexp_replace(token, "[^A-Za-z]", ""))
+    each = F.when(encoding(token) == 0, F.log(F.lit(6.0))).otherwise(F.log(F.lit(26.0)))
+    return F.least(F.lit(0.0), log + n * each + F.log(F.lit(2.0)))
+
+
+def token_log_p(token: Column, logs: Column, change: float) -> Column:
+    """ln of the p-value, up to the next 64th; 0 for a token without changes."""
+    k = changes(token)
+    both = F.array(log_p(F.length(token), k, change) + letters_log_p(token, logs))
+    fisher = F.element_at(F.transform(both, lambda x: x + F.log(1 - x)), 1)
+    return F.when(k > 0, F.least(F.lit(0.0), F.ceil(64 * fisher) / 64)).otherwise(0.0)
+
+
+def encoding(token: Column) -> Column:
+    """0 hex, 1 base 32, 2 base 62, 3 base 64."""
+    return F.when(token.rlike("^([0-9a-f]+|[0-9A-F]+)$"), 0).when(token.rlike("^[A-Z2-7]+$"), 1).when(
+        token.rlike("^[A-Za-z0-9]+$"), 2).otherwise(3)
+
+
 def _alphabet(token: Column) -> tuple[Column, Column]:
     """The token in its encoding's letters, and the encoding's alphabet."""
     plain = F.translate(token, "-_", "+/")
@@ -129,43 +168,45 @@ def looks_random(token: Column, z: float) -> Column:
     return (z_chi <= z) & (ones > 0) & (ones < n) & (F.abs(z_runs) <= z) & (F.abs(z_serial) <= z)
 
 
-def candidates(text: str, p: Secrets) -> Column:
-    """All long tokens of a text with their length and changes."""
+def candidates(text: str, p: Secrets, logs: str = "_letters") -> Column:
+    """All long tokens of a text with their stratum and ln p."""
     pattern = rf"[A-Za-z0-9+/_-]{{{p.shortest},}}"
     found = F.transform(matches(F.col(text), pattern), lambda m: F.struct(
-        m["start"].alias("start"), m["end"].alias("end"), F.length(m["hit"]).alias("n"), changes(m["hit"]).alias("k"),
-        m["hit"].alias("token")))
-    kind = "array<struct<start:bigint,end:bigint,n:int,k:int,token:string>>"
+        m["start"].alias("start"), m["end"].alias("end"), stratum(m["hit"]).alias("s"),
+        token_log_p(m["hit"], F.col(logs), p.change).alias("lp"), m["hit"].alias("token")))
+    kind = "array<struct<start:bigint,end:bigint,s:int,lp:double,token:string>>"
     return F.when(F.col(text).rlike(pattern), found).otherwise(F.array().cast(kind))
 
 
-def stratum(n: Column) -> Column:
-    """Tokens of about the same length: each length up to 64, then by eighths of a power of two."""
-    return F.when(n <= 64, n).otherwise(F.floor(8 * F.log2(n)).cast("int") + 64)
+def stratum(token: Column) -> Column:
+    """Tokens of one encoding and about the same length: each length up to 64, then by eighths of a power of two."""
+    n = F.length(token)
+    return encoding(token) * 1000 + F.when(n <= 64, n).otherwise(F.floor(8 * F.log2(n.cast("double"))).cast("int") + 64)
 
 
 def thresholds(docs: DataFrame, p: Secrets) -> DataFrame:
-    """One row: the largest accepted ln p of each length stratum, as a map.
+    """One row: the largest accepted ln p of each stratum, as a map, and the letters' logarithms.
 
-    Only numbers of tokens by (length, changes) are shuffled, added up before.
+    Only numbers of tokens by (stratum, ln p) are shuffled, added up before.
     """
     pattern = F.lit(rf"[A-Za-z0-9+/_-]{{{p.shortest},}}")
+    letters = letter_logs(docs)
     tokens = docs.select(F.explode(F.regexp_extract_all("text", pattern, F.lit(0))).alias("t"))
-    kinds = tokens.select(F.length("t").alias("n"), changes(F.col("t")).alias("k")).groupBy("n", "k").agg(
-        F.count("*").alias("c"))
-    kinds = kinds.select(stratum(F.col("n")).alias("s"), log_p(F.col("n"), F.col("k"), p.change).alias("lp"), "c")
+    tokens = tokens.crossJoin(F.broadcast(letters))
+    kinds = tokens.select(stratum(F.col("t")).alias("s"), token_log_p(F.col("t"), F.col("_letters"), p.change).alias("lp")
+                          ).groupBy("s", "lp").agg(F.count("*").alias("c"))
     below = Window.partitionBy("s").orderBy("lp")
     whole = Window.partitionBy("s")
     ranked = kinds.select("s", "lp", F.sum("c").over(below).alias("r"), F.sum("c").over(whole).alias("m"))
     good = ranked.where(F.col("lp") <= F.log(p.rate * F.col("r") / F.col("m"))).groupBy("s").agg(F.max("lp").alias("lp"))
-    return good.agg(F.map_from_entries(F.collect_list(F.struct("s", "lp"))).alias("_accepted"))
+    return good.agg(F.map_from_entries(F.collect_list(F.struct("s", "lp"))).alias("_accepted")).crossJoin(F.broadcast(letters))
 
 
 def with_spans(docs: DataFrame, p: Secrets) -> DataFrame:
     """``docs`` with ``_base`` and ``_all``: sorted spans ``start, kind, end`` of every text (null: empty).
 
     Added spans never overlap a base span. Kinds are numbered as listed, the
-    added one last. Texts are scanned once for the thresholds and once for the
+    added one last. Texts are scanned for the letters, the thresholds and the
     spans and never shuffled.
     """
     names = docs.columns
@@ -174,8 +215,8 @@ def with_spans(docs: DataFrame, p: Secrets) -> DataFrame:
     rows = rows.withColumns({f"_kind{i}": c for i, c in enumerate(base_spans("_text"))}
                             | {"_tokens": candidates("_text", p)})
     rows = rows.withColumn("_base", F.array_sort(F.concat("_kind0", "_kind1", "_kind2")))
-    unlikely = F.filter("_tokens", lambda t: log_p(t["n"], t["k"], p.change) <= F.coalesce(
-        F.element_at("_accepted", stratum(t["n"])), F.lit(float("-inf"))))
+    unlikely = F.filter("_tokens", lambda t: t["lp"] <= F.coalesce(
+        F.element_at("_accepted", t["s"]), F.lit(float("-inf"))))
     rows = rows.withColumn("_unlikely", unlikely)
     own = F.filter("_unlikely", lambda t: looks_random(t["token"], p.z) & ~F.exists(
         "_base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))

@@ -71,6 +71,31 @@ def test_random_tokens_are_found_and_words_are_not(docs):
     assert not any(got[100 + i]["n_random"] for i in range(200))
 
 
+def test_short_tokens_of_few_letters_are_found_among_documents(spark, small_docs):
+    rng = random.Random(4)
+    kinds = {"HEX": (S.HEX.upper(), 20), "hex": (S.HEX, 20), "base32": (S.B32, 24), "base32 long": (S.B32, 40), "base62": (S.B64[:62], 20)}
+    rows = [(10**9 + i, kind, "x " + "".join(rng.choice(a) for _ in range(n)) + " y")
+            for i, (kind, a, n) in enumerate((k, a, n) for k, (a, n) in kinds.items() for _ in range(20))]
+    names = ["src/main/java/org/example/application", "THE_MAXIMUM_NUMBER_OF_RETRIES_2", "getElementsByTagNameAndClassName",
+             "user_id_and_account_number_2024", "InternationalOrganizationForStandardization", "report-2024-final-version-of-the-authors"]
+    rows += [(2 * 10**9 + i, "name", t) for i, t in enumerate(names)]
+    added = spark.createDataFrame(rows, "doc_id long, kind string, text string")
+    got = {r["doc_id"]: r["n_random"] for r in S.scan(small_docs.select("doc_id", "text").union(added.drop("kind"))).collect()}
+    for kind in kinds:
+        assert sum(got[i] for i, k, _ in rows if k == kind) >= 14, kind
+    assert not [t for i, k, t in rows if k == "name" and got[i]]
+
+
+def test_letters_are_counted_in_all_texts(spark, docs):
+    logs = S.letter_logs(docs([(1, "aAb é1"), (2, None), (3, "")])).first()[0]
+    assert [round(29 * math.exp(x), 6) for x in logs] == [3, 2] + [1] * 24
+    at = lambda t: spark.createDataFrame([(t, logs)], "t string, l array<double>").select(
+        S.letters_log_p(F.col("t"), F.col("l")), S.encoding(F.col("t")), S.stratum(F.col("t"))).first()
+    assert at("zz9")[0] == min(0, 2 * (math.log(1 / 29) + math.log(26)) + math.log(2)) and at("123")[0] == 0
+    assert abs(at("bcdefbcdef00")[0] - (2 * math.log(2 / 29) + 8 * math.log(1 / 29) + 10 * math.log(6) + math.log(2))) < 1e-9
+    assert [at(t)[1] for t in ("0af", "AZ7", "a9Z", "a-b", "0aF")] == [0, 1, 2, 3, 2] and at("a-b")[2] == 3003
+
+
 def test_battery_by_hand(spark):
     def run(token):
         return spark.createDataFrame([(token,)], "t string").select(S.looks_random(F.col("t"), 4.0)).first()[0]
