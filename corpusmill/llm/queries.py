@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, hmmlm, licenses, secrets, tokencounts
+from corpusmill.llm import decontaminate, hmmlm, licenses, merkle, secrets, tokencounts
 from corpusmill.llm.fingerprint import fingerprints
 from corpusmill.llm.langid import identify
+from corpusmill.llm.linededup import dedup_lines
 from corpusmill.llm.mixing import mix
 from corpusmill.llm.neardup import near_duplicates
 from corpusmill.llm.toxicity import toxicity
+from corpusmill.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -85,3 +87,23 @@ def op6_secrets(spark, sf):
 def op5_licenses(spark, sf):
     """Licence notices in every document."""
     return licenses.scan(table(spark, sf, "documents"))
+
+
+@query
+def op12_line_dedup(spark, sf):
+    """Every document without the lines that ten or more documents have."""
+    rows = dedup_lines(table(spark, sf, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_embedding_whitening(spark, sf):
+    """Every embedding on the leading components of the distinct ones' covariance."""
+    return whiten(table(spark, sf, "embeddings")).drop("eigenvalue")
+
+
+@query
+def op13_merkle_manifest(spark, sf):
+    """Every document's leaf and proof, tried on rows of which some were tampered with."""
+    tamper = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return merkle.manifest(table(spark, sf, "documents"), tamper=tamper).drop("source")
