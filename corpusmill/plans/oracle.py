@@ -484,11 +484,19 @@ di AS (SELECT id, label, sqrt(sum(((x - mean) / scale - c) ** 2)) AS d FROM el J
   WHERE id % 5 <> 0 GROUP BY 1, 2)""", select="""
 SELECT s.id, s.epoch, n.pred FROM holey s LEFT JOIN (SELECT id, label AS pred FROM (SELECT *,
   row_number() OVER (PARTITION BY id ORDER BY d, label) AS k FROM di) WHERE k = 1) n USING (id)""")
-ORACLE["centroid_many"] = f"""
-WITH el AS ({dims('lineitem', 'l_partkey AS label', MEASURES)}),
-sc AS (SELECT dim, avg(x) AS mean, stddev_pop(x) AS scale FROM el GROUP BY dim)
-SELECT label, dim, count(*) AS n, round(any_value(mean), 6) AS mean, round(any_value(scale), 6) AS scale,
-  round(avg((x - mean) / scale), 6) + 0.0 AS centroid FROM el JOIN sc USING (dim) GROUP BY label, dim"""
+PARTS = f"""el AS ({dims('lineitem', 'l_partkey AS label', MEASURES)}),
+sc AS (SELECT dim, avg(x) AS mean, stddev_pop(x) AS scale FROM el GROUP BY dim),
+ce AS (SELECT label, dim, count(*) AS n, any_value(mean) AS mean, any_value(scale) AS scale, avg((x - mean) / scale) AS centroid
+  FROM el JOIN sc USING (dim) GROUP BY label, dim)"""
+ORACLE["centroid_many_fit"] = with_(PARTS, select="""
+SELECT label, dim, n, round(mean, 6) AS mean, round(scale, 6) AS scale, round(centroid, 6) + 0.0 AS centroid FROM ce""")
+_MEAN_LINE = ", ".join(f"avg({c}) AS {c}" for c in MEASURES)
+_WIDE = ", ".join(f"max({{0}}) FILTER (dim = {i + 1}) AS x{i}" for i in range(len(MEASURES)))
+ORACLE["centroid_many"] = with_(PARTS, f"""ol AS (SELECT o_custkey, {_MEAN_LINE} FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey),
+ow AS (SELECT o_custkey, {_WIDE.format("(x - mean) / scale")} FROM ({dims('ol', 'o_custkey', MEASURES)}) JOIN sc USING (dim) GROUP BY 1),
+cw AS (SELECT label, {_WIDE.format("centroid")} FROM ce GROUP BY 1)""", select="""
+SELECT o_custkey, arg_min(label, (sqrt((ow.x0 - cw.x0) ** 2 + (ow.x1 - cw.x1) ** 2 + (ow.x2 - cw.x2) ** 2), label)) AS pred
+FROM ow CROSS JOIN cw GROUP BY o_custkey""")
 ORACLE["logistic_gradient"] = f"""
 SELECT label, feature, CAST(0 AS DOUBLE) AS slope FROM (SELECT unnest({CLASSES}) AS label)
 CROSS JOIN (SELECT unnest({FEATURES}) AS feature)"""

@@ -25,6 +25,7 @@ from corpusmill.operators import orderstats as O
 from corpusmill.operators import quota as Q
 from corpusmill.operators import tokens as W
 from corpusmill.operators.importance import permutation_importance
+from corpusmill.operators.nearest import predict_many
 from corpusmill.params import (PERSON_TITLES, Epochs, Evaluation, Sampling, Selection, Settings, Style, epoch_table,
                                keyword_table, lexicon, order_table)
 from corpusmill.plans import derived, jobs
@@ -627,12 +628,23 @@ def centroid_nulls(spark, sf):
     return N.predict(rows, model, columns=FEATURES).select("id", "epoch", "pred")
 
 
+def _part_stats(spark, sf):
+    """A class per part number of the order lines: as many classes as parts."""
+    rows = table(spark, sf, "lineitem").select("l_partkey", *MEASURES)
+    return N.class_stats(rows, label="l_partkey", columns=MEASURES)
+
+
+@query
+def centroid_many_fit(spark, sf):
+    return numbers(N.model_rows(_part_stats(spark, sf)).withColumn("dim", F.col("dim") + 1), 6, "mean", "scale", "centroid")
+
+
 @query
 def centroid_many(spark, sf):
-    """A class per part number of the order lines: as many classes as parts."""
-    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", *MEASURES)
-    stats = N.class_stats(rows, label="l_partkey", columns=MEASURES)
-    return numbers(N.model_rows(stats).withColumn("dim", F.col("dim") + 1), 6, "mean", "scale", "centroid")
+    """The part whose mean line is nearest to that of every customer, among all parts."""
+    lines = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = lines.groupBy("o_custkey").agg(*[F.avg(c).alias(c) for c in MEASURES])
+    return predict_many(rows, _part_stats(spark, sf), columns=MEASURES, key=["o_custkey"]).select("o_custkey", "pred")
 
 
 @query
