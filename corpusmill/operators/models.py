@@ -11,6 +11,7 @@ from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.operators import logistic as L
 from corpusmill.operators.evaluate import FOREST, LOGISTIC, cv_scores, pair_counts, scores, with_cv_folds
 from corpusmill.runtime import materialise
 
@@ -141,26 +142,49 @@ def cross_validate(train: DataFrame, fits: dict, *, id_col: str, group: str, lab
     return cv_scores(scores(pairs, ["model", "fold"]), split)
 
 
+def logistic_scores_by_fold(rows: DataFrame, sets: dict[str, list[str]], *, label: str, columns: list[str], folds: int,
+                            max_iter: int = 1000) -> DataFrame:
+    """``(model, fold, accuracy, macro_f1)`` of one regression per set of columns and fold, all fitted together.
+
+    ``rows`` have a column ``fold`` and are written, as every pass reads them.
+    """
+    specs = [L.Spec(name, f, tuple(used)) for name, used in sets.items() for f in range(folds)]
+    models = L.fit_many(rows, specs, label=label, columns=columns, fold="fold", passes=max_iter)
+    preds = L.predict_folds(rows, models, columns=columns, fold="fold", keep=[label])
+    return scores(pair_counts(preds, truth=label, by=["model", "fold"]), ["model", "fold"])
+
+
+def cross_validate_logistic(train: DataFrame, *, id_col: str, group: str, label: str, columns: list[str], folds: int,
+                            seed: int, grouped: bool, split: str, max_iter: int = 1000) -> DataFrame:
+    """Cross-validated scores of the regression, its folds fitted together."""
+    rows = materialise(with_cv_folds(train, id_col=id_col, group=group, label=label, folds=folds, seed=seed,
+                                     grouped=grouped).select("fold", label, *columns), "folds")
+    return cv_scores(logistic_scores_by_fold(rows, {LOGISTIC: columns}, label=label, columns=columns, folds=folds,
+                                             max_iter=max_iter), split)
+
+
 def feature_ablation(train: DataFrame, *, id_col: str, group: str, label: str, columns: list[str], folds: int,
-                     seed: int, max_iter: int = 1000, parallel: int = 8) -> DataFrame:
-    """``(feature, macro_f1_only_this, macro_f1_without_this, drop_when_removed)``."""
+                     seed: int, max_iter: int = 1000) -> DataFrame:
+    """``(feature, macro_f1_only_this, macro_f1_without_this, drop_when_removed)``.
+
+    The regressions of all sets of columns and all folds are fitted together.
+    """
     sets = {"all": list(columns)}
     for c in columns:
         sets["only:" + c] = [c]
         sets["without:" + c] = [o for o in columns if o != c]
-    fits = {name: (lambda rows, used=used: fit_logistic(rows, label=label, columns=used, max_iter=max_iter))
-            for name, used in sets.items() if used}
-    table = cross_validate(train, fits, id_col=id_col, group=group, label=label, folds=folds, seed=seed,
-                           grouped=True, split="", parallel=parallel).select("model", "macro_f1_mean")
-    spark = train.sparkSession
-    names = spark.createDataFrame([(c, "only:" + c, "without:" + c) for c in columns],
-                                  "feature string, only string, without string")
-    look = lambda key, out: table.select(F.col("model").alias(key), F.col("macro_f1_mean").alias(out))
-    whole = table.where(F.col("model") == "all").select(F.col("macro_f1_mean").alias("whole"))
-    return (names.join(look("only", "macro_f1_only_this"), "only", "left")
-            .join(look("without", "macro_f1_without_this"), "without", "left").crossJoin(whole)
-            .select("feature", "macro_f1_only_this", "macro_f1_without_this",
-                    (F.col("whole") - F.col("macro_f1_without_this")).alias("drop_when_removed")))
+    sets = {name: used for name, used in sets.items() if used}
+    rows = materialise(with_cv_folds(train, id_col=id_col, group=group, label=label, folds=folds, seed=seed,
+                                     grouped=True).select("fold", label, *columns), "folds")
+    per_fold = logistic_scores_by_fold(rows, sets, label=label, columns=columns, folds=folds, max_iter=max_iter)
+    table = cv_scores(per_fold, "")
+    value = lambda name: F.max(F.when(F.col("model") == name, F.col("macro_f1_mean")))
+    cells = table.agg(value("all").alias("whole"), F.array(*[
+        F.struct(F.lit(c).alias("feature"), value("only:" + c).alias("macro_f1_only_this"),
+                 value("without:" + c).alias("macro_f1_without_this")) for c in columns]).alias("r"))
+    rows = cells.select("whole", F.explode("r").alias("r")).select("r.*", "whole")
+    return rows.select("feature", "macro_f1_only_this", "macro_f1_without_this",
+                       (F.col("whole") - F.col("macro_f1_without_this")).alias("drop_when_removed"))
 
 
 def default_fits(columns: list[str], label: str, settings) -> dict:

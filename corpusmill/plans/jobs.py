@@ -152,8 +152,12 @@ def all_cross_validation(train: DataFrame, *, id_col: str, group: str, label: st
         common = dict(id_col=id_col, group=group, label=label, folds=settings.cv_folds, seed=settings.seed,
                       grouped=grouped)
         parts.append(E.cross_validate(train, columns=columns, **common))
-        if fits:
-            parts.append(M.cross_validate(train, fits, split=name, **common))
+        # The regressions of all folds are fitted together; other learners take a fit per fold.
+        if E.LOGISTIC in fits:
+            parts.append(M.cross_validate_logistic(train, columns=columns, split=name, max_iter=settings.max_iter, **common))
+        others = {n: f for n, f in fits.items() if n != E.LOGISTIC}
+        if others:
+            parts.append(M.cross_validate(train, others, split=name, **common))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -10,7 +10,7 @@ from corpusmill.functions.catalog import LIFESPAN, NOT_WORD
 from corpusmill.functions.names import NAME_EDGE
 from corpusmill.functions.text import BRACKET_NOTE, WS
 from corpusmill.functions.tokens import BLANK_LINE, INNER_DOT, NO_END, SENTENCE_BREAK, SENTENCE_END, WORD, cue_pattern
-from corpusmill.operators.evaluate import BASELINE, CENTROID, GROUPED, RANDOM, pred_column
+from corpusmill.operators.evaluate import BASELINE, CENTROID, GROUPED, LOGISTIC, RANDOM, pred_column
 from corpusmill.params import PERSON_TITLES, lexicon
 from corpusmill.plans import derived
 from corpusmill.plans.registry import (CHAIN, CLASSES, EPOCHS, EV, FEATURES, FLAGS, LONG_KEYWORDS, MEASURES, NAME_PATTERNS,
@@ -575,9 +575,66 @@ ORACLE["cross_validation"] = with_(*SPLIT, *GROUPED_CV, *RANDOM_CV, select="""
 SELECT model, split, round(accuracy_mean, 6) AS accuracy_mean, round(accuracy_sd, 6) AS accuracy_sd,
   round(macro_f1_mean, 6) AS macro_f1_mean, round(macro_f1_sd, 6) AS macro_f1_sd
 FROM (SELECT * FROM gcv UNION ALL SELECT * FROM rcv)""")
-ORACLE["best_model"] = with_(*SPLIT, *GROUPED_CV, select=f"""
-SELECT model, round(macro_f1_mean, 6) AS macro_f1_mean FROM gcv WHERE model <> {q(BASELINE)}
-ORDER BY gcv.macro_f1_mean DESC, model LIMIT 1""")
+
+
+def logistic(name: str, rows: str, scale: str, sets: dict[str, list[str]], steps: int = 300) -> tuple[str, ...]:
+    """Regressions by plain gradient steps of a safe length, one per set of columns and fold of ``rows``.
+
+    ``<name>_w`` are the weights after the last step, ``<name>_p`` the predictions of the rows held out.
+    """
+    n, k, p = name, len(CLASSES), len(FEATURES) + 1
+    masks = ", ".join(f"({q(s)}, {', '.join(str(float(c in used)) for c in FEATURES)})" for s, used in sets.items())
+    x = "[" + ", ".join(f"u{i} * ({c} - mean[{i + 1}]) / scale[{i + 1}]" for i, c in enumerate(FEATURES)) + ", 1.0]"
+    logit = [f"CASE WHEN seen[{y + 1}] THEN " + " + ".join(f"w[{y * p + j + 1}] * x[{j + 1}]" for j in range(p))
+             + " ELSE -1e300 END" for y in range(k)]
+    chance = f"list_transform(l, lambda v: exp(v - list_max(l)) / list_sum(list_transform(l, lambda o: exp(o - list_max(l)))))"
+    slope = [f"sum((c[{y + 1}] - CAST(epoch = {q(CLASSES[y])} AS INT)) * x[{j + 1}])" for y in range(k) for j in range(p)]
+    step = [f"w[{i + 1}] - (g[{i + 1}] + {0.0 if i % p == p - 1 else 1.0} * w[{i + 1}]) / reach" for i in range(k * p)]
+    return (f"""{n}_m AS (SELECT row_number() OVER (ORDER BY s, fold) AS m, * FROM (VALUES {masks}) AS v(s, {', '.join(f'u{i}' for i in range(p - 1))})
+  CROSS JOIN (SELECT fold, list(mean ORDER BY dim) AS mean, list(scale ORDER BY dim) AS scale FROM {scale} GROUP BY fold))""",
+            f"{n}_x AS (SELECT m, s, r.fold AS own, id, epoch, r.fold = d.fold AS held, {x} AS x FROM {rows} r CROSS JOIN {n}_m d)",
+            f"""{n}_n AS (SELECT m, 1 + 0.5 * sum(list_sum(list_transform(x, lambda v: v * v))) AS reach,
+  [{', '.join(f"count(*) FILTER (epoch = {q(c)}) > 0" for c in CLASSES)}] AS seen FROM {n}_x WHERE NOT held GROUP BY m)""",
+            f"""{n}_s AS (SELECT m, 0 AS it, list_transform(range({k * p}), lambda i: CAST(0 AS DOUBLE)) AS w FROM {n}_m UNION ALL
+  SELECT m, it + 1, [{', '.join(step)}] FROM (SELECT m, it, any_value(w) AS w, any_value(reach) AS reach, [{', '.join(slope)}] AS g FROM (
+    SELECT m, it, w, reach, x, epoch, {chance} AS c FROM (SELECT t.m, it, w, reach, x, epoch, [{', '.join(logit)}] AS l
+      FROM {n}_s t JOIN {n}_x x ON x.m = t.m AND NOT held JOIN {n}_n b ON b.m = t.m WHERE it < {steps})) GROUP BY m, it))""",
+            f"{n}_w AS (SELECT {n}_s.*, seen FROM {n}_s JOIN {n}_n USING (m) WHERE it = {steps})",
+            f"""{n}_p AS (SELECT s AS model, own AS fold, epoch AS truth, {CLASSES}[list_position(l, list_max(l))] AS pred FROM (
+  SELECT s, own, epoch, [{', '.join(logit)}] AS l FROM {n}_x x JOIN {n}_w t ON t.m = x.m WHERE held))""")
+
+
+SETS = {"all": FEATURES, **{"only:" + c: [c] for c in FEATURES}, **{"without:" + c: [o for o in FEATURES if o != c] for c in FEATURES}}
+ORACLE["feature_ablation"] = "WITH RECURSIVE " + ",\n".join((
+    *SPLIT, *GROUPED_CV[:4], *logistic("ab", "gcv_rows", "gcv_sc", SETS), macro("ab_p", "model, fold", "ab_f"),
+    "ab_a AS (SELECT model, avg(macro_f1) AS f FROM ab_f GROUP BY model)")) + f"""
+SELECT feature, round(o.f, 9) AS macro_f1_only_this, round(w.f, 9) AS macro_f1_without_this, round(a.f - w.f, 9) + 0.0 AS drop_when_removed
+FROM (SELECT unnest({FEATURES}) AS feature) JOIN ab_a o ON o.model = 'only:' || feature JOIN ab_a w ON w.model = 'without:' || feature
+JOIN ab_a a ON a.model = 'all'"""
+_CV_COLUMNS = ("accuracy_mean", "accuracy_sd", "macro_f1_mean", "macro_f1_sd")
+
+
+def learned_cv(name: str, split: str, rows: str, scale: str) -> tuple[str, ...]:
+    return (*logistic(f"{name}l", rows, scale, {LOGISTIC: FEATURES}), macro(f"{name}l_p", "model, fold", f"{name}l_f"),
+            f"""{name}l AS (SELECT model, {q(split)} AS split, avg(accuracy) AS accuracy_mean, stddev_pop(accuracy) AS accuracy_sd,
+  avg(macro_f1) AS macro_f1_mean, stddev_pop(macro_f1) AS macro_f1_sd FROM {name}l_f GROUP BY model)""")
+
+
+LEARNED_CV = (*SPLIT, *GROUPED_CV, *RANDOM_CV, *learned_cv("g", GROUPED, "gcv_rows", "gcv_sc"), *learned_cv("r", RANDOM, "rcv_rows", "rcv_sc"))
+ORACLE["learned_cross_validation"] = "WITH RECURSIVE " + ",\n".join(LEARNED_CV) + "\nSELECT model, split, " + ", ".join(
+    f"round({c}, 9) AS {c}" for c in _CV_COLUMNS) + " FROM (SELECT * FROM gl UNION ALL SELECT * FROM rl)"
+ORACLE["best_model"] = "WITH RECURSIVE " + ",\n".join(LEARNED_CV) + f"""
+SELECT model, round(best, 6) AS macro_f1_mean FROM (SELECT model, macro_f1_mean AS best FROM gcv WHERE model <> {q(BASELINE)}
+  UNION ALL SELECT model, macro_f1_mean FROM gl) ORDER BY best DESC, model LIMIT 1"""
+# The test rows are the part that the one model leaves out.
+LEARNED = (*SPLIT, *MODEL[:2], "both_ AS (SELECT *, 0 AS fold FROM train UNION ALL SELECT *, 1 FROM test)",
+           "one_ AS (SELECT 1 AS fold, * FROM scales)", *logistic("lg", "both_", "one_", {LOGISTIC: FEATURES}))
+ORACLE["logistic_scores"] = "WITH RECURSIVE " + ",\n".join((*LEARNED, macro("lg_p", "", "lg_f"))) + """
+SELECT round(accuracy, 9) AS accuracy, round(macro_f1, 9) AS macro_f1 FROM lg_f"""
+ORACLE["logistic_coefficients"] = "WITH RECURSIVE " + ",\n".join(LEARNED) + f"""
+SELECT CAST(y AS INTEGER) AS ord, {CLASSES}[y + 1] AS label, {FEATURES}[j + 1] AS feature,
+  round(w[y * {len(FEATURES) + 1} + j + 1], 5) + 0.0 AS coefficient
+FROM lg_w CROSS JOIN (SELECT unnest(range({len(CLASSES)})) AS y) CROSS JOIN (SELECT unnest(range({len(FEATURES)})) AS j)"""
 PERMUTED = (f"""base AS (SELECT *, row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR) || ':rows:{EV.seed}'), id) AS r FROM test)""",
             f"""cells AS (SELECT f AS feature, dim, rep FROM (VALUES {', '.join(f"({q(c)}, {i + 1})" for i, c in enumerate(FEATURES))}) AS v(f, dim)
   CROSS JOIN (SELECT unnest(range({EV.repeats})) AS rep))""",
