@@ -161,6 +161,7 @@ def fit_many(rows: DataFrame, specs: list[Spec], *, label: str, columns: list[st
                 # Intercepts are free up to a common constant, hence the least-squares solution.
                 step = np.linalg.lstsq(bend + np.diag(penal), slope, rcond=1e-13)[0]
                 m.weights = (w - step).reshape(k, p)
+                m.weights[:, :-1][:, np.isinf(m.scale)] = 0.0
             left.append(i)
         open_ = left
         if not open_:
