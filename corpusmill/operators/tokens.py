@@ -6,7 +6,7 @@ ent_id, ent_label``; ``pos`` orders the tokens of a text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import tokens as K
@@ -14,6 +14,7 @@ from corpusmill.functions.text import clean_text, paragraphs, strip_boilerplate
 from corpusmill.operators.characters import character_counts, mention_counts
 from corpusmill.operators.ordering import block_rank, block_sum
 from corpusmill.params import lexicon_table
+from corpusmill.runtime import materialise
 
 
 def token_table(texts: DataFrame, *, doc_id: str, text: str, lang: str) -> DataFrame:
@@ -120,34 +121,75 @@ def token_features(tokens: DataFrame, style) -> DataFrame:
             .select("doc_id", "median_sentence_length", "sttr", "function_word_ratio", "character_density"))
 
 
+# Names of up to this many words are looked up whole; of longer ones the first words, and the rest where these occur.
+ANCHOR = 8
+# Up to this many first words of names are a filter on the words of a text; more are met by a join.
+FIRST_WORDS = 5000
+
+
+def _starts(firsts: list[str] | None) -> Column:
+    """``(pos, first, run)`` of every word, or of those in ``firsts``, with the ``ANCHOR`` words from it on."""
+    every = "transform(__words, (w, i) -> named_struct('pos', CAST(i AS BIGINT), 'first', lower(w)))"
+    if firsts is not None:
+        listed = ", ".join("'" + f.replace("'", "\\'") + "'" for f in firsts) or "NULL"
+        every = f"filter({every}, s -> s.first IN ({listed}))"
+    return F.expr(f"transform({every}, s -> named_struct('pos', s.pos, 'first', s.first, "
+                  f"'run', slice(__words, CAST(s.pos AS INT) + 1, {ANCHOR})))")
+
+
 def gazetteer_mentions(texts: DataFrame, names: DataFrame, *, doc_id: str, text: str) -> DataFrame:
     """``(doc_id, pos, name)``: runs of words that a name table lists, of any length.
 
-    Words that begin no name are dropped first; each other one is tried with
-    the lengths of the names that begin with it, and the runs meet the
-    lower-case names in an equality join. At one start the longest name counts,
-    and a name that starts inside another one does not. Texts are read and
-    split once. A null text has no mentions, a null name lists nothing.
+    Words that begin no name are dropped inside their text. Each other one is
+    tried with the lengths of the names that begin with it, and the runs meet
+    the lower-case names in an equality join. A name of more than ``ANCHOR``
+    words is tried only where its first ``ANCHOR`` occur; those few texts are
+    read once more. So the work follows the places where names begin and not
+    the longest name. At one start the longest name counts, and a name that
+    starts inside another one does not. Texts are read and split once. A null
+    text has no mentions, a null name lists nothing.
     """
-    listed = names.select(F.array_join(K.words(F.lower("name")), " ").alias("key")).where("key <> ''").distinct()
-    sizes = listed.select(F.substring_index("key", " ", 1).alias("first"), F.size(F.split("key", " ")).alias("size"))
-    by_first = sizes.groupBy("first").agg(F.collect_set("size").alias("sizes"))
-    longest = F.broadcast(sizes.agg(F.coalesce(F.max("size"), F.lit(1)).alias("__longest")))  # one row
-    w = F.col("__words")
-    near = F.transform(w, lambda one, i: F.struct(
-        i.cast("long").alias("pos"), F.lower(one).alias("first"), F.slice(w, i + 1, F.col("__longest")).alias("run")))
-    starts = (texts.select(F.col(doc_id).alias("doc_id"), K.words(F.col(text)).alias("__words")).crossJoin(longest)
-              .select("doc_id", F.explode(near).alias("r")).select("doc_id", "r.*").join(by_first, "first"))
+    split = F.split("key", " ")
+    listed = (names.select(F.array_join(K.words(F.lower("name")), " ").alias("key")).where("key <> ''").distinct()
+              .select("key", F.size(split).alias("size"), F.get(split, F.lit(0)).alias("first"),
+                      F.array_join(F.slice(split, 1, ANCHOR), " ").alias("anchor")))
+    known = listed.agg(F.coalesce(F.max("size"), F.lit(0)).alias("longest"), F.count_distinct("first").alias("firsts")).first()
+    firsts = None
+    if known["firsts"] <= FIRST_WORDS:
+        firsts = sorted(r["first"] for r in listed.select("first").distinct().collect())
+    by_first = listed.groupBy("first").agg(F.collect_set(F.least("size", F.lit(ANCHOR))).alias("sizes"))
+    starts = (texts.select(F.col(doc_id).alias("doc_id"), K.words(F.col(text)).alias("__words"))
+              .select("doc_id", F.explode(_starts(firsts)).alias("r")).select("doc_id", "r.*").join(by_first, "first"))
     runs = starts.select("doc_id", "pos", "run", F.explode("sizes").alias("size")).where(F.size("run") >= F.col("size"))
     grams = runs.select("doc_id", "pos", "size", F.array_join(F.slice("run", F.lit(1), F.col("size")), " ").alias("text"))
-    hits = (grams.withColumn("key", F.lower("text")).join(listed, "key", "left_semi")
-            .groupBy("doc_id", "pos").agg(F.max(F.struct("size", "text")).alias("best")))
+    grams = grams.withColumn("key", F.lower("text"))
+    if known["longest"] > ANCHOR:
+        grams = materialise(grams, "grams")  # names and beginnings of long names both look at them
+    hits = grams.join(listed.select("key"), "key", "left_semi").select("doc_id", "pos", "size", "text")
+    if known["longest"] > ANCHOR:
+        hits = hits.unionByName(_long_names(texts, listed, grams, doc_id, text))
+    best = hits.groupBy("doc_id", "pos").agg(F.max(F.struct("size", "text")).alias("best"))
     earlier = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     reach = F.max(F.col("pos") + F.col("best.size") - 1).over(earlier)
-    return (hits.withColumn("reach", reach).where(F.col("reach").isNull() | (F.col("reach") < F.col("pos")))
+    return (best.withColumn("reach", reach).where(F.col("reach").isNull() | (F.col("reach") < F.col("pos")))
             .select("doc_id", "pos", F.col("best.text").alias("name")))
 
 
+def _long_names(texts: DataFrame, listed: DataFrame, grams: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``(doc_id, pos, size, text)`` of the names with more than ``ANCHOR`` words."""
+    long = listed.where(F.col("size") > ANCHOR)
+    tried = (grams.where(F.col("size") == ANCHOR).select("doc_id", "pos", F.col("key").alias("anchor"))
+             .join(long.select("anchor", "size").distinct(), "anchor")
+             .groupBy("doc_id").agg(F.collect_set(F.struct("pos", "size")).alias("tried")))
+    whole = (texts.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__text")).join(tried, "doc_id")
+             .select("doc_id", "tried", K.words(F.col("__text")).alias("__words")))
+    runs = whole.select("doc_id", F.explode(F.expr(
+        "transform(filter(tried, t -> t.pos + t.size <= size(__words)), t -> named_struct('pos', t.pos, 'size', t.size, "
+        "'text', array_join(slice(__words, CAST(t.pos AS INT) + 1, t.size), ' ')))")).alias("r")).select("doc_id", "r.*")
+    return (runs.withColumn("key", F.lower("text")).join(long.select("key"), "key", "left_semi")
+            .select("doc_id", "pos", "size", "text"))
+
+
 def paragraph_table(books: DataFrame, *, doc_id: str, raw: str) -> DataFrame:
     """``(doc_id, par, words)``: the word arrays of the cleaned paragraphs."""
     clean = clean_text(strip_boilerplate(F.col(raw)))

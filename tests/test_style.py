@@ -156,6 +156,39 @@ def test_gazetteer_takes_the_longest(spark):
                    (2, 10, "Erik")]
 
 
+@pytest.mark.parametrize("filtered", [True, False])
+def test_gazetteer_of_very_long_names(spark, monkeypatch, filtered):
+    if not filtered:
+        monkeypatch.setattr(W, "FIRST_WORDS", 0)
+    rng = random.Random(8)
+    words = ["a", "b", "l'eau", "d’or", "x"]
+    names = {" ".join(rng.choice(words) for _ in range(rng.choice([1, 2, 3, 8, 9, 12, 20]))) for _ in range(60)}
+    names |= {" ".join(["a", "b"] * 200), " ".join(["x"] * 9), " ".join(["x"] * 30)}
+    texts = []
+    for d in range(30):
+        parts = [rng.choice([*names, *words]) for _ in range(12)]
+        texts.append((d, " ".join(parts).upper() if d % 3 == 0 else ", ".join(parts)))
+    want = []
+    keys = {n.lower() for n in names}
+    for d, t in texts:
+        w = [x for x in t.replace(",", " ").split()]
+        i = 0
+        found = {}
+        for i in range(len(w)):
+            fits = [n for n in range(1, len(w) - i + 1) if " ".join(w[i:i + n]).lower() in keys]
+            if fits:
+                found[i] = max(fits)
+        reach = -1
+        for i, n in sorted(found.items()):
+            if i > reach:
+                want.append((d, i, " ".join(w[i:i + n])))
+            reach = max(reach, i + n - 1)
+    df = spark.createDataFrame(texts, "id int, t string")
+    listed = spark.createDataFrame([(n,) for n in names], "name string")
+    got = sorted((r["doc_id"], r["pos"], r["name"]) for r in W.gazetteer_mentions(df, listed, doc_id="id", text="t").collect())
+    assert got == sorted(want)
+
+
 def test_gazetteer_reads_texts_once(spark):
     texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     names = spark.createDataFrame([("Anna Maria",), ("the",)], "name string")
