@@ -7,48 +7,51 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# For one degree of freedom the series below is used up to h = 1.5 and the
-# continued fraction beyond; there both reach double precision well before
-# this many terms, whatever the data.
-_TERMS = 400
+# The series of Stirling's formula is used from here on, where its error is below double precision.
+_SHIFT = 10
 
 
-def _one_degree(h: Column) -> Column:
-    """Upper tail for one degree of freedom at ``x = 2 h``."""
-    front = F.exp(-h + 0.5 * F.ln(h) - F.lit(math.lgamma(0.5)))
-    steps = F.sequence(F.lit(1), F.lit(_TERMS))
+def ln_gamma(a: Column) -> Column:
+    """Logarithm of the gamma function for positive arguments."""
+    z = a + F.lit(float(_SHIFT))
+    inner = F.lit(0.0)
+    # The first terms of Stirling's series.
+    for power, divisor in ((9, 1188.0), (7, -1680.0), (5, 1260.0), (3, -360.0), (1, 12.0)):
+        inner = inner + F.lit(1.0 / divisor) / F.pow(z, power)
+    below = F.lit(0.0)
+    for i in range(_SHIFT):
+        below = below + F.ln(a + F.lit(float(i)))
+    return (z - 0.5) * F.ln(z) - z + F.lit(0.5 * math.log(2 * math.pi)) + inner - below
+
+
+def _terms(a: Column) -> Column:
+    """How many terms reach double precision: both expansions take some square roots of ``a``, most at ``x = a``."""
+    return F.sequence(F.lit(1), F.ceil(F.sqrt(a) * 12 + 80).cast("int"))
+
+
+def gamma_tail(a: Column, x: Column) -> Column:
+    """Upper part of the gamma distribution: a series below ``a + 1``, a continued fraction beyond."""
+    front = F.exp(a * F.ln(x) - x - ln_gamma(a))
     series = F.aggregate(
-        steps, F.struct(F.lit(2.0).alias("t"), F.lit(2.0).alias("s")),
-        lambda acc, i: F.struct((acc.t * h / (i + F.lit(0.5))).alias("t"), (acc.s + acc.t * h / (i + F.lit(0.5))).alias("s")),
+        _terms(a), F.struct((1 / a).alias("t"), (1 / a).alias("s")),
+        lambda acc, i: F.struct((acc.t * x / (a + i)).alias("t"), (acc.s + acc.t * x / (a + i)).alias("s")),
         lambda acc: acc.s)
-    fraction = F.aggregate(
-        F.reverse(steps), h + F.lit(2.0 * _TERMS + 0.5),
-        lambda acc, i: h + (i * 2 - 1) - F.lit(0.5) - i * (i - F.lit(0.5)) / acc)
-    return F.when(h <= 0, F.lit(1.0)).when(h < 1.5, F.lit(1.0) - front * series).otherwise(front / fraction)
+    steps = _terms(a)
+    fraction = F.aggregate(F.reverse(steps), x + 2 * F.size(steps) + 1 - a,
+                           lambda acc, i: (x + 2 * i - 1 - a) - i * (i - a) / acc)
+    tail = F.when(x < a + 1, 1 - front * series).otherwise(front / fraction)
+    return F.when(x <= 0, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), tail)))
 
 
 def chi_square_tail(x: Column, df: Column | int) -> Column:
     """Upper tail of the chi-square distribution; null for a null ``x`` or without a degree of freedom.
 
-    A finite sum, for odd degrees on top of the tail for one degree. Terms are
-    kept as logarithms, so thousands of degrees neither overflow nor lose the
-    digits of small tails, and the plan has the same size for any number.
+    The work grows with the square root of the degrees, so millions of classes
+    take some thousand terms.
     """
     df = df if isinstance(df, Column) else F.lit(df)
-    h, odd = x / F.lit(2.0), df % 2 == 1
-    half = F.when(odd, 0.5).otherwise(0.0)
-    # Terms h ** (j - half) / Gamma(j + 1 - half) for j from 0 (even) or 1 (odd), from the first on by recurrence.
-    first = F.when(odd, 0.5 * F.ln(h) - F.lit(math.lgamma(1.5))).otherwise(0.0)
-    count = F.floor(df / 2).cast("int")
-    total = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
-        F.struct(first.alias("t"), F.lit(0.0).alias("s")),
-        lambda acc, j: F.struct((acc.t + F.ln(h) - F.ln(j + half)).alias("t"), (acc.s + F.exp(acc.t - h)).alias("s")),
-        lambda acc: acc.s)
-    total = F.when(count > 0, total).otherwise(0.0)
-    tail = F.when(odd, _one_degree(h) + total).otherwise(total)
-    return F.when(df < 1, F.lit(None).cast("double")).when(x <= 0, F.lit(1.0)).when(
-        tail > 1, F.lit(1.0)).otherwise(tail)
+    tail = gamma_tail(df.cast("double") / 2, x / F.lit(2.0))
+    return F.when((df < 1) | x.isNull(), F.lit(None).cast("double")).otherwise(tail)
 
 
 def tidy(value: Column, digits: int) -> Column:

@@ -37,27 +37,35 @@ def quota_select_general(rows: DataFrame, *, author: str, group: str, order: lis
     """The walk for authors that may belong to several classes.
 
     Rows beyond the first ``per_author`` of an author within one class can
-    never be taken, which bounds the rows that have to be looked at. Then, round
-    by round, the earliest place where another class fills up is found and the
-    later rows of that class are dropped, since they no longer use up places of
-    their authors. One row per round reaches the driver, and there are at most
-    as many rounds as classes. Every round reads the rows that are left, so
-    these are written first.
+    never be taken, which bounds the rows that have to be looked at; these are
+    written first. A class is full from some place on, and its later rows use
+    up no places of their authors. All classes' places are found together: from
+    those known so far follow the rows taken, and from these each class's place
+    anew, until none changes. The first place that was wrong is right after a
+    round, so there are at most as many rounds as classes fill up, and commonly
+    a few. The places are a table; only whether it changed reaches the driver.
+    Rows without a class are a class, rows without an author one author's.
     """
     live = materialise(_numbered(rows, [author, group], order, per_author), "quota")
     place = F.struct(*order)
-    full: list[str] = []
+    limits = None
     while True:
-        taken = _numbered(live, [author], order, per_author)
+        open_ = live
+        if limits is not None:
+            open_ = (live.join(limits, live[group].eqNullSafe(limits["__g"]), "left")
+                     .where(F.col("__limit").isNull() | (place <= F.col("__limit"))).select(*live.columns))
+        taken = _numbered(open_, [author], order, per_author)
         at = Window.partitionBy(group).orderBy(*order)
         filled = (taken.withColumn("__rn", F.row_number().over(at)).where(F.col("__rn") <= per_group)
-                  .where((F.col("__rn") == per_group) & ~F.col(group).isin(full))
-                  .select(F.col(group).alias("g"), place.alias("place")))
-        found = filled.agg(F.min_by("g", "place").alias("g"), F.min("place").alias("place")).first()
-        if found is None or found["g"] is None:
+                  .where(F.col("__rn") == per_group).select(F.col(group).alias("__g"), place.alias("__limit")))
+        found = materialise(filled, "quota-limits")
+        if found.isEmpty() if limits is None else _same(found, limits):
             return taken
-        full.append(found["g"])
-        # Both sides as structs of the order columns, so they compare in order.
-        limit = F.struct(*[F.lit(found["place"][name]).cast(rows.schema[name].dataType).alias(name)
-                           for name in order])
-        live = live.where((F.col(group) != found["g"]) | (place <= limit))
+        limits = found
+
+
+def _same(a: DataFrame, b: DataFrame) -> bool:
+    """Whether two tables of limits, a row per class, are equal."""
+    other = b.withColumnsRenamed({"__g": "__h", "__limit": "__other"})
+    met = a.withColumn("__a", F.lit(1)).join(other.withColumn("__b", F.lit(1)), F.col("__g").eqNullSafe(F.col("__h")), "full")
+    return met.where(F.col("__a").isNull() | F.col("__b").isNull() | ~F.col("__limit").eqNullSafe(F.col("__other"))).isEmpty()

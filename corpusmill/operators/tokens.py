@@ -123,43 +123,46 @@ def token_features(tokens: DataFrame, style) -> DataFrame:
 
 # Names of up to this many words are looked up whole; of longer ones the first words, and the rest where these occur.
 ANCHOR = 8
-# Up to this many first words of names are a filter on the words of a text; more are met by a join.
-FIRST_WORDS = 5000
-
-
-def _starts(firsts: list[str] | None) -> Column:
-    """``(pos, first, run)`` of every word, or of those in ``firsts``, with the ``ANCHOR`` words from it on."""
-    every = "transform(__words, (w, i) -> named_struct('pos', CAST(i AS BIGINT), 'first', lower(w)))"
-    if firsts is not None:
-        listed = ", ".join("'" + f.replace("'", "\\'") + "'" for f in firsts) or "NULL"
-        every = f"filter({every}, s -> s.first IN ({listed}))"
-    return F.expr(f"transform({every}, s -> named_struct('pos', s.pos, 'first', s.first, "
+# Up to this many beginnings of names are a filter on the words of a text; more are met by a join.
+BEGINNINGS = 5000
+
+
+def _starts(begins: list[str] | None) -> Column:
+    """``(pos, begin, run)`` of every word and every pair of words, or of those in ``begins``, with ``ANCHOR`` words from there on."""
+    place = "named_struct('pos', CAST(i AS BIGINT), 'begin', {})"
+    one = "transform(__words, (w, i) -> " + place.format("lower(w)") + ")"
+    two = "transform(slice(__words, 2, size(__words)), (w, i) -> " + place.format("concat(lower(__words[i]), ' ', lower(w))") + ")"
+    every = f"concat({one}, {two})"
+    if begins is not None:
+        listed = ", ".join("'" + f.replace("'", "\\'") + "'" for f in begins) or "NULL"
+        every = f"filter({every}, s -> s.begin IN ({listed}))"
+    return F.expr(f"transform({every}, s -> named_struct('pos', s.pos, 'begin', s.begin, "
                   f"'run', slice(__words, CAST(s.pos AS INT) + 1, {ANCHOR})))")
 
 
 def gazetteer_mentions(texts: DataFrame, names: DataFrame, *, doc_id: str, text: str) -> DataFrame:
     """``(doc_id, pos, name)``: runs of words that a name table lists, of any length.
 
-    Words that begin no name are dropped inside their text. Each other one is
-    tried with the lengths of the names that begin with it, and the runs meet
-    the lower-case names in an equality join. A name of more than ``ANCHOR``
-    words is tried only where its first ``ANCHOR`` occur; those few texts are
-    read once more. So the work follows the places where names begin and not
-    the longest name. At one start the longest name counts, and a name that
+    Places where neither the word is a name nor it and the next one begin a
+    name are dropped inside their text. Each other one is tried with the
+    lengths of the names that begin so, and the runs meet the lower-case names
+    in an equality join. A name of more than ``ANCHOR`` words is tried only
+    where its first ``ANCHOR`` occur; those few texts are read once more. So
+    the work follows the places where names begin and not the longest name. At one start the longest name counts, and a name that
     starts inside another one does not. Texts are read and split once. A null
     text has no mentions, a null name lists nothing.
     """
     split = F.split("key", " ")
     listed = (names.select(F.array_join(K.words(F.lower("name")), " ").alias("key")).where("key <> ''").distinct()
-              .select("key", F.size(split).alias("size"), F.get(split, F.lit(0)).alias("first"),
+              .select("key", F.size(split).alias("size"), F.array_join(F.slice(split, 1, 2), " ").alias("begin"),
                       F.array_join(F.slice(split, 1, ANCHOR), " ").alias("anchor")))
-    known = listed.agg(F.coalesce(F.max("size"), F.lit(0)).alias("longest"), F.count_distinct("first").alias("firsts")).first()
-    firsts = None
-    if known["firsts"] <= FIRST_WORDS:
-        firsts = sorted(r["first"] for r in listed.select("first").distinct().collect())
-    by_first = listed.groupBy("first").agg(F.collect_set(F.least("size", F.lit(ANCHOR))).alias("sizes"))
+    known = listed.agg(F.coalesce(F.max("size"), F.lit(0)).alias("longest"), F.count_distinct("begin").alias("begins")).first()
+    begins = None
+    if known["begins"] <= BEGINNINGS:
+        begins = sorted(r["begin"] for r in listed.select("begin").distinct().collect())
+    by_begin = listed.groupBy("begin").agg(F.collect_set(F.least("size", F.lit(ANCHOR))).alias("sizes"))
     starts = (texts.select(F.col(doc_id).alias("doc_id"), K.words(F.col(text)).alias("__words"))
-              .select("doc_id", F.explode(_starts(firsts)).alias("r")).select("doc_id", "r.*").join(by_first, "first"))
+              .select("doc_id", F.explode(_starts(begins)).alias("r")).select("doc_id", "r.*").join(by_begin, "begin"))
     runs = starts.select("doc_id", "pos", "run", F.explode("sizes").alias("size")).where(F.size("run") >= F.col("size"))
     grams = runs.select("doc_id", "pos", "size", F.array_join(F.slice("run", F.lit(1), F.col("size")), " ").alias("text"))
     grams = grams.withColumn("key", F.lower("text"))

@@ -353,19 +353,23 @@ RANKS = """ranked AS (SELECT *, rank() OVER (PARTITION BY feature ORDER BY value
   count(*) OVER (PARTITION BY feature, value) AS t FROM long)"""
 
 
-def kruskal(digits: int) -> str:
-    """Three classes, so the tail is that of two degrees of freedom."""
-    return f"""SELECT feature, CAST(n AS BIGINT) AS n, round(h, {digits}) AS h, round(exp(-h / 2), {digits}) AS p_value FROM (
-  SELECT feature, n, (12 / (n * (n + 1)) * sq - 3 * (n + 1)) / (1 - ties / (n * n * n - n)) AS h FROM (
-    SELECT feature, CAST(sum(c) AS DOUBLE) AS n, sum(rs * rs / c) AS sq, sum(tt) AS ties FROM (
+# Of three classes the tail is that of two degrees of freedom; of any number it comes from the series of the lower part.
+TWO_DEGREES = "exp(-h / 2)"
+ANY_DEGREES = """1 - list_sum(list_transform(range(CAST(h + 400 AS BIGINT)), lambda i:
+  exp(((classes - 1) / 2 + i) * ln(h / 2) - h / 2 - lgamma((classes - 1) / 2 + i + 1))))"""
+
+
+def kruskal(digits: int, tail: str = TWO_DEGREES) -> str:
+    return f"""SELECT feature, CAST(n AS BIGINT) AS n, round(h, {digits}) AS h, round({tail}, {digits}) AS p_value FROM (
+  SELECT feature, n, classes, (12 / (n * (n + 1)) * sq - 3 * (n + 1)) / (1 - ties / (n * n * n - n)) AS h FROM (
+    SELECT feature, CAST(count(*) AS DOUBLE) AS classes, CAST(sum(c) AS DOUBLE) AS n, sum(rs * rs / c) AS sq, sum(tt) AS ties FROM (
       SELECT feature, grp, CAST(count(*) AS DOUBLE) AS c, CAST(sum(r) AS DOUBLE) AS rs, sum(CAST(t AS DOUBLE) * t - 1) AS tt
       FROM ranked GROUP BY feature, grp) GROUP BY feature))"""
 
 
 ORACLE["kruskal"] = with_(FIN, F_LONG, RANKS, select=kruskal(6))
 ORACLE["kruskal_lineitem"] = with_(L_LONG, RANKS, select=kruskal(5))
-ORACLE["kruskal_parts"] = with_(long("lineitem", "l_suppkey", MEASURES), RANKS, select=f"""
-SELECT feature, n, h, true AS tail FROM ({kruskal(4)})""")
+ORACLE["kruskal_parts"] = with_(long("lineitem", "l_suppkey", MEASURES), RANKS, select=kruskal(4, ANY_DEGREES))
 ORACLE["average_ranks"] = with_(L_LONG, RANKS, select="""
 SELECT feature, grp, value, count(*) AS n, CAST(max(r) AS DOUBLE) AS mid_rank FROM ranked GROUP BY feature, grp, value""")
 

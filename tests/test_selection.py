@@ -49,6 +49,21 @@ def test_quotas_with_one_author_holding_a_third(spark):
     assert {r["place"] for r in got.collect()} == walk(rows, 3, 40)
 
 
+def test_quotas_of_many_classes_take_few_rounds_and_keep_missing_values(spark, monkeypatch):
+    from corpusmill.operators import quota as Q
+    rounds = []
+    keep = Q.materialise
+    monkeypatch.setattr(Q, "materialise", lambda df, name: rounds.append(name) or keep(df, name))
+    rng = random.Random(5)
+    rows = [(i, rng.choice([None, *(f"a{k}" for k in range(200))]), rng.choice([None, *(f"e{k}" for k in range(150))]))
+            for i in range(2500)]
+    df = spark.createDataFrame(rows, "place int, author string, epoch string")
+    got = {r["place"] for r in quota_select_general(df, per_author=6, per_group=7, **RULE).collect()}
+    assert got == walk([(i, a or "", g or "") for i, a, g in rows], 6, 7)
+    assert {i for i in got if rows[i][2] is None}
+    assert rounds.count("quota-limits") < 30
+
+
 def test_rank_equals_a_sort(spark):
     rows = spark.range(3000).select("id", (F.col("id") % 3).alias("g"), (F.col("id") % 7 % 4).alias("s")).withColumn(
         "k", order_key(F.col("id"), 5))

@@ -159,7 +159,7 @@ def test_gazetteer_takes_the_longest(spark):
 @pytest.mark.parametrize("filtered", [True, False])
 def test_gazetteer_of_very_long_names(spark, monkeypatch, filtered):
     if not filtered:
-        monkeypatch.setattr(W, "FIRST_WORDS", 0)
+        monkeypatch.setattr(W, "BEGINNINGS", 0)
     rng = random.Random(8)
     words = ["a", "b", "l'eau", "d’or", "x"]
     names = {" ".join(rng.choice(words) for _ in range(rng.choice([1, 2, 3, 8, 9, 12, 20]))) for _ in range(60)}
