@@ -12,29 +12,52 @@ from corpusmill.llm.secrets import redact
 from corpusmill.runtime import materialise
 
 
+#: The columns that the stages work on. All others go through them under names that no operator uses.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _others_aside(docs: DataFrame, stage) -> DataFrame:
+    """``stage(docs)`` with every column of ``docs`` under its own name, whatever names the operator uses inside.
+
+    A column that the stage adds under a name ``docs`` already has gets ``mix_`` before it.
+    """
+    others = {c: f"other_{i}__" for i, c in enumerate(c for c in docs.columns if c not in COLUMNS)}
+    out = stage(docs.toDF(*[others.get(c, c) for c in docs.columns]))
+    back = {renamed: c for c, renamed in others.items()}
+    taken, names = {c.lower() for c in docs.columns}, []
+    for c in out.columns:
+        name = back.get(c, c)
+        while c not in back and c not in COLUMNS and name.lower() in taken:
+            name = f"mix_{name}"
+        names.append(name)
+        taken.add(name.lower())
+    return out.toDF(*names)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised."""
-    return keep_identified(docs)
+    """Documents whose language is recognised; of equal scores the first language counts. Repeated rows stay."""
+    return _others_aside(docs, keep_identified)
 
 
 def drop_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return drop_near_duplicates(docs)
+    """One document of each group of near-duplicates, the smallest doc_id. A row that repeats doc_id and text stays once."""
+    return _others_aside(docs, drop_near_duplicates)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that do not hold too much of the benchmark."""
-    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Documents that do not hold too much of the benchmark. Repeated rows are judged alike; long texts count whole."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _others_aside(docs, lambda d: drop_contaminated(d, benchmark))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a mark."""
-    return redact(docs)
+    return _others_aside(docs, redact)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mix takes words from, and how many."""
-    return mixed(docs)
+    """Documents that the mix takes words from, and how many; rows that repeat doc_id and text are one row."""
+    return _others_aside(docs, mixed)
 
 
 STAGES = [

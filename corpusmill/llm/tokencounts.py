@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -20,6 +22,13 @@ from corpusmill.runtime import materialise
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: Fixed value: all that ``\s`` matches in the pattern.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: White space of this length is not given to the pattern, which would go through it by recursion.
+LONG_SPACE = 256
+_LONG = re.compile(f"(?<![{SPACES}])[{SPACES}]{{{LONG_SPACE},}}")
+
+
 @dataclass(frozen=True)
 class Tokenizer:
     """A file of byte-pair ranks (``base64 rank`` lines) that the driver can read."""
@@ -29,8 +38,14 @@ class Tokenizer:
     max_bytes: int = 64 << 20
 
 
+
+
 def lengths(docs: DataFrame, p: Tokenizer = Tokenizer(), out: str = "_n_tokens") -> DataFrame:
-    """``docs`` with the number of tokens of each text behind its columns; a null text has none."""
+    """``docs`` with the number of tokens of each text behind its columns; a null text has none.
+
+    White space, letters or marks of any length are encoded as the tokenizer
+    would without bounds of its own, see ``counted``.
+    """
     with open(p.path, "rb") as file:
         data = file.read(p.max_bytes + 1)
     if len(data) > p.max_bytes:
@@ -41,8 +56,11 @@ def lengths(docs: DataFrame, p: Tokenizer = Tokenizer(), out: str = "_n_tokens")
     def run(batches) -> Iterator[pa.RecordBatch]:
         encode = _encoder(sent.value, p.pattern)
         for batch in chunks(batches, "text"):
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            n = np.fromiter((len(encode(t)) if t else 0 for t in texts), np.int64, len(texts))
+            column = batch.column(batch.schema.get_field_index("text"))
+            spaced = pc.match_substring_regex(pc.fill_null(column, ""), f"[{SPACES}]{{{LONG_SPACE}}}")
+            texts = column.to_pylist()
+            n = np.fromiter(((counted(encode, t) if long else len(encode.encode_ordinary(t))) if t else 0
+                             for t, long in zip(texts, spaced.to_pylist(), strict=True)), np.int64, len(texts))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n)], names=[*batch.schema.names, out])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, LongType())]))
@@ -58,7 +76,23 @@ def _encoder(data: bytes, pattern: str):
     if key not in _encoders:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
         _encoders[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return _encoders[key].encode_ordinary
+    return _encoders[key]
+
+
+def counted(encoding, text: str) -> int:
+    """Tokens of a text, long white space cut off before the pattern sees it.
+
+    The pattern takes white space before other characters without its last
+    one, which goes with what follows, and white space at the end whole. Such a
+    piece is one for the byte pairs, and nothing else crosses its ends.
+    """
+    total, done = 0, 0
+    for run in _LONG.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        total += len(encoding.encode_ordinary(text[done:run.start()]))
+        total += len(encoding._encode_single_piece(text[run.start():end]))
+        done = end
+    return total + len(encoding.encode_ordinary(text[done:]))
 
 
 def _bucket(length: str) -> Column:

@@ -90,3 +90,54 @@ def test_filter_drops_rows_without_language_only(docs):
     left = L.keep_identified(df)
     assert left.columns == df.columns
     assert sorted(r["doc_id"] for r in left.collect()) == [*range(12), 52]
+
+
+def test_two_thousand_languages_by_plain_naive_bayes(docs):
+    """Parts of a few languages, against the same model in dictionaries."""
+    import random
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 7))) for _ in range(400)]
+    rows = []
+    for i in range(4000):
+        rows.append((i, " ".join(rng.choice(words) for _ in range(rng.randrange(1, 6))), f"l{i % 2000:04d}" if i % 50 else None))
+    rows += [(5000, None, "l0001"), (5001, "...", "l0002"), (5002, "abc", "l0003")]
+    p = L.LangId(bits=10, max_bytes=200_000)
+    df = docs(rows, extra=True)
+    got = {r["doc_id"]: r for r in L.identify(df, p).collect()}
+    assert len(got) == len(rows) and len(list(L.parts_of(df, p))) > 1
+    held = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i, _, _ in rows}
+    counts, prior = {}, Counter()
+    for i, t, g in rows:
+        if g and not held[i]:
+            prior[g] += 1
+            counts.setdefault(g, Counter()).update(grams(t, 10))
+    total = sum(prior.values())
+    sums = {g: sum(c.values()) + 0.5 * 1024 for g, c in counts.items()}
+    for i, t, _ in rows[::97] + rows[-3:]:
+        own = grams(t, 10)
+        if not own:
+            assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0.0)
+            continue
+        logs = {g: math.log(prior[g] / total) + sum(math.log((c[b] + 0.5) / sums[g]) for b in own) for g, c in counts.items()}
+        best = max(logs.values())
+        assert logs[got[i]["lang_pred"]] > best - 1e-9
+        assert abs(got[i]["score"] - 1 / sum(math.exp(x - best) for x in logs.values())) < 1e-9
+
+
+def test_parts_and_the_whole_matrix_agree(docs):
+    rows = [(i, t, g) for i, (t, g) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de"),
+                                                  ("le chat et le chien", "fr"), ("mystery", None), ("", "de")] * 6)]
+    df = docs(rows)
+    whole, parts = (sorted((tuple(r) for r in L.identify(df, p).collect()), key=repr)
+                    for p in (L.LangId(bits=12), L.LangId(bits=12, dense=0, max_bytes=1)))
+    for a, b in zip(whole, parts, strict=True):
+        assert a[:3] == b[:3] and abs(a[3] - b[3]) < 1e-4
+
+
+def test_filter_keeps_columns_of_any_name(docs):
+    from pyspark.sql import functions as F
+    rows = [(i, "der die das und", "de") for i in range(12)]
+    names = ["_lang_pred", "_lang_score", "lang_pred", "_LANG_SCORE_top", "b", "l"]
+    df = docs(rows).withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    out = L.keep_identified(df).collect()
+    assert len(out) == 12 and all(r[n] == f"{n}{r['doc_id']}" for r in out for n in names)

@@ -1,5 +1,7 @@
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from corpusmill.llm import decontaminate, langid, mixing, neardup, secrets
 from corpusmill.llm.queries import QUERIES
@@ -42,8 +44,24 @@ def test_stages_take_empty_tables(spark):
         assert stage(spark, docs, SF).collect() == []
 
 
+def test_columns_of_any_name_keep_their_values(spark, tmp_path):
+    names = ["size", "_key", "_text", "_id", "_lang_pred", "_n_hit", "target", "taken", "key", "row", "digest", "component_id", "mix_size"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plain = [stage for _, stage in P.STAGES]
+    wide = docs.withColumns({n: F.concat(F.lit(n + ":"), F.col("doc_id").cast("string")) for n in names})
+    for k, stage in enumerate(plain):
+        for name, df in (("plain", docs), ("wide", wide)):
+            stage(spark, df, SF).write.parquet(str(tmp_path / f"{name}{k}"))
+        docs, wide = (spark.read.parquet(str(tmp_path / f"{name}{k}")) for name in ("plain", "wide"))
+        assert wide.columns[:5 + len(names)] == [*TABLE, *names]
+        rows = wide.collect()
+        assert all(r[n] == f"{n}:{r['doc_id']}" for r in rows for n in names)
+        assert {(r["doc_id"], r["text"]) for r in rows} == {(r["doc_id"], r["text"]) for r in docs.collect()}
+    assert wide.columns[5 + len(names):] == ["mix_mix_size", "source_size", "mix_target", "mix_taken"]
+
+
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_nothing_else_imports_the_subpackage():

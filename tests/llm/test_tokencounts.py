@@ -52,5 +52,28 @@ def test_suffix_sums_limits_and_quantiles(spark):
         assert T.quantile(hist, q).first()[0] == want
 
 
+def test_long_white_space_is_cut_as_the_pattern_would(encode):
+    rng = random.Random(4)
+    with open(T.Tokenizer().path, "rb") as file:
+        encoding = T._encoder(file.read(), T.PATTERN)
+    for _ in range(300):
+        parts = []
+        for _ in range(rng.randrange(1, 6)):
+            space = "".join(rng.choice(" \n\t\r\u00a0\u3000\x85") if rng.random() < 0.1 else " " for _ in range(
+                rng.choice([1, 2, T.LONG_SPACE - 1, T.LONG_SPACE, T.LONG_SPACE + 1, 700])))
+            parts += [rng.choice(["word", "it's", "9", "!?", "é漢", "'s", ""]), space]
+        text = "".join(parts[rng.randrange(2):])
+        assert T.counted(encoding, text) == len(encode(text)), repr(text)
+
+
+def test_two_megabytes_of_every_class(docs):
+    n = 2_000_000
+    rows = [(i, c * n + end) for i, (c, end) in enumerate([(" ", ""), (" ", "x"), ("\n", "x"), ("\u3000", ""), ("a", ""), ("7", " "),
+                                                          ("!", ""), ("é", ""), (" \n", "."), ("'s", ""), ("a ", "")])]
+    got = {r["doc_id"]: r["_n_tokens"] for r in T.lengths(docs(rows)).collect()}
+    assert len(got) == len(rows) and all(v > n // 100 for v in got.values())
+    assert got[1] in (got[0], got[0] + 1) and got[10] == 2 * n or got[10] > n
+
+
 def test_empty_table(docs):
     assert T.histogram(T.lengths(docs([]))).collect() == []
