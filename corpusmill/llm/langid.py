@@ -29,6 +29,8 @@ from corpusmill.runtime import materialise
 UNKNOWN = "und"
 #: Letters that are scored together.
 SLICE = 1 << 17
+#: Languages whose shares are sent to every task, at most.
+SENT = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -92,9 +94,15 @@ def features(column: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return one.astype(np.int64), two.astype(np.int64), three.astype(np.int64), bounds
 
 
-def _sample(labelled: DataFrame, counts: DataFrame, p: LangId) -> DataFrame:
-    """About ``per_language`` rows of each language; only the languages with more are looked up."""
+def _sample(labelled: DataFrame, counts: DataFrame, known: dict[str, int], p: LangId) -> DataFrame:
+    """About ``per_language`` rows of each language; only the languages with more are looked up.
+
+    These are at most a row per ``per_language`` rows of the table, and go to
+    every task up to a number; then no text moves, however hot its language.
+    """
     many = counts.where(F.col("n") > p.per_language).select(F.col("lang").alias("_lang"), (p.per_language / F.col("n")).alias("_share"))
+    if sum(n > p.per_language for n in known.values()) <= SENT:
+        many = F.broadcast(many)
     place = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 20))
     share = F.coalesce("_share", F.lit(1.0))
     return labelled.join(many, F.col("lang") == F.col("_lang"), "left").where(place < share * (1 << 20)).select("text", "lang")
@@ -132,7 +140,7 @@ def _learn(docs: DataFrame, p: LangId) -> tuple[DataFrame, list[str], np.ndarray
     # One row per language; their names are part of the model.
     known = {r["lang"]: r["n"] for r in counts.collect()}
     names = sorted(known)
-    seen = _sample(labelled, counts, p).mapInArrow(lambda b: _counted(b, p.bits), "lang string, b int, n long")
+    seen = _sample(labelled, counts, known, p).mapInArrow(lambda b: _counted(b, p.bits), "lang string, b int, n long")
     return seen.groupBy("lang", "b").agg(F.sum("n").alias("n")), names, np.array([known[n] for n in names], dtype=float)
 
 
