@@ -288,6 +288,10 @@ ORACLE["mention_counts"] = with_(*PERSONS, select="SELECT * FROM named")
 ORACLE["merge_genitives"] = with_(*PERSONS, select="SELECT * FROM merged")
 ORACLE["character_groups"] = with_(*PERSONS, select="SELECT * FROM groups")
 ORACLE["character_counts"] = with_(*PERSONS, select="SELECT * FROM cast_size")
+INFLECTED = (*PERSONS[:3], """inflected AS (SELECT doc_id, pos, CASE WHEN pos % 3 = 0 THEN name || 's' ELSE name END AS name
+  FROM mentions)""", person_ctes("inflected"))
+ORACLE["inflected_genitives"] = with_(*INFLECTED, select="SELECT * FROM merged")
+ORACLE["inflected_groups"] = with_(*INFLECTED, select="SELECT * FROM groups")
 ORACLE["character_density"] = with_(*PERSONS, select=f"""
 SELECT doc_id, round(CASE WHEN n > 0 THEN coalesce(characters, 0) / CAST(n AS DOUBLE) * 1000 END, 6) AS character_density
 FROM (SELECT doc_id, len(regexp_extract_all(text, {q(WORD)})) AS n FROM documents) LEFT JOIN cast_size USING (doc_id)""")
@@ -454,6 +458,7 @@ ORACLE["random_folds"] = with_(FIN, select=f"SELECT id, epoch, fold FROM ({rando
 ORACLE["leak_check"] = with_(*SPLIT, select="SELECT author FROM train INTERSECT SELECT author FROM test")
 ORACLE["leaky_authors"] = with_(FIN, f"rf AS ({random_folds('fin', 5)})", select="""
 SELECT author FROM rf WHERE fold <> 0 INTERSECT SELECT author FROM rf WHERE fold = 0""")
+ORACLE["leak_error"] = f"SELECT count(*) AS shared, true AS refused FROM ({ORACLE['leaky_authors']})"
 ORACLE["split_sizes"] = with_(*SPLIT, select=" UNION ALL ".join(
     f"SELECT '{part}' AS part, count(*) AS texts, count(DISTINCT author) AS authors FROM {src}"
     for part, src in (("all", "fin"), ("train", "train"), ("test", "test"))))

@@ -406,6 +406,22 @@ def character_counts(spark, sf):
     return H.character_counts(_counts(spark, sf), STYLE.min_mentions)
 
 
+def _inflected_counts(spark, sf):
+    """The same mentions with a genitive s on every third place of a text."""
+    inflected = F.when(F.col("pos") % 3 == 0, F.concat("name", F.lit("s"))).otherwise(F.col("name"))
+    return H.mention_counts(mentions(spark, sf).withColumn("name", inflected), PERSON_TITLES)
+
+
+@query
+def inflected_genitives(spark, sf):
+    return H.merge_genitives(_inflected_counts(spark, sf))
+
+
+@query
+def inflected_groups(spark, sf):
+    return H.character_groups(_inflected_counts(spark, sf))
+
+
 @query
 def character_density(spark, sf):
     people = H.character_counts(_counts(spark, sf), STYLE.min_mentions)
@@ -576,6 +592,19 @@ def leaky_authors(spark, sf):
     return D.shared_groups(rows.where(F.col("fold") != 0), rows.where(F.col("fold") == 0), group="author")
 
 
+@query
+def leak_error(spark, sf):
+    """Folds that ignore authors are refused: how many authors are on both sides, and whether that was an error."""
+    rows = D.with_random_folds(features_in(spark, sf), id_col="id", label="epoch", folds=5, seed=EV.seed)
+    train, test = rows.where(F.col("fold") != 0), rows.where(F.col("fold") == 0)
+    try:
+        D.assert_no_leak(train, test, group="author")
+        refused = False
+    except ValueError:
+        refused = True
+    return D.shared_groups(train, test, group="author").agg(F.count("*").alias("shared")).withColumn("refused", F.lit(refused))
+
+
 @query
 def split_sizes(spark, sf):
     train, test = split(spark, sf)
