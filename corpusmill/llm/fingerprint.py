@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.batches import small_batches
 from corpusmill.llm.wordcodes import chunks, distinct, shingles, words
+from corpusmill.runtime import materialise
 
 
 @dataclass(frozen=True)
@@ -33,8 +34,9 @@ class Sketch:
     least: int = 64
 
 
-RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
           "near_edited double, near_next double, contained_edited double, contained_next double")
+RESULT_NAMES = [c.split()[0] for c in RESULT.split(", ")]
 
 
 def _limit(p: Sketch) -> np.uint64:
@@ -74,9 +76,14 @@ def likeness(x: np.ndarray, y: np.ndarray, p: Sketch) -> tuple[float, float]:
     return both / max(1, len(x) + len(y) - both), both / max(1, len(x))
 
 
+def packed(sketch: np.ndarray) -> bytes:
+    """The hashes, 8 bytes each from the highest."""
+    return sketch.astype(">u8").tobytes()
+
+
 def written(sketch: np.ndarray) -> str:
-    """The hashes, 8 bytes each from the highest, in base 64."""
-    return b64encode(sketch.astype(">u8").tobytes()).decode()
+    """The packed hashes in base 64, as results show them."""
+    return b64encode(packed(sketch)).decode()
 
 
 def edited(text: str, following: str) -> str:
@@ -99,10 +106,10 @@ def _rows(ids: list, texts: list[str], following: list[str], p: Sketch) -> pa.Re
     others = [likeness(a, b, p) for a, b in zip(own, after, strict=True)]
     return pa.RecordBatch.from_arrays([
         pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
-        pa.array([sha256(t.encode()).hexdigest() for t in changed]), pa.array(list(map(written, own))),
-        pa.array(list(map(written, new))), *(pa.array([x[k] for x in y], pa.float64())
+        pa.array([sha256(t.encode()).hexdigest() for t in changed], pa.string()),
+        pa.array(list(map(packed, own)), pa.binary()), pa.array(list(map(packed, new)), pa.binary()), *(pa.array([x[k] for x in y], pa.float64())
                                              for k, y in ((0, pairs), (0, others), (1, pairs), (1, others)))],
-        names=[c.split()[0] for c in RESULT.split(", ")])
+        names=RESULT_NAMES)
 
 
 def fingerprints(docs: DataFrame, p: Sketch = Sketch()) -> DataFrame:
@@ -110,45 +117,47 @@ def fingerprints(docs: DataFrame, p: Sketch = Sketch()) -> DataFrame:
 
     Documents follow one another by descending doc_id (null ids last; equal ids
     by text), and after the last comes the first. They are dealt out by ranges
-    of ids, each range is walked in order, and only its last row needs the
-    first text of the next range. Null texts are empty; their sketch is the
-    empty string. A single row follows itself. An empty table gives no rows.
+    of ids and each range is walked in order. The results are written together
+    with the first and last text of each range, so that every later step sees
+    the same ranges; a range's last text then meets the next range's first one
+    in a join by range. Null texts are empty; their sketch is the empty string.
+    A single row follows itself, and repeated rows follow one another. A very
+    long text is worked on alone. An empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.desc_nulls_last("doc_id"), F.asc("text")]
+    order = [F.desc_nulls_last("doc_id"), F.xxhash64("text")]
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    dealt = dealt.repartitionByRange(n, F.desc_nulls_last("doc_id"), F.xxhash64("text"))
+    dealt = dealt.repartitionByRange(n, *order).sortWithinPartitions(*order, F.asc("text"))
 
     def walk(batches) -> Iterator[pa.RecordBatch]:
         ids: list = []
         texts: list[str] = []
+        first = None
         for batch in chunks(batches, "text"):
             ids, texts = ids + batch.column(0).to_pylist(), texts + batch.column(1).to_pylist()
+            if first is None and texts:
+                first = texts[0]
             if len(ids) > 1:
-                yield _rows(ids[:-1], texts[:-1], texts[1:], p)
+                done = _rows(ids[:-1], texts[:-1], texts[1:], p)
+                none = [None] * done.num_rows
+                yield _with_edge(done, none, none, none)
             ids, texts = ids[-1:], texts[-1:]
-
-    def borders(batches) -> Iterator[pa.RecordBatch]:
-        first = last = None
-        for batch in chunks(batches, "text"):
-            if first is None:
-                first = (batch.column(0)[0].as_py(), batch.column(1)[0].as_py())
-            last = (batch.column(0)[-1].as_py(), batch.column(1)[-1].as_py())
-        if first is not None:
-            part = TaskContext.get().partitionId()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part]), pa.array([last[0]], pa.int64()), pa.array([last[1]]), pa.array([first[1]])],
-                names=["part", "doc_id", "text", "first"])
-
-    ordered = dealt.sortWithinPartitions(F.desc_nulls_last("doc_id"), F.xxhash64("text"), order[1])
-    inner = ordered.mapInArrow(walk, RESULT)
-    # One row per range: their number is fixed, so one window may hold them.
-    edge = ordered.mapInArrow(borders, "part long, doc_id long, text string, first string")
+        if ids:
+            blank = pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.string()),
+                 *(pa.nulls(1, pa.binary()) for _ in range(2)), *(pa.nulls(1, pa.float64()) for _ in range(4))],
+                names=RESULT_NAMES)
+            yield _with_edge(blank, [TaskContext.get().partitionId()], texts, [first])
+
+    walked = materialise(dealt.mapInArrow(walk, RESULT + ", part int, text string, first string"), "fingerprints")
+    edge = walked.where("part IS NOT NULL")
+    # Only the numbers of the ranges that have rows go through one window, one per shuffle partition.
     w = Window.orderBy("part")
-    edge = edge.select("doc_id", "text", F.coalesce(
-        F.lead("first").over(w), F.first("first").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    ).alias("following"))
+    after = edge.select("part", F.coalesce(F.lead("part").over(w), F.min("part").over(
+        w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("next"))
+    heads = edge.select(F.col("part").alias("next"), F.col("first").alias("following"))
+    pairs = edge.select("part", "doc_id", "text").join(after, "part").join(heads, "next")
 
     def close(batches) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
@@ -156,4 +165,12 @@ def fingerprints(docs: DataFrame, p: Sketch = Sketch()) -> DataFrame:
             for i, t, f in zip(ids, texts, following, strict=True):
                 yield _rows([i], [t], [f], p)
 
-    return inner.union(edge.repartition(n).mapInArrow(close, RESULT))
+    closed = pairs.select("doc_id", "text", "following").mapInArrow(close, RESULT)
+    return walked.where("part IS NULL").select(RESULT_NAMES).union(closed).withColumns(
+        {c: F.base64(c) for c in ("fingerprint", "edited_fingerprint")})
+
+
+def _with_edge(rows: pa.RecordBatch, part: list, text: list, first: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [*rows.columns, pa.array(part, pa.int32()), pa.array(text, pa.string()), pa.array(first, pa.string())],
+        names=[*rows.schema.names, "part", "text", "first"])

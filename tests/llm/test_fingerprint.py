@@ -73,3 +73,20 @@ def test_ties_nulls_one_row_and_none(docs):
     only = P.fingerprints(docs([(1, "abcdef")])).collect()
     assert [r["near_next"] for r in only] == [1.0]
     assert only[0]["edited_sha256"] == hashlib.sha256(b"abcdab").hexdigest()
+
+
+def test_every_document_once_without_exchange_reuse_and_with_empty_ranges(spark, docs):
+    rng = random.Random(9)
+    data = [(i, " ".join(f"w{rng.randrange(500)}" for _ in range(30))) for i in range(3000)] + [(7, None), (7, "x")]
+    before = [spark.conf.get(k) for k in ("spark.sql.exchange.reuse", "spark.sql.shuffle.partitions")]
+    found = []
+    try:
+        for reuse, parts in (("true", "3"), ("false", "3"), ("false", "41")):
+            spark.conf.set("spark.sql.exchange.reuse", reuse)
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            found.append(sorted(tuple(r) for r in P.fingerprints(docs(data)).collect()))
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before[0])
+        spark.conf.set("spark.sql.shuffle.partitions", before[1])
+    assert [r[0] for r in found[0]] == sorted(i for i, _ in data)
+    assert found[0] == found[1] == found[2]
