@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -22,30 +23,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.batches import small_batches
-from corpusmill.llm.hmm import Hmm, expected, initial, log10_forward, maximise
+from corpusmill.llm.hmm import COUNT, Hmm, cluster_sums, counts_of, expected_sums, log10_forward, maximise, mixture, sticky
 from corpusmill.llm.langid import held_out
 from corpusmill.llm.wordcodes import Words, chunks, words
 from corpusmill.runtime import materialise
 
-SCALE = 1 << 20  # expected counts are summed as whole numbers, in any order the same
-BEGIN, RESUME, LIKELIHOOD, MOVE = -1, -2, -3, -10
+SYMBOLS = 1_000_000  # about so many are learned from together
 
 
 @dataclass(frozen=True)
 class HmmLm:
-    """``share`` bounds the words with emissions of their own to ``1 / share``; ``sample`` texts place the start."""
+    """``share`` bounds the words with emissions of their own to ``1 / share``.
+
+    Rounds end when one gains less than ``settled`` in log10 likelihood per
+    token, or after ``iterations`` if given. ``clusterings`` passes place the start.
+    """
 
     states: int = 8
     share: float = 1 / 50_000
     classes: int = 2048
-    iterations: int = 4
-    piece: int = 64
-    sample: int = 2000
+    iterations: int | None = None
+    settled: float = 0.005
+    clusterings: int = 5
     strength: float = 50.0
     held: int = 1
     folds: int = 5
-    seed: int = 3
     part_words: int = 1_000_000
+    part_tokens: int = 8_000_000
     merge_words: int = 250_000
 
 
@@ -122,7 +126,8 @@ def vocabulary(counts: DataFrame, texts: int, p: HmmLm) -> Vocabulary:
     class_mass[mass["cls"].to_numpy(dtype=int)] += mass["n"].to_numpy(float) + 0.5 * mass["v"].to_numpy(float)
     order = np.argsort(top["code"].to_numpy(np.int64).view(np.uint64))
     rare = int(mass["n"].sum()) if len(mass) else 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rare // p.part_words))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(mass["v"].sum()) // p.part_words),
+                -(-rare // p.part_tokens))
     return Vocabulary(tokens, total["v"] + (texts > 0), top["code"].to_numpy(np.int64).view(np.uint64)[order],
                       np.concatenate([[texts], top["n"].to_numpy(float)[order]]), class_mass, parts)
 
@@ -166,67 +171,95 @@ def _sequences(row) -> tuple[np.ndarray, np.ndarray]:
             np.frombuffer(row["whose"].as_py(), np.int64))
 
 
-def _learning(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Symbols and bounds of the texts of each block that are not held out."""
-    for i in range(batch.num_rows):
-        row = {name: batch.column(k)[i] for k, name in enumerate(batch.schema.names)}
-        symbols, bounds = _sequences(row)
-        keep = ~np.array(row["held"].as_py(), dtype=bool)
-        length = np.diff(bounds)
-        yield symbols[np.repeat(keep, length)], np.concatenate([[0], np.cumsum(length[keep])])
+def _learning(batches) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Symbols and bounds of texts that are not held out, of several blocks together."""
+    parts, lengths, size = [], [], 0
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {name: batch.column(k)[i] for k, name in enumerate(batch.schema.names)}
+            symbols, bounds = _sequences(row)
+            keep = ~np.array(row["held"].as_py(), dtype=bool)
+            length = np.diff(bounds)
+            parts.append(symbols[np.repeat(keep, length)])
+            lengths.append(length[keep])
+            size += len(parts[-1])
+            if size >= SYMBOLS:
+                yield np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
+                parts, lengths, size = [], [], 0
+    if size:
+        yield np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
+
+
+def _summed(blocks: DataFrame, work, rows: int, states: int) -> np.ndarray:
+    """Sum over all blocks of the whole numbers (``rows`` x ``states``) that ``work(symbols, bounds)`` gives."""
+    names = [f"s{i}" for i in range(states)]
+
+    def gather(batches) -> Iterator[pa.RecordBatch]:
+        sums = None
+        for symbols, bounds in _learning(batches):
+            sums = work(symbols, bounds) + (0 if sums is None else sums)
+        if sums is not None:
+            key = np.flatnonzero(sums.any(axis=1))
+            yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), *map(pa.array, sums[key].astype(float).T)],
+                                             names=["key", *names])
+
+    got = blocks.mapInArrow(gather, "key int, " + ", ".join(f"{c} double" for c in names)).groupBy("key").agg(
+        *(F.sum(c).alias(c) for c in names)).toPandas()
+    out = np.zeros((rows, states))
+    out[got["key"].to_numpy(int)] = got[names].to_numpy(float)
+    return out
+
+
+def first_texts(blocks: DataFrame, size: int, p: HmmLm) -> np.ndarray:
+    """Symbol shares of as many different texts as there are states, chosen by a hash of their symbols."""
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        least: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for symbols, bounds in _learning(batches):
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                text = symbols[a:b]
+                # Texts of some length first.
+                place = int.from_bytes(blake2b(text.tobytes(), digest_size=8).digest()) >> 2 | (int(b - a < 20) << 62)
+                if len(least) < p.states or place < max(least):
+                    least[place] = np.unique(text, return_counts=True)
+                    if len(least) > p.states:
+                        del least[max(least)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(least), pa.int64()), pa.array([s.tolist() for s, _ in least.values()], pa.list_(pa.int32())),
+             pa.array([n.tolist() for _, n in least.values()], pa.list_(pa.int32()))], names=["place", "s", "n"])
+
+    found = blocks.mapInArrow(run, "place long, s array<int>, n array<int>").dropDuplicates(["place"]).orderBy(
+        "place").limit(p.states).collect()
+    out = np.zeros((size, p.states))
+    for k in range(p.states if found else 0):
+        r = found[k % len(found)]
+        out[r["s"], k] = np.array(r["n"]) / sum(r["n"])
+    return out
 
 
 def baum_welch(encoded: DataFrame, texts: int, v: Vocabulary, p: HmmLm) -> Hmm:
-    """Fit to all texts that are not held out; the start comes from a bounded sample of them."""
+    """Fit to all texts that are not held out, each whole; the start comes from clusters of all of them."""
     plain, size, states = v.plain(), v.size, p.states
-    blocks = encoded.where("part = -1").select("held", "what", "whose", "block")
-    share = min(1.0, p.sample / max(1, texts))
-
-    def histograms(batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k, (symbols, bounds) in enumerate(_learning(batch)):
-                rng = np.random.default_rng([p.seed, batch.column(3)[k].as_py()])
-                for i in np.flatnonzero(rng.random(len(bounds) - 1) < share):
-                    s, n = np.unique(symbols[bounds[i]:bounds[i + 1]], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([s.tolist()], pa.list_(pa.int32())),
-                                                      pa.array([n.tolist()], pa.list_(pa.int32()))], names=["s", "n"])
-
-    drawn = blocks.mapInArrow(histograms, "s array<int>, n array<int>").limit(2 * p.sample).toPandas()
-    drawn = sorted(zip(map(list, drawn["s"]), map(list, drawn["n"]), strict=True))[:p.sample]
-    counts = np.zeros((len(drawn), size), dtype=np.float32)
-    for i, (s, n) in enumerate(drawn):
-        counts[i, s] = n
-    model = initial(counts, plain, states, p.seed)
-    del counts
-    for _ in range(p.iterations if texts else 0):
-        sent = encoded.sparkSession.sparkContext.broadcast(model)
-
-        def gather(batches, sent=sent) -> Iterator[pa.RecordBatch]:
-            m, sums, likelihood = sent.value, None, 0.0
-            for batch in batches:
-                for symbols, bounds in _learning(batch):
-                    *found, log = expected(m, symbols, bounds, p.piece)
-                    sums = found if sums is None else [a + b for a, b in zip(sums, found, strict=True)]
-                    likelihood += log
-            if sums is not None:
-                begin, resume, move, emit = sums
-                some = np.flatnonzero(emit.sum(axis=1) > 0)
-                last = np.zeros((1, states))
-                last[0, 0] = likelihood
-                table = np.concatenate([begin[None], resume[None], last, move, emit[some]])
-                key = np.concatenate([[BEGIN, RESUME, LIKELIHOOD], MOVE - np.arange(states), some])
-                whole = np.rint(table * SCALE).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), *map(pa.array, whole.T)],
-                                                 names=["key", *(f"s{i}" for i in range(states))])
-
-        got = blocks.mapInArrow(gather, "key int, " + ", ".join(f"s{i} long" for i in range(states))).groupBy("key").agg(
-            *(F.sum(f"s{i}").alias(f"s{i}") for i in range(states))).toPandas().sort_values("key")
-        key, value = got["key"].to_numpy(), got.drop(columns="key").to_numpy(float) / SCALE
-        at = {k: value[key == k][0] for k in key[key < 0]}
-        emit = np.zeros((size, states))
-        emit[key[key >= 0]] = value[key >= 0]
-        model = maximise(at[BEGIN], at[RESUME], np.stack([at[MOVE - i] for i in range(states)]), emit, plain, p.strength)
+    blocks = encoded.where("part = -1").select("held", "what", "whose")
+    sc = encoded.sparkSession.sparkContext
+    if not texts:
+        return sticky(np.tile(plain[:, None], (1, states)))
+    emit = 0.5 * plain[:, None] + 0.5 * first_texts(blocks, size, p)
+    for _ in range(p.clusterings if states > 1 else 0):
+        sent = sc.broadcast(emit)
+        emit = mixture(_summed(blocks, lambda s, b, sent=sent: cluster_sums(sent.value, s, b), size, states) / COUNT, plain)
+        sent.unpersist()
+    model, before = sticky(emit), -np.inf
+    rounds = 0
+    while p.iterations is None or rounds < p.iterations:
+        sent = sc.broadcast(model)
+        sums = _summed(blocks, lambda s, b, sent=sent: expected_sums(sent.value, s, b), 2 + 2 * states + size, states)
+        *counts, log = counts_of(model, sums)
+        model = maximise(*counts, plain, p.strength)
         sent.unpersist()
+        rounds += 1
+        if log - before < p.settled * v.tokens:
+            break
+        before = log
     return model
 
 
@@ -235,14 +268,14 @@ def rare_sums(encoded: DataFrame, counts: DataFrame, v: Vocabulary, p: HmmLm) ->
     asked = encoded.where("part >= 0").select("part", "block", "what", "whose")
     known = counts.where(F.col("n") < max(1, p.share * v.tokens)).select(
         F.pmod("code", F.lit(v.parts)).cast("int").alias("part"), "code", "n")
-    schema = "block long, text binary, total binary, known binary"
+    schema = "block long, part int, text binary, total binary, known binary"
 
     def look_up(asked: pa.Table, known: pa.Table) -> pa.Table:
         code = np.asarray(known.column("code").combine_chunks()).astype(np.int64) if known.num_rows else np.zeros(0, np.int64)
         n = np.asarray(known.column("n").combine_chunks()).astype(np.float64) if known.num_rows else np.zeros(0)
         order = np.argsort(code)
         code, n = np.append(code[order], 0), np.append(n[order], 0.0)
-        out = [[], [], [], []]
+        out = [[], [], [], [], []]
         for row in asked.to_pylist() if asked.num_rows else []:
             want = np.frombuffer(row["what"], np.int64)
             text = np.frombuffer(row["whose"], np.uint16 if len(row["whose"]) == 2 * len(want) else np.uint32)
@@ -251,11 +284,12 @@ def rare_sums(encoded: DataFrame, counts: DataFrame, v: Vocabulary, p: HmmLm) ->
             c[at == len(code) - 1] = 0.0
             first = np.flatnonzero(np.diff(text.astype(np.int64), prepend=-1))
             out[0].append(row["block"])
-            out[1].append(text[first].astype(np.int32).tobytes())
-            out[2].append(np.add.reduceat(np.log10(c + 0.5), first).tobytes())
-            out[3].append(np.add.reduceat(c > 0, first, dtype=np.int32).tobytes())
-        return pa.table([pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])],
-                        names=["block", "text", "total", "known"])
+            out[1].append(row["part"])
+            out[2].append(text[first].astype(np.int32).tobytes())
+            out[3].append(np.add.reduceat(np.log10(c + 0.5), first).tobytes())
+            out[4].append(np.add.reduceat(c > 0, first, dtype=np.int32).tobytes())
+        return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()),
+                         *(pa.array(x, pa.binary()) for x in out[2:])], names=["block", "part", "text", "total", "known"])
 
     return asked.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(look_up, schema)
 
@@ -265,8 +299,9 @@ def score(docs: DataFrame, p: HmmLm = HmmLm()) -> DataFrame:
 
     Learns from rows whose crc32(doc_id as text) mod ``folds`` is not ``held``;
     a null doc_id is not held out. A null text is empty: its one token is the
-    end. Repeated rows are scored and counted each. Without rows to learn from
-    all words are unknown and the model is uniform over its symbols.
+    end. Repeated rows are scored and counted each, and scores do not depend on
+    how the table is partitioned. A very long text is one sequence. Without rows to
+    learn from all words are unknown and the model is uniform over its symbols.
     """
     small_batches(docs.sparkSession)
     marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -288,7 +323,7 @@ def score(docs: DataFrame, p: HmmLm = HmmLm()) -> DataFrame:
         symbols, bounds = _sequences({c: blocks.column(c)[0] for c in ("what", "whose")})
         n = len(bounds) - 1
         rare_log, rare_known = np.zeros(n), np.zeros(n, dtype=np.int64)
-        for row in sorted(sums.to_pylist(), key=lambda r: r["text"] + r["total"]) if sums.num_rows else []:
+        for row in sorted(sums.to_pylist(), key=lambda r: r["part"]) if sums.num_rows else []:
             text = np.frombuffer(row["text"], np.int32)
             rare_log[text] += np.frombuffer(row["total"])
             rare_known[text] += np.frombuffer(row["known"], np.int32)

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 
 from corpusmill.llm import hmmlm as H
-from corpusmill.llm.hmm import Hmm, expected, log10_forward, maximise
+from corpusmill.llm.hmm import LOW, Hmm, cluster_sums, expected, expected_sums, log10_forward, maximise
 from corpusmill.llm.wordcodes import words
 from tests.llm.conftest import plain_words
 
@@ -19,7 +19,7 @@ END = object()
 def model(rng, states=3, symbols=5):
     row = lambda *s: (lambda x: x / x.sum(axis=-1, keepdims=True))(rng.random(s) + 0.1)
     emit = rng.random((symbols, states)) + 0.1
-    return Hmm(row(states), row(states), row(states, states), emit / emit.sum(axis=0))
+    return Hmm(row(states), row(states, states), emit / emit.sum(axis=0))
 
 
 def by_paths(m, begin, seq):
@@ -48,17 +48,11 @@ def test_forward_and_counts_match_all_paths():
     got = log10_forward(m, flat, bounds)
     want = [by_paths(m, m.begin, s) for s in seqs]
     assert np.allclose(got, [math.log10(p) for p, _ in want])
-    begin, resume, move, emit, log = expected(m, flat, bounds, 64)
-    assert np.allclose(begin, sum(c[0] for _, c in want), rtol=1e-4) and not resume.any()
+    begin, move, emit, log = expected(m, flat, bounds)
+    assert np.allclose(begin, sum(c[0] for _, c in want), rtol=1e-4)
     assert np.allclose(move, sum(c[1] for _, c in want), rtol=1e-4)
     assert np.allclose(emit, sum(c[2] for _, c in want), rtol=1e-4)
     assert abs(log - got.sum()) < 1e-3
-    # In pieces of two, later pieces start from ``resume``.
-    begin, resume, move, emit, _ = expected(m, flat, bounds, 2)
-    parts = [(m.begin if i == 0 else m.resume, s[i:i + 2]) for s in seqs for i in range(0, len(s), 2)]
-    want = [by_paths(m, b, s)[1] for b, s in parts]
-    assert np.allclose(begin + resume, sum(c[0] for c in want), rtol=1e-4)
-    assert np.allclose(emit, sum(c[2] for c in want), rtol=1e-4)
     assert log10_forward(m, flat[:0], np.array([0, 0])).tolist() == [0.0]
 
 
@@ -69,11 +63,26 @@ def test_each_round_raises_the_likelihood():
     bounds, flat = np.concatenate([[0], np.cumsum([32] * 30)]), np.concatenate(seqs)
     before = -np.inf
     for _ in range(6):
-        *counts, log = expected(m, flat, bounds, 64)
+        *counts, log = expected(m, flat, bounds)
         assert log > before - 0.5
         before, m = log, maximise(*counts, plain, 1e-6)
 
 
+def test_sequences_do_not_depend_on_their_company():
+    rng = np.random.default_rng(3)
+    m = model(rng, 8, 50)
+    seqs = [rng.integers(0, 50, n) for n in [1, 2, 3000, 40, 40, 7, 900, *rng.integers(1, 60, 200)]]
+    flat, bounds = np.concatenate(seqs), np.concatenate([[0], np.cumsum([len(s) for s in seqs])])
+    alone = [log10_forward(m, s, np.array([0, len(s)]))[0] for s in seqs]
+    assert log10_forward(m, flat, bounds).tolist() == alone
+    apart = sum(expected_sums(m, s, np.array([0, len(s)])) for s in seqs)
+    k = len(m.begin)
+    high, low = apart[2:2 + k], apart[2 + k:2 + 2 * k]
+    apart[2:2 + k], apart[2 + k:2 + 2 * k] = high + (low >> LOW), low & ((1 << LOW) - 1)
+    assert (expected_sums(m, flat, bounds) == apart).all()
+    assert (cluster_sums(m.emit, flat, bounds) == sum(cluster_sums(m.emit, s, np.array([0, len(s)])) for s in seqs)).all()
+
+
 def test_word_classes_look_at_the_last_bytes_only():
     w = words(pa.array(["singing ringing é a xa"]))
     c = H.word_class(w, 2048)
@@ -94,7 +103,7 @@ def rows():
 
 
 def test_base_score_and_counts_are_exact(docs, rows):
-    p = H.HmmLm(states=2, share=1 / 200, classes=16, iterations=3, sample=40, part_words=50)
+    p = H.HmmLm(states=2, share=1 / 200, classes=16, iterations=3, part_words=50)
     df = docs(rows, extra=True)
     got = H.score(df, p).collect()
     assert len(got) == len(rows)
@@ -116,15 +125,23 @@ def test_base_score_and_counts_are_exact(docs, rows):
 
 
 def test_reruns_agree(docs, rows):
-    p = H.HmmLm(states=3, share=1 / 200, classes=16, iterations=2, sample=40)
+    p = H.HmmLm(states=3, share=1 / 200, classes=16, iterations=2)
     df = docs(rows)
     one, two = ({(r["doc_id"], r["base_score"], r["score"]) for r in H.score(df, p).collect()} for _ in range(2))
     assert one == two
 
 
+def test_scores_do_not_depend_on_the_layout(docs, small_docs):
+    p = H.HmmLm(states=4, share=1 / 2000, classes=64, part_words=500)
+    df = small_docs.select("doc_id", "text")
+    found = [sorted((r["doc_id"], r["base_score"], r["score"]) for r in H.score(df.repartition(n), p).collect())
+             for n in (1, 4, 23)]
+    assert found[0] == found[1] == found[2]
+
+
 def test_a_single_state_is_the_unigram_model(docs, rows):
     """With one state and no smoothing to speak of, the model's own unigram is left."""
-    p = H.HmmLm(states=1, share=1 / 200, classes=1, iterations=1, sample=10, strength=1e9)
+    p = H.HmmLm(states=1, share=1 / 200, classes=1, iterations=1, strength=1e9)
     got = {r["doc_id"]: r for r in H.score(docs(rows), p).collect()}
     for r in got.values():
         assert r["score"] == pytest.approx(r["base_score"], rel=1e-3, abs=1e-2)
