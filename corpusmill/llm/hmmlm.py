@@ -43,7 +43,7 @@ class HmmLm:
     share: float = 1 / 50_000
     classes: int = 2048
     iterations: int | None = None
-    settled: float = 0.005
+    settled: float = 0.002
     clusterings: int = 5
     strength: float = 50.0
     held: int = 1

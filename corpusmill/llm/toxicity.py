@@ -13,6 +13,7 @@ numbers by kind, go through a logistic regression to a probability.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -58,7 +59,8 @@ class Toxicity:
 class Model:
     """Per word of clean text, ``rates`` are the terms' occurrences and ``loose`` any misspelling's.
 
-    ``weak`` are the terms that clean texts do contain.
+    ``weak`` are the terms that clean texts do contain, ``harmless`` the words
+    of clean texts that are no misspellings although they look like some.
     """
 
     automaton: Automaton
@@ -68,6 +70,7 @@ class Model:
     weights: np.ndarray
     words: list[str]
     stems: list[str]
+    harmless: frozenset[str] = frozenset()
 
 
 @lru_cache(maxsize=1)
@@ -89,8 +92,11 @@ def _alphabet(symbols: str) -> np.ndarray:
     return out
 
 
-def hits(column: pa.Array, a: Automaton) -> tuple[np.ndarray, ...]:
-    """Code points, text bounds; start, end, verdict, term and text of each word the automaton takes; words per text."""
+def hits(column: pa.Array, a: Automaton, harmless: frozenset[str] = frozenset()) -> tuple[np.ndarray, ...]:
+    """Code points, text bounds; start, end, verdict, term and text of each word the automaton takes; words per text.
+
+    A word that is ``harmless`` is taken only if it is met exactly.
+    """
     points, at = code_points(column)
     low = _folded()[points]
     inside = low > 0
@@ -103,10 +109,19 @@ def hits(column: pa.Array, a: Automaton) -> tuple[np.ndarray, ...]:
     words = np.diff(np.searchsorted(start, at))
     verdict, term = judge(a, _alphabet(a.symbols)[low], start, end)
     hit = np.flatnonzero(verdict != NOTHING)
+    if harmless:
+        near = hit[(verdict[hit] != WORD) & (verdict[hit] != STEM)]
+        verdict[near[[form in harmless for form in _forms(low, start[near], end[near])]]] = NOTHING
+        hit = np.flatnonzero(verdict != NOTHING)
     start, end = start[hit], end[hit]
     return points, at, start, end, verdict[hit], term[hit], np.searchsorted(at, start, side="right") - 1, words
 
 
+def _forms(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[str]:
+    """The folded words from ``start`` to ``end``."""
+    return ["".join(map(chr, low[s:e])) for s, e in zip(start.tolist(), end.tolist(), strict=True)]
+
+
 @lru_cache(maxsize=1)
 def _marks() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each code point: its kind of quotation mark (from 1), what it is by itself, whether a word does not end before it."""
@@ -155,7 +170,7 @@ def quotations(points: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.
 
 def features(column: pa.Array, m: Model, p: Toxicity) -> np.ndarray:
     """Per text: surprise and number of hits by kind, quoted ones apart, hits near others, and their rate."""
-    points, at, start, end, verdict, term, text, words = hits(column, m.automaton)
+    points, at, start, end, verdict, term, text, words = hits(column, m.automaton, m.harmless)
     n = len(column)
     plain = np.ones(len(start), dtype=bool)
     for opens, closes in quotations(points, at) if len(start) else ():
@@ -271,33 +286,32 @@ def train(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model
     small_batches(docs.sparkSession)
     rows = sample(docs, labels, p)
     words, stems, weak = learn_lexicon(rows, p)
-    first = build(words, stems, weak)
+    automaton = build(words, stems, weak)
     terms = len(words) + len(stems)
 
     def clean(batches) -> Iterator[pa.RecordBatch]:
-        """Terms and misspellings in clean texts: the form, its term if exact, how often; all words under -1."""
+        """Of clean texts: misspelled forms and in how many texts, exact terms and how often, all words under -1."""
         for batch in chunks(batches, "text"):
-            points, _, start, end, verdict, term, _, per = hits(batch.column(0), first)
+            points, _, start, end, verdict, term, text, per = hits(batch.column(0), automaton)
             exact = (verdict == WORD) | (verdict == STEM)
-            low = _folded()[points]
-            forms = sorted({"".join(map(chr, low[s:e])) for s, e in zip(start[~exact], end[~exact], strict=True)})
+            forms = Counter(form for _, form in set(zip(
+                text[~exact].tolist(), _forms(_folded()[points], start[~exact], end[~exact]), strict=True)))
             found, n = np.unique(term[exact], return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(forms + [None] * (len(found) + 1), pa.string()),
+                [pa.array([*forms, *[None] * (len(found) + 1)], pa.string()),
                  pa.array([*[None] * len(forms), *map(int, found), -1], pa.int32()),
-                 pa.array([*[1] * len(forms), *map(int, n), int(per.sum())], pa.int64())], names=["form", "term", "n"])
+                 pa.array([*forms.values(), *map(int, n), int(per.sum())], pa.int64())], names=["form", "term", "n"])
 
+    # The sample of clean documents bounds the forms.
     seen = rows.where("toxic = 0").select("text").mapInArrow(clean, "form string, term int, n long").groupBy(
-        "form", "term").agg(F.sum("n").alias("n")).orderBy(F.col("form").isNotNull(), F.desc("n"), "form").limit(
-        p.candidates + terms + 1).toPandas()
-    # Misspellings that clean documents of the sample contain are words of their own.
-    automaton = build(words, stems, weak, seen["form"].dropna())
+        "form", "term").agg(F.sum("n").alias("n")).toPandas()
     n = dict(zip(seen["term"][seen["form"].isna()].astype(int), seen["n"][seen["form"].isna()], strict=True))
     rates = np.array([n.get(i, 0) + 0.5 for i in range(terms)] or [1.0]) / max(1, n.get(-1, 0))
     # Forms not seen before turn up about as often as forms seen once did.
     loose = ((seen["n"][seen["form"].notna()] == 1).sum() + 0.5) / max(1, n.get(-1, 0))
+    # Misspellings that clean documents of the sample contain are words of their own.
     model = Model(automaton, rates, loose, np.array([t in weak for t in words + stems] or [False]), np.zeros(FEATURES + 1),
-                  words, stems)
+                  words, stems, frozenset(seen["form"].dropna()))
 
     def measure(batches) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
@@ -358,7 +372,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Da
     """Scores of all documents, learned from labelled ones that are not held out.
 
     Without labels of both kinds nothing is learned and every score is the
-    same low number.
+    same low number. Scores depend on the rows alone, not on how they are
+    partitioned; repeated rows get the same score each, and a very long text
+    is scored as a whole. Of repeated labels the toxic one counts.
     """
     known = labels.select("doc_id", "toxic").where(~held_out(F.col("doc_id")))
     model = train(docs, known, p)

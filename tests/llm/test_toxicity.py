@@ -107,6 +107,23 @@ def test_learns_words_and_catches_misspellings(spark, docs):
     assert got[9000]["score"] > got[9001]["score"]
 
 
+def test_harmless_words_are_looked_up_as_the_automaton_would():
+    rng = random.Random(6)
+    words, stems, harmless = ["abcde", "bacabaca"], ["ebcad"], ["abcdd", "acabaca", "ebcabxy"]
+    tried = [*words, *harmless, "ebcadxx", *("".join(rng.choice("abcde") for _ in range(rng.randrange(3, 9))) for _ in range(3000))]
+    column = pa.array([w.upper() for w in tried])
+    whole = T.hits(column, A.build(words, stems, (), harmless))
+    apart = T.hits(column, A.build(words, stems), frozenset(harmless))
+    assert [x.tolist() for x in whole] == [x.tolist() for x in apart] and len(whole[2]) > 10
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    found = [sorted(map(tuple, T.toxicity(df.repartition(n), labels).collect())) for n in (1, 4, 23)]
+    assert found[0] == found[1] == found[2]
+
+
 def test_quotation_is_told_from_abuse():
     a = A.build(["numpty"], [])
     m = T.Model(a, np.array([1e-6]), 1e-6, np.array([False]), np.zeros(T.FEATURES + 1), ["numpty"], [])
