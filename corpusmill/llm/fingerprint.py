@@ -13,16 +13,15 @@ from __future__ import annotations
 from base64 import b64encode
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.batches import small_batches
 from corpusmill.llm.wordcodes import chunks, distinct, shingles, words
-from corpusmill.runtime import materialise
 
 
 @dataclass(frozen=True)
@@ -36,6 +35,8 @@ class Sketch:
 
 RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
           "near_edited double, near_next double, contained_edited double, contained_next double")
+#: Keys of the sample that split points are taken from, at most about so many.
+SPLIT_SAMPLE = 100_000
 RESULT_NAMES = [c.split()[0] for c in RESULT.split(", ")]
 
 
@@ -112,52 +113,73 @@ def _rows(ids: list, texts: list[str], following: list[str], p: Sketch) -> pa.Re
         names=RESULT_NAMES)
 
 
+def _key(doc_id, text):
+    """A string that ascends as ids descend (null last), and among equal ids by a hash of the text."""
+    def digits(number):
+        return F.lpad(F.hex(number.bitwiseXOR(F.lit(-(1 << 63)).cast("long"))), 16, "0")
+    return F.concat(F.coalesce(digits(F.bitwise_not(doc_id)), F.lit("g" * 16)), digits(F.xxhash64(text)))
+
+
+def _splits(keys: DataFrame, ranges: int) -> list[str]:
+    """At most ``ranges - 1`` keys that cut the table into about equal ranges, from a bounded sample chosen by hash."""
+    wanted = min(64 * ranges, SPLIT_SAMPLE)
+    share = min(1.0, wanted / max(1, keys.count()))
+    drawn = keys.where(F.pmod(F.xxhash64("key", F.lit(1)), F.lit(1 << 30)) < int(share * (1 << 30))).distinct().collect()
+    drawn = sorted(r["key"] for r in drawn)
+    return sorted({drawn[i * len(drawn) // ranges] for i in range(1, ranges)}) if drawn else []
+
+
+def _range_of(key, splits: list[str]):
+    """How many of ``splits`` are at most ``key``: first among every so manieth, then among those up to the next."""
+    if not splits:
+        return F.lit(0)
+    step = isqrt(len(splits)) + 1
+    passed = F.lit(0)
+    if splits[step - 1::step]:
+        passed = F.size(F.filter(F.lit(splits[step - 1::step]), lambda x: x <= key)) * step
+    return passed + F.size(F.filter(F.slice(F.lit(splits), passed + 1, F.lit(step)), lambda x: x <= key))
+
+
 def fingerprints(docs: DataFrame, p: Sketch = Sketch()) -> DataFrame:
     """Sketch of every text and of its edited text, and their likeness to each other and the next document's.
 
     Documents follow one another by descending doc_id (null ids last; equal ids
     by text), and after the last comes the first. They are dealt out by ranges
-    of ids and each range is walked in order. The results are written together
-    with the first and last text of each range, so that every later step sees
-    the same ranges; a range's last text then meets the next range's first one
-    in a join by range. Null texts are empty; their sketch is the empty string.
+    of ids between split points that are fixed before, and each range is walked
+    in order. The last row of a range meets the first of the next one by their
+    keys, which are known from an aggregation, so nothing depends on ranges being
+    the same in two plans. Null texts are empty; their sketch is the empty string.
     A single row follows itself, and repeated rows follow one another. A very
     long text is worked on alone. An empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.desc_nulls_last("doc_id"), F.xxhash64("text")]
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    dealt = dealt.repartitionByRange(n, *order).sortWithinPartitions(*order, F.asc("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = rows.withColumn("key", _key(F.col("doc_id"), F.col("text")))
+    rows = rows.withColumn("part", _range_of(F.col("key"), _splits(rows.select("key"), n)))
+    dealt = rows.repartitionById(n, F.col("part")).sortWithinPartitions("key", "text").select("doc_id", "part", "text")
 
     def walk(batches) -> Iterator[pa.RecordBatch]:
-        ids: list = []
-        texts: list[str] = []
-        first = None
+        ids, parts, texts = [], [], []
         for batch in chunks(batches, "text"):
-            ids, texts = ids + batch.column(0).to_pylist(), texts + batch.column(1).to_pylist()
-            if first is None and texts:
-                first = texts[0]
-            if len(ids) > 1:
-                done = _rows(ids[:-1], texts[:-1], texts[1:], p)
-                none = [None] * done.num_rows
-                yield _with_edge(done, none, none, none)
-            ids, texts = ids[-1:], texts[-1:]
-        if ids:
-            blank = pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.string()),
-                 *(pa.nulls(1, pa.binary()) for _ in range(2)), *(pa.nulls(1, pa.float64()) for _ in range(4))],
-                names=RESULT_NAMES)
-            yield _with_edge(blank, [TaskContext.get().partitionId()], texts, [first])
-
-    walked = materialise(dealt.mapInArrow(walk, RESULT + ", part int, text string, first string"), "fingerprints")
-    edge = walked.where("part IS NOT NULL")
-    # Only the numbers of the ranges that have rows go through one window, one per shuffle partition.
+            ids, parts, texts = (x + batch.column(i).to_pylist() for i, x in enumerate((ids, parts, texts)))
+            cut = [i for i in range(1, len(parts)) if parts[i] != parts[i - 1]]
+            for a, b in zip([0, *cut], [*cut, len(parts)], strict=True):
+                if b - a > 1:
+                    yield _rows(ids[a:b - 1], texts[a:b - 1], texts[a + 1:b], p)
+            ids, parts, texts = ids[-1:], parts[-1:], texts[-1:]
+
+    # Two keys per range, one range per shuffle partition: so many rows go through one window and a broadcast.
+    ends = rows.groupBy("part").agg(F.min("key").alias("head"), F.max("key").alias("tail"))
     w = Window.orderBy("part")
-    after = edge.select("part", F.coalesce(F.lead("part").over(w), F.min("part").over(
-        w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("next"))
-    heads = edge.select(F.col("part").alias("next"), F.col("first").alias("following"))
-    pairs = edge.select("part", "doc_id", "text").join(after, "part").join(heads, "next")
+    ends = ends.select("head", "tail", F.coalesce(F.lead("head").over(w), F.min("head").over(
+        w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
+    meeting = ends.select(F.explode(F.array(
+        F.struct(F.col("tail").alias("key"), F.col("after").alias("meet"), F.lit(True).alias("before")),
+        F.struct(F.col("head").alias("key"), F.col("head").alias("meet"), F.lit(False).alias("before")))).alias("e")).select("e.*")
+    met = rows.select("key", "doc_id", "text").join(F.broadcast(meeting), "key").groupBy("meet").agg(
+        F.first(F.when(F.col("before"), F.struct("doc_id", "text")), ignorenulls=True).alias("row"),
+        F.first(F.when(~F.col("before"), F.col("text")), ignorenulls=True).alias("following"))
 
     def close(batches) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
@@ -165,12 +187,6 @@ def fingerprints(docs: DataFrame, p: Sketch = Sketch()) -> DataFrame:
             for i, t, f in zip(ids, texts, following, strict=True):
                 yield _rows([i], [t], [f], p)
 
-    closed = pairs.select("doc_id", "text", "following").mapInArrow(close, RESULT)
-    return walked.where("part IS NULL").select(RESULT_NAMES).union(closed).withColumns(
+    closed = met.select("row.doc_id", "row.text", "following").mapInArrow(close, RESULT)
+    return dealt.mapInArrow(walk, RESULT).union(closed).withColumns(
         {c: F.base64(c) for c in ("fingerprint", "edited_fingerprint")})
-
-
-def _with_edge(rows: pa.RecordBatch, part: list, text: list, first: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [*rows.columns, pa.array(part, pa.int32()), pa.array(text, pa.string()), pa.array(first, pa.string())],
-        names=[*rows.schema.names, "part", "text", "first"])
