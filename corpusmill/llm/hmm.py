@@ -99,7 +99,8 @@ def expected_sums(m: Hmm, symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray
         beta[:, :s.running[t]] = _through(emit[:, span[t]], back)
     gamma[:, span[0]] *= beta[:, :s.running[0]]
     gamma /= _total(gamma)
-    gamma = np.rint(gamma * np.float32(COUNT))
+    gamma *= np.float32(COUNT)
+    np.rint(gamma, out=gamma)
     out[0] = gamma[:, span[0]].astype(np.float64).sum(axis=1)
     logs = np.bincount(s.rank, weights=np.log10(scale.astype(np.float64)))
     out[1, 0] = np.rint(logs * LOG).sum()

@@ -28,7 +28,8 @@ from corpusmill.llm.langid import held_out
 from corpusmill.llm.wordcodes import Words, chunks, words
 from corpusmill.runtime import materialise
 
-SYMBOLS = 1_000_000  # about so many are learned from together
+SYMBOLS = 1 << 19  # about so many are learned from together; forward-backward holds some 150 bytes for each
+LONG = 1024  # texts with more symbols are taken together with each other, or the few of a batch would add steps to all
 
 
 @dataclass(frozen=True)
@@ -172,22 +173,31 @@ def _sequences(row) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _learning(batches) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Symbols and bounds of texts that are not held out, of several blocks together."""
-    parts, lengths, size = [], [], 0
+    """Symbols and bounds of texts that are not held out, of several blocks together, short and long ones apart."""
+    parts, lengths, size = ([], []), ([], []), [0, 0]
+
+    def taken(kind):
+        out = np.concatenate(parts[kind]).astype(np.int64), np.concatenate([[0], np.cumsum(np.concatenate(lengths[kind]))])
+        parts[kind].clear()
+        lengths[kind].clear()
+        size[kind] = 0
+        return out
+
     for batch in batches:
         for i in range(batch.num_rows):
             row = {name: batch.column(k)[i] for k, name in enumerate(batch.schema.names)}
-            symbols, bounds = _sequences(row)
-            keep = ~np.array(row["held"].as_py(), dtype=bool)
-            length = np.diff(bounds)
-            parts.append(symbols[np.repeat(keep, length)])
-            lengths.append(length[keep])
-            size += len(parts[-1])
-            if size >= SYMBOLS:
-                yield np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
-                parts, lengths, size = [], [], 0
-    if size:
-        yield np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
+            symbols = np.frombuffer(row["what"].as_py(), np.uint16)
+            length = np.diff(np.frombuffer(row["whose"].as_py(), np.int64))
+            learn = ~np.array(row["held"].as_py(), dtype=bool)
+            for kind, keep in enumerate((learn & (length <= LONG), learn & (length > LONG))):
+                parts[kind].append(symbols[np.repeat(keep, length)])
+                lengths[kind].append(length[keep])
+                size[kind] += len(parts[kind][-1])
+                if size[kind] >= SYMBOLS:
+                    yield taken(kind)
+    for kind in (0, 1):
+        if size[kind]:
+            yield taken(kind)
 
 
 def _summed(blocks: DataFrame, work, rows: int, states: int) -> np.ndarray:

@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -153,3 +154,22 @@ def test_nothing_to_learn_from(docs):
     got = H.score(docs([(only, "a b"), (only, None)]), H.HmmLm(classes=16)).collect()
     assert [r["base_score"] for r in got] == [0.0, 0.0] and {r["train_tokens"] for r in got} == {0}
     assert all(math.isfinite(r["score"]) for r in got)
+
+
+def test_a_task_learns_from_few_blocks_at_once():
+    """Memory of forward-backward follows the symbols taken together, not the blocks of the task."""
+    rng = np.random.default_rng(3)
+    bounds = np.arange(0, 200_001, 100)
+    block = rng.integers(0, 50, bounds[-1]).astype(np.uint16).tobytes()
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([[False] * (len(bounds) - 1)] * 8), pa.array([block] * 8, pa.binary()),
+         pa.array([bounds.astype(np.int64).tobytes()] * 8, pa.binary())], names=["held", "what", "whose"])
+    m = model(rng, 8, 50)
+    tracemalloc.start()
+    try:
+        found = [expected_sums(m, s, b) for s, b in H._learning([batch])]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (sum(f[2 + 2 * 8:].sum() for f in found) / 2 ** 20) == pytest.approx(8 * 200_000, rel=1e-3)
+    assert peak < 120e6
