@@ -16,8 +16,10 @@ SENTENCE_END = rf"[.!?…]+[»«“”’\")]*([{WS}]+|$)"
 # Abbreviations, in any case, whose dot ends no sentence.
 ABBREVIATIONS = ["hr", "hrn", "fr", "frl", "dr", "prof", "st", "mr", "mrs", "ms", "mme", "mlle", "sr", "sra"]
 # A dot after one of these, an initial or a small ordinal number stays inside the sentence.
-INNER_DOT = (r"(^|[^\p{L}\p{M}\p{N}])((?:" + "|".join(f"[{a[0].upper()}{a[0]}]{a[1:]}" for a in ABBREVIATIONS)
-             + r")|\p{Lu}|[0-9]{1,2})\.")
+_INNER = "|".join(f"[{a[0].upper()}{a[0]}]{a[1:]}" for a in ABBREVIATIONS)
+INNER_DOT = rf"(^|[^\p{{L}}\p{{M}}\p{{N}}])((?:{_INNER})|\p{{Lu}}|[0-9]{{1,2}})\."
+# The same dots, found by themselves: only dots are looked at closely, and what is before one is left for the next.
+_DOT_INSIDE = rf"\.(?<=(?:^|[^\p{{L}}\p{{M}}\p{{N}}])(?:{_INNER}|\p{{Lu}}|[0-9]{{1,2}})\.)"
 NO_END = "\ue000"  # stands for such a dot while sentences are cut
 SENTENCE_BREAK = "\x1e"
 BLANK_LINE = rf"\n[{WS}]*\n"
@@ -31,8 +33,7 @@ def words(text: Column) -> Column:
 
 def _parts(text: Column) -> Column:
     """The text cut at closing marks and blank lines; a single line break does not end a sentence."""
-    for _ in range(2):  # of two initials in a row the second starts where the first has ended
-        text = F.regexp_replace(text, INNER_DOT, f"$1$2{NO_END}")
+    text = F.regexp_replace(text, _DOT_INSIDE, NO_END)
     text = F.regexp_replace(text, BLANK_LINE, SENTENCE_BREAK)
     parts = F.split(F.regexp_replace(text, SENTENCE_END, SENTENCE_BREAK), f"{SENTENCE_BREAK}+")
     return F.transform(parts, lambda s: F.replace(s, F.lit(NO_END), F.lit(".")))

@@ -207,3 +207,34 @@ def test_token_table(spark):
     got = [(r["pos"], r["sent_id"], r["token"], r["upos"]) for r in
            W.token_table(rows, doc_id="id", text="t", lang="lang").orderBy("pos").collect()]
     assert got == [(0, 0, "Der", "DET"), (1, 0, "Mann", None), (2, 1, "Er", None), (3, 1, "und", "CCONJ"), (4, 1, "ich", None)]
+
+
+def test_windows_without_a_shuffle_of_words(spark):
+    """Where the text says when a word was last met, windows are the same and no word leaves its task."""
+    rng = random.Random(4)
+    texts = [(i, " ".join(rng.choice(["Haus", "haus", "See", "am", "Ort", "x", "y."]) for _ in range(rng.randrange(0, 60))), "de")
+             for i in range(30)] + [(None, "Haus am See. am", "de")]
+    found = {}
+    for twice in (False, True):
+        df = spark.createDataFrame(texts * (1 + twice), "doc_id long, text string, lang string")
+        plain, marked = (W.token_table(df, doc_id="doc_id", text="text", lang="lang", repeats=r) for r in (False, True))
+        assert ("last_pos" in marked.columns) != twice
+        assert sorted(map(str, plain.collect())) == sorted(map(str, marked.select(*plain.columns).collect()))
+        found[twice] = [sorted(map(str, W.windows(t, 7).collect())) for t in (plain, marked)]
+        assert found[twice][0] == found[twice][1] and len(found[twice][0]) > 50
+        if not twice:
+            exchanged = [line for line in W.windows(marked, 7)._jdf.queryExecution().toString().split("Physical Plan")[1].split("\n")
+                         if "Exchange hashpartitioning" in line]
+            assert len(exchanged) == 1 and "lower" not in exchanged[0]
+
+
+def test_inner_dots_are_those_of_two_rounds(spark):
+    """Dots found by themselves are those that the pattern finds in two rounds."""
+    rng = random.Random(5)
+    parts = ["J", "S", ".", ".", "Hr", "dr", " ", "12", "3", "x", "É", "-", "\n", "😀"]
+    texts = [("".join(rng.choice(parts) for _ in range(rng.randrange(1, 14))),) for _ in range(3000)]
+    two = F.col("t")
+    for _ in range(2):
+        two = F.regexp_replace(two, K.INNER_DOT, f"$1$2{K.NO_END}")
+    df = spark.createDataFrame(texts, "t string").withColumns({"a": two, "b": F.regexp_replace("t", K._DOT_INSIDE, K.NO_END)})
+    assert df.where("a <> b").collect() == [] and df.where(F.col("a") != F.col("t")).count() > 500
