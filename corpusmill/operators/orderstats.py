@@ -72,16 +72,19 @@ def rank_sums(long: DataFrame) -> DataFrame:
     """``(feature, grp, n, rank_sum, tie_term)`` with Σ(t²-1) over the rows.
 
     The places of the buckets are added to the sums, not to the rows, so the
-    values are shuffled once.
+    values are shuffled once. They come from the buckets' totals: a window over
+    buckets and groups would put all groups of a feature into one task.
     """
-    ranked = _ranked_in_bucket(value_counts(long))
-    cells = ranked.groupBy("feature", "bucket", "grp").agg(
+    counts = value_counts(long)
+    cells = _ranked_in_bucket(counts).groupBy("feature", "bucket", "grp").agg(
         F.sum("n").alias("m"),
         F.sum(F.col("n") * F.col("mid")).alias("local"),
         F.sum(F.col("n") * (F.col("ties").cast("double") * F.col("ties") - 1.0)).alias("tie"))
-    earlier = (Window.partitionBy("feature").orderBy("bucket")
-               .rangeBetween(Window.unboundedPreceding, -1))
-    placed = cells.withColumn("before", F.coalesce(F.sum("m").over(earlier), F.lit(0)))
+    earlier = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (counts.groupBy("feature", "bucket").agg(F.sum("n").alias("__m"))
+               .select("feature", "bucket", F.coalesce(F.sum("__m").over(earlier), F.lit(0)).alias("before")))
+    # At most a row per feature and bucket.
+    placed = cells.join(F.broadcast(offsets), ["feature", "bucket"])
     return placed.groupBy("feature", "grp").agg(
         F.sum("m").alias("n"),
         F.sum(F.col("local") + F.col("m") * F.col("before")).alias("rank_sum"),

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import statistics
 from collections import Counter
 
@@ -12,6 +13,7 @@ from corpusmill.operators import centroid as N
 from corpusmill.operators import evaluate as E
 from corpusmill.operators import groups as G
 from corpusmill.operators import models as M
+from corpusmill.operators import orderstats as O
 from corpusmill.operators.importance import permutation_importance, permuted
 from corpusmill.operators.orderstats import average_ranks, long_form, quantiles
 
@@ -278,3 +280,15 @@ def test_models_survive_a_round_trip(clouds, tmp_path):
         again = M.load_model(str(tmp_path / "m"))
         a, b = (sorted(tuple(r) for r in M.apply_model(m, clouds).select("id", "pred").collect()) for m in (model, again))
         assert a == b and sum(p == f"E{i % 3}" for i, p in a) > 150
+
+
+def test_rank_sums_order_buckets_without_their_groups(spark):
+    """The window over a feature's buckets meets a row per bucket, however many groups there are."""
+    long = spark.range(3000).selectExpr("IF(id % 2 = 0, 'f', 'g') AS feature", "id % 300 AS grp", "CAST(id * 7919 % 1000 AS DOUBLE) AS value")
+    sums = O.rank_sums(long)
+    assert sums.agg(F.sum("n"), F.sum("rank_sum")).first()[:] == (3000, 1500 * 1501)
+    plan = sums._jdf.queryExecution().optimizedPlan().toString()
+    wide = [i for i, line in enumerate(plan.split("\n")) if re.search(r"Window .*\[feature#\d+\], \[bucket#\d+ ASC", line)]
+    assert len(wide) == 1, plan
+    below = next(line for line in plan.split("\n")[wide[0]:] if "Aggregate [" in line)
+    assert "grp#" not in below.split("], [")[0], below
