@@ -1,23 +1,25 @@
-"""Logistic regression and random forest on Spark's own learners."""
+"""Logistic regression on Spark's own learner, random forests grown by `forest`, and what is done with either."""
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.operators import forest as R
 from corpusmill.operators import logistic as L
 from corpusmill.operators.evaluate import FOREST, LOGISTIC, cv_scores, pair_counts, scores, with_cv_folds
 from corpusmill.runtime import materialise
 
 _PREFIX = "__z_"
-# Tasks of a fit. Sums and the forest's row samples follow the layout of the
-# rows, so it is fixed here and not taken from wherever the rows come from.
+# Tasks of a fit. Sums follow the layout of the rows, so it is fixed here and
+# not taken from wherever the rows come from.
 FIT_TASKS = 8
 
 
@@ -70,25 +72,26 @@ def fit_logistic(train: DataFrame, *, label: str, columns: list[str], max_iter:
 
 
 def fit_forest(train: DataFrame, *, label: str, columns: list[str], seed: int, trees: int = 300,
-               min_leaf: int = 2, tasks: int = FIT_TASKS) -> PipelineModel:
-    """A forest that depends on the rows, the seed and ``tasks`` alone."""
-    assembler = VectorAssembler(inputCols=list(columns), outputCol="__x")
-    learner = RandomForestClassifier(**_COLUMNS, numTrees=trees, minInstancesPerNode=min_leaf, maxDepth=30,
-                                     featureSubsetStrategy="sqrt", seed=seed)
-    return _train(train, label, list(columns), [assembler], learner, tasks)
+               min_leaf: int = 2) -> R.Forest:
+    """A forest that depends on the rows and the seed alone."""
+    return R.fit(train, label=label, columns=columns, seed=seed, trees=trees, min_leaf=min_leaf)
 
 
-def apply_model(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def apply_model(model: PipelineModel | R.Forest, rows: DataFrame) -> DataFrame:
     """``rows`` with a column ``pred``."""
     return model.transform(rows).select(*rows.columns, "pred")
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: PipelineModel | R.Forest, path: str) -> None:
+    if isinstance(model, R.Forest):
+        model.save(path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> PipelineModel | R.Forest:
+    spark = SparkSession.active()
+    return R.load(spark, path) if R.is_forest(spark, path) else PipelineModel.load(path)
 
 
 def coefficients(model: PipelineModel, columns: list[str], order: list[str]) -> DataFrame:
@@ -136,8 +139,10 @@ def cross_validate(train: DataFrame, fits: dict, *, id_col: str, group: str, lab
         preds = apply_model(model, rows.where(F.col("fold") == fold))
         return [(name, fold, r["truth"], r["pred"], r["n"]) for r in pair_counts(preds, truth=label).collect()]
 
+    # Each job in a copy of the context, so that what it writes is deleted with the rest.
+    jobs = [(copy_context(), (n, f)) for n in fits for f in range(folds)]
     with ThreadPoolExecutor(parallel) as pool:
-        found = [row for some in pool.map(one, [(n, f) for n in fits for f in range(folds)]) for row in some]
+        found = [row for some in pool.map(lambda j: j[0].run(one, j[1]), jobs) for row in some]
     pairs = spark.createDataFrame(found, "model string, fold int, truth string, pred string, n bigint")
     return cv_scores(scores(pairs, ["model", "fold"]), split)
 
