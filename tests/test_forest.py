@@ -90,6 +90,21 @@ def test_the_driver_holds_few_nodes_and_the_layout_does_not_matter(spark):
     assert preds(R.fit(train, label="label", columns=COLUMNS, seed=4, trees=12), test) != want
 
 
+def test_one_layout_for_all_partitionings_and_any_number_of_tasks(spark):
+    """Rows that come twice count twice wherever they lie, and tasks follow the session."""
+    rows = clouds(spark, 500, 3)
+    rows = rows.unionByName(rows.where("id % 3 = 0"))
+    fits = [M.fit_forest(rows.repartition(n), label="label", columns=COLUMNS, seed=2, trees=6) for n in (1, 9)]
+    assert preds(fits[0], rows) == preds(fits[1], rows)
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "11")
+        other = M.fit_forest(rows, label="label", columns=COLUMNS, seed=2, trees=30)
+        assert len([f for f in other.parts.inputFiles()]) > 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+
+
 def test_as_good_as_the_learner_of_spark(spark):
     rows = clouds(spark, 4000, 2)
     train, test = rows.where("id % 4 <> 0"), rows.where("id % 4 = 0")
