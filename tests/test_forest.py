@@ -105,6 +105,17 @@ def test_one_layout_for_all_partitionings_and_any_number_of_tasks(spark):
         spark.conf.set("spark.sql.shuffle.partitions", tasks)
 
 
+def test_a_fit_takes_few_jobs(spark):
+    """Not a job per level of the trees, of which cross-validation would pay for every fold."""
+    rows, sc = clouds(spark), spark.sparkContext
+    try:
+        sc.setJobGroup("few-jobs", "")
+        M.fit_forest(rows, label="label", columns=COLUMNS, seed=3, trees=8)
+        assert 0 < len(sc.statusTracker().getJobIdsForGroup("few-jobs")) < 20
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_as_good_as_the_learner_of_spark(spark):
     rows = clouds(spark, 4000, 2)
     train, test = rows.where("id % 4 <> 0"), rows.where("id % 4 = 0")
