@@ -1,9 +1,10 @@
 """Nearest centroid among many classes: blocks of classes, the least distance per row.
 
 No row ever holds all classes. Classes that lie close together share a block
-of bounded size, and a row is only held against blocks whose bounding box may
-have a nearer class than the best of the block nearest to it. So the result is
-that of all pairs, while each row meets a few blocks.
+of bounded size, blocks that lie close together share a larger box, and so on
+up to a few. A row goes down these boxes, and is only held against blocks whose
+boxes may have a nearer class than the best of the block first reached. So the
+result is that of all pairs, while each row meets a few boxes per level.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ from pyspark.sql import functions as F
 from corpusmill.operators.centroid import BROADCAST_NUMBERS
 from corpusmill.runtime import materialise
 
-# Classes per block, about: the root of their number between these, as a row meets all boxes and some blocks.
-LEAST_BLOCK, LARGEST_BLOCK = 16, 256
+# Classes per block, about: the root of their number between these.
+LEAST_BLOCK, LARGEST_BLOCK = 16, 64
+# Boxes inside a larger one, about; at most four times as many are the first that a row meets.
+FAN = 64
 # The columns along which classes are put into blocks, at most.
 _SPLIT_DIMS = 4
-# Copies of the blocks in a join that cannot send them to every task, so that no block's rows are one task's.
+# Copies of the first boxes in a join that cannot send them to every task, so that a model's rows are not one task's.
 _SALTS = 16
 
 
@@ -46,9 +49,9 @@ def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def class_blocks(stats: DataFrame, known: DataFrame, size: int, by: list[str] = (), block: int | None = None) -> DataFrame:
-    """``(by.., block, label, c0, c1, ..)`` from ``class_stats`` of ``size`` columns and their ``scales``.
+    """``(by.., up1, up2, .., block, label, c0, c1, ..)`` from ``class_stats`` of ``size`` columns and their ``scales``.
 
-    A row per class with its standardised mean. Classes without a value in some
+    ``up1`` is the box around the block, ``up2`` the one around that. A row per class with its standardised mean. Classes without a value in some
     column have no distance and are left out. Blocks are cells between
     quantiles of the columns in which classes differ most; a cell with too many
     classes is dealt out by a hash of the label.
@@ -69,20 +72,47 @@ def class_blocks(stats: DataFrame, known: DataFrame, size: int, by: list[str] =
     dims = [j for j in dims if spread[str(j)] > spread[str(dims[0])] / 4] or dims[:1]
     parts = math.ceil(math.ceil(most / block) ** (1 / len(dims)))
     shares = [i / parts for i in range(1, parts)]
-    cell = F.lit("")
+    at = F.array(F.lit(0))
     if shares:
         cuts = classes.agg(*[F.percentile_approx(F.get("centroid", F.lit(j)), shares).alias(str(j)) for j in dims]).first()
-        cell = F.concat_ws(":", *[_cuts_below(cuts[str(j)], F.get("centroid", F.lit(j))).cast("string") for j in dims])
-    placed = classes.withColumn("__cell", cell)
+        at = F.array(*[_cuts_below(cuts[str(j)], F.get("centroid", F.lit(j))) for j in dims])
+    width, wide_by, upper = 1, max(2, int(FAN ** (1 / len(dims)) + 1e-9)), []
+    while math.ceil(parts / width) ** len(dims) > 4 * FAN:
+        width *= wide_by
+        upper.append(_coarser("__at", width))
+    placed = classes.withColumn("__at", at).withColumn("__cell", F.concat_ws(":", F.col("__at").cast("array<string>")))
+    placed = placed.withColumns({f"up{i}": up for i, up in enumerate(upper, 1)})
     counts = placed.groupBy(*by, "__cell").agg(F.ceil(F.count("*") / block).alias("__parts"))
     meets = [F.col(f"p.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (*by, "__cell")]
     dealt = placed.alias("p").join(counts.alias("c"), meets).select(
-        *[F.col(f"p.{c}").alias(c) for c in by], "label", "centroid",
+        *[F.col(f"p.{c}").alias(c) for c in by], *[f"up{i}" for i in range(1, len(upper) + 1)], "label", "centroid",
         F.xxhash64(F.col("p.__cell"), F.pmod(F.xxhash64("label"), F.col("__parts"))).alias("block"))
-    return materialise(dealt.select(*by, "block", "label", *[F.get("centroid", F.lit(j)).alias(f"c{j}") for j in range(size)]),
+    return materialise(dealt.select(*dealt.columns[:-3], "block", "label", *[F.get("centroid", F.lit(j)).alias(f"c{j}") for j in range(size)]),
                        "class-blocks")
 
 
+def _coarser(at: str, width: int) -> Column:
+    """A number for the larger cell, ``width`` cells wide, that the place ``at`` of a cell lies in."""
+    return F.xxhash64(F.transform(at, lambda i: F.floor(i / width)))
+
+
+def box_levels(classes: DataFrame, size: int, by: list[str] = ()) -> list[DataFrame]:
+    """``(by.., box, id, low0, high0, ..)`` per level, from the largest boxes, which have no ``box`` around them, to the blocks.
+
+    A box is put together from those inside it, so it covers them.
+    """
+    edges = [(f"{name}{j}", f) for j in range(size) for name, f in (("low", F.min), ("high", F.max))]
+    ups = [c for c in classes.columns if c.startswith("up") and c not in by]
+    inner = classes.select(*by, *ups, F.col("block").alias("id"), *[F.col(f"c{n[len(n.rstrip('0123456789')):]}").alias(n) for n, _ in edges])
+    levels = []
+    while True:
+        boxes = materialise(inner.groupBy(*by, "id").agg(*[F.max(u).alias(u) for u in ups], *[f(n).alias(n) for n, f in edges]), "boxes")
+        levels.insert(0, boxes.select(*by, *[F.col(u).alias("box") for u in ups[:1]], "id", *[n for n, _ in edges]))
+        if not ups:
+            return levels
+        inner = boxes.drop("id").withColumnRenamed(ups.pop(0), "id")
+
+
 def _cuts_below(cuts: list[float], value: Column) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < value))
 
@@ -105,16 +135,16 @@ def _least(size: int) -> Column:
     return F.sqrt(_total([F.pow(g, 2) for g in gaps])) * F.lit(1 - 1e-9)
 
 
-def _meet(rows: DataFrame, right: DataFrame, keys: list[str], small: bool) -> DataFrame:
-    """Equal keys side by side; ``right`` goes to every task if it is small, else a key's rows are dealt out."""
+def _meet(rows: DataFrame, right: DataFrame, keys: list[str], small: bool, salted: bool = False) -> DataFrame:
+    """Equal keys side by side; ``right`` goes to every task if it is small, else it may be ``salted`` to deal a key's rows out."""
     right = right.withColumnsRenamed({c: f"__{c}" for c in right.columns if c not in keys})
     right = right.withColumnsRenamed({k: f"__j_{k}" for k in keys})
     on = F.lit(True)
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"__j_{k}"))
     drop = [f"__j_{k}" for k in keys]
-    if small:
-        return rows.join(F.broadcast(right), on).drop(*drop)
+    if small or not salted:
+        return rows.join(F.broadcast(right) if small else right, on).drop(*drop)
     rows = rows.withColumn("__salt", F.pmod(F.xxhash64(*[c for c in rows.columns if c.startswith("__z")]), F.lit(_SALTS)))
     right = right.withColumn("__j_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     return rows.join(right, on & (F.col("__salt") == F.col("__j_salt"))).drop(*drop, "__salt", "__j_salt")
@@ -129,33 +159,37 @@ def predict_many(df: DataFrame, stats: DataFrame, *, columns: list[str], key: li
     value, or without a class, gets null. Boxes and classes are sent to every
     task as long as they have at most ``numbers`` numbers.
 
-    Three rounds of plain columns: the block with the nearest box, the least
-    distance in it, and the classes within this distance in all blocks whose
-    box reaches so far.
+    Rounds of plain columns: down to the block with the nearest boxes, the least
+    distance in it, down again to all blocks whose boxes reach so far, and the
+    classes within this distance in them.
     """
     by, size = list(by), len(columns)
     stats = materialise(stats, "class-stats")
     known = materialise(scales(stats, by), "scales")
     classes = class_blocks(stats, known, size, by, block)
-    boxes = materialise(classes.groupBy(*by, "block").agg(
-        F.count("*").alias("n"), *[f(f"c{j}").alias(f"{name}{j}") for j in range(size)
-                                   for name, f in (("low", F.min), ("high", F.max))]), "boxes")
-    held = boxes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("classes"), F.count("*").alias("blocks")).first()
-    few_boxes, few_classes = held["blocks"] * 2 * size <= numbers, held["classes"] * size <= numbers
-    boxes = boxes.drop("n")
+    levels = [(boxes, boxes.count() * 2 * size <= numbers) for boxes in box_levels(classes, size, by)]
+    few_classes = classes.count() * size <= numbers
+    classes = classes.select(*by, "block", "label", *[f"c{j}" for j in range(size)])
     wide = known.groupBy(*by).agg(_listed("mean").alias("means"), _listed("scale").alias("scales"))
     scaled = _meet(df, wide, by, True)  # one row per model
     z = [((F.col(c).cast("double") - F.get("__means", F.lit(j))) / F.get("__scales", F.lit(j))).alias(f"__z{j}") for j, c in enumerate(columns)]
-    # Written once: three rounds read the rows, and however small they are, all tasks take part in comparing them.
+    # Written once: several rounds read the rows, and however small they are, all tasks take part in comparing them.
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = materialise(scaled.select(*dict.fromkeys([*key, *by]), *z).repartition(n, *key), "rows")
     rows = rows.where(" AND ".join(f"__z{j} IS NOT NULL" for j in range(size)))
-    near = _meet(rows, boxes, by, few_boxes).select(*rows.columns, F.col("__block").alias("block"), _least(size).alias("__least"))
-    near = near.groupBy(*dict.fromkeys([*key, *by]), *[f"__z{j}" for j in range(size)]).agg(F.min_by("block", "__least").alias("block"))
-    first = _meet(near, classes, [*by, "block"], few_classes).groupBy(*near.drop("block").columns).agg(
-        F.min(_distance(size)).alias("__reach"))
-    reached = _meet(first, boxes, by, few_boxes).where(_least(size) <= F.col("__reach")).select(
-        *first.columns, F.col("__block").alias("block"))
+
+    def inside(some: DataFrame, boxes: DataFrame, few: bool) -> DataFrame:
+        nested = "box" in boxes.columns
+        return _meet(some, boxes, [*by, "box"] if nested else by, few, salted=not nested).withColumnRenamed("__id", "__box")
+
+    near = rows
+    for boxes, few in levels:
+        near = inside(near, boxes, few).groupBy(*rows.columns).agg(F.min_by("__box", _least(size)).alias("box"))
+    near = near.withColumnRenamed("box", "block")
+    reached = first = _meet(near, classes, [*by, "block"], few_classes).groupBy(*rows.columns).agg(F.min(_distance(size)).alias("__reach"))
+    for boxes, few in levels:
+        reached = inside(reached, boxes, few).where(_least(size) <= F.col("__reach")).select(*first.columns, F.col("__box").alias("box"))
+    reached = reached.withColumnRenamed("box", "block")
     best = (_meet(reached, classes, [*by, "block"], few_classes).withColumn("__d", _distance(size))
             .where(F.col("__d") <= F.col("__reach")).groupBy(*key).agg(F.min(F.struct("__d", "__label")).alias("__best")))
     best = best.select(*[F.col(k).alias(f"__j_{k}") for k in key], F.col("__best")["__label"].alias(out))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.operators import centroid as N
+from corpusmill.operators import nearest
 from corpusmill.operators.nearest import predict_many
 
 COLUMNS = ["x", "y", "w"]
@@ -78,3 +79,23 @@ def test_a_row_meets_few_classes_and_none_without_classes(spark):
     plan = predict_many(r, N.class_stats(t, label="label", columns=COLUMNS), columns=COLUMNS,
                         key=["id"])._jdf.queryExecution().executedPlan().toString()
     assert "collect_list" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("numbers", [0, 10**6])
+def test_boxes_within_boxes(spark, monkeypatch, numbers):
+    """With many blocks a row meets a few boxes of every level, and its class is still the nearest of all."""
+    monkeypatch.setattr(nearest, "FAN", 3)
+    train, rows = fixture(5, 150, 1)
+    t = spark.createDataFrame(train, "m string, label string, x double, y double, w double")
+    r = spark.createDataFrame(rows, "m string, id long, x double, y double, w double")
+    stats = N.class_stats(t, label="label", columns=COLUMNS, by=["m"])
+    classes = nearest.class_blocks(stats, nearest.scales(stats, ["m"]), 3, ["m"], 2)
+    levels = nearest.box_levels(classes, 3, ["m"])
+    counts = [b.count() for b in levels]
+    assert len(levels) >= 3 and counts[0] <= 2 * 4 * 3 and counts == sorted(counts) and counts[-1] > 60
+    for outer, inner in zip(levels, levels[1:]):
+        lost = inner.join(outer, (inner["m"] == outer["m"]) & (inner["box"] == outer["id"]) & (outer["low0"] <= inner["low0"])
+                          & (inner["high2"] <= outer["high2"]), "left_anti")
+        assert lost.count() == 0
+    got = predict_many(r, stats, columns=COLUMNS, key=["m", "id"], by=["m"], block=2, numbers=numbers)
+    assert {(g["m"], g["id"]): g["pred"] for g in got.collect()} == plain(train, rows)
