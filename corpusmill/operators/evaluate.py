@@ -139,9 +139,20 @@ def cross_validate(train: DataFrame, *, id_col: str, group: str, label: str, col
     """
     marked = materialise(with_cv_folds(train, id_col=id_col, group=group, label=label, folds=folds, seed=seed,
                                        grouped=grouped).select("fold", label, *columns), "folds")
-    preds = fold_predictions(marked, label=label, columns=columns, fold="fold", folds=folds)
-    per_fold = scores(pair_counts(preds, truth="truth", by=["model", "fold"]), ["model", "fold"])
-    return cv_scores(per_fold, GROUPED if grouped else RANDOM)
+    return cross_validate_folds(marked, label=label, columns=columns, fold="fold", folds=folds, split=GROUPED if grouped else RANDOM)
+
+
+def cross_validate_folds(marked: DataFrame, *, label: str, columns: list[str], fold: str, folds: int, split: str) -> DataFrame:
+    """The same over written rows that know their fold."""
+    preds = fold_predictions(marked, label=label, columns=columns, fold=fold, folds=folds)
+    return cv_scores(scores(pair_counts(preds, truth="truth", by=["model", fold]), ["model", fold]), split)
+
+
+def with_both_folds(train: DataFrame, *, id_col: str, group: str, label: str, columns: list[str], folds: int, seed: int) -> DataFrame:
+    """``(label, columns.., <GROUPED>, <RANDOM>)``: the fold of either kind. Written once, as all models read it."""
+    rows = with_random_folds(train.select(id_col, group, label, *columns), id_col=id_col, label=label, folds=folds, seed=seed, out=RANDOM)
+    rows = with_group_folds(rows, group=group, label=label, folds=folds, seed=seed, out=GROUPED)
+    return materialise(rows.select(label, *columns, GROUPED, RANDOM), "folds")
 
 
 def best_model(cv: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from corpusmill.operators import catalog as cat
 from corpusmill.operators import centroid as N
 from corpusmill.operators import evaluate as E
 from corpusmill.operators import folds as D
+from corpusmill.operators import forest as R
 from corpusmill.operators import groups as G
 from corpusmill.operators import models as M
 from corpusmill.operators import quota as Q
@@ -18,7 +19,7 @@ from corpusmill.operators.characters import character_counts, mention_counts
 from corpusmill.operators.importance import permutation_importance
 from corpusmill.operators.tokens import gazetteer_mentions
 from corpusmill.params import Settings, lexicon
-from corpusmill.runtime import computed_once, materialise, scratch, spread
+from corpusmill.runtime import at_once, computed_once, materialise, scratch, spread
 from corpusmill.sources import tables as T
 from corpusmill.sources.catalog import CATALOG_COLUMNS, read_catalog, require_columns
 
@@ -145,25 +146,39 @@ def build_features(corpus: DataFrame, texts: DataFrame, out: str, settings: Sett
 
 
 def all_cross_validation(train: DataFrame, *, id_col: str, group: str, label: str, columns: list[str],
-                         settings, fits: dict) -> DataFrame:
-    """Both kinds of folds for all models, as one table."""
-    parts = []
+                         settings, fits: dict, marked: DataFrame | None = None) -> DataFrame:
+    """Both kinds of folds for all models, as one table.
+
+    Regressions of all folds are fitted together, and so are forests; other
+    learners take a fit per fold. ``marked``, the rows with their folds, may be given.
+    """
+    folds, fit = dict(folds=settings.cv_folds, seed=settings.seed), dict(label=label, columns=columns)
+    if marked is None:
+        marked = E.with_both_folds(train, id_col=id_col, group=group, **fit, **folds)
+    parts, learned = [], []
     for grouped, name in ((True, E.GROUPED), (False, E.RANDOM)):
-        common = dict(id_col=id_col, group=group, label=label, folds=settings.cv_folds, seed=settings.seed,
-                      grouped=grouped)
-        parts.append(E.cross_validate(train, columns=columns, **common))
-        # The regressions of all folds are fitted together; other learners take a fit per fold.
+        parts.append(E.cross_validate_folds(marked, fold=name, folds=settings.cv_folds, split=name, **fit))
         if E.LOGISTIC in fits:
-            parts.append(M.cross_validate_logistic(train, columns=columns, split=name, max_iter=settings.max_iter, **common))
-        others = {n: f for n, f in fits.items() if n != E.LOGISTIC}
+            learned.append(lambda name=name: E.cv_scores(M.logistic_scores_by_fold(
+                marked.withColumnRenamed(name, "fold"), {E.LOGISTIC: columns}, folds=settings.cv_folds, max_iter=settings.max_iter, **fit), name))
+        others = {n: f for n, f in fits.items() if n not in (E.LOGISTIC, E.FOREST)}
         if others:
-            parts.append(M.cross_validate(train, others, split=name, **common))
+            learned.append(lambda name=name, grouped=grouped, others=others: M.cross_validate(
+                train, others, id_col=id_col, group=group, label=label, split=name, grouped=grouped, **folds))
+    if E.FOREST in fits:
+        learned.append(lambda: M.cross_validate_forests(marked, fit_forests(marked, settings=settings, **fit), label=label))
     out = parts[0]
-    for part in parts[1:]:
+    for part in [*parts[1:], *(at_once(*learned) if learned else [])]:
         out = out.unionByName(part)
     return out
 
 
+def fit_forests(marked: DataFrame, *, label: str, columns: list[str], settings) -> R.Forests:
+    """The forest of all rows, and those of the folds of either kind."""
+    return R.fit_many(marked, M.forest_specs(settings.cv_folds), label=label, columns=columns, seed=settings.seed,
+                      trees=settings.trees, min_leaf=settings.min_leaf)
+
+
 def test_predictions(train: DataFrame, test: DataFrame, *, label: str, columns: list[str],
                      fitted: dict) -> DataFrame:
     """The test rows with a column ``pred_<model>`` for every model."""
@@ -189,12 +204,19 @@ def run_experiment(features: DataFrame, settings: Settings, *, id_col: str = "id
                    marked.where(F.col("__part") == 0).drop("__part"))
     D.assert_no_leak(train, test, group=group)
 
-    fits = M.default_fits(columns, label, ev)
-    cv = materialise(all_cross_validation(train, id_col=id_col, group=group, label=label, columns=columns,
-                                          settings=ev, fits=fits), "cv")
+    fits, fit = M.default_fits(columns, label, ev), dict(label=label, columns=columns)
+    folded = E.with_both_folds(train, id_col=id_col, group=group, folds=ev.cv_folds, seed=ev.seed, **fit)
+    # The forest of all training rows is grown together with those of the folds.
+    forests, regression, cv, ablation = at_once(
+        lambda: fit_forests(folded, settings=ev, **fit),
+        lambda: fits[E.LOGISTIC](train),
+        lambda: all_cross_validation(train, id_col=id_col, group=group, settings=ev, marked=folded,
+                                     fits={n: f for n, f in fits.items() if n != E.FOREST}, **fit),
+        lambda: M.ablation_of_folds(folded.withColumnRenamed(E.GROUPED, "fold"), folds=ev.cv_folds, max_iter=ev.max_iter, **fit))
+    fitted = {E.LOGISTIC: regression, E.FOREST: forests[0]}
+    cv = materialise(cv.unionByName(M.cross_validate_forests(folded, forests, label=label)), "cv")
     best = E.best_model(cv).first()["model"]
 
-    fitted = {name: fit(train) for name, fit in fits.items()}
     preds = materialise(test_predictions(train, test, label=label, columns=columns, fitted=fitted), "predictions")
     names = {m: E.pred_column(m) for m in (E.BASELINE, E.CENTROID, *fitted)}
     pairs = E.pair_counts(E.by_model(preds, names), truth=label, by=["model"])
@@ -208,8 +230,6 @@ def run_experiment(features: DataFrame, settings: Settings, *, id_col: str = "id
         predict = lambda rows: M.apply_model(model, rows)
     importance = permutation_importance(test, predict, id_col=id_col, label=label, columns=columns,
                                         repeats=ev.repeats, seed=ev.seed)
-    ablation = M.feature_ablation(train, id_col=id_col, group=group, label=label, columns=columns,
-                                  folds=ev.cv_folds, seed=ev.seed, max_iter=ev.max_iter)
     return {
         "model": model, "best": best, "cv_results": cv, "test_results": scores, "test_predictions": preds,
         "reports": E.class_report(pairs, order, ["model"]), "confusion": E.confusion(pairs, order, ["model"]),

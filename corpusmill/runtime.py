@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +88,15 @@ def scratch(spark: SparkSession):
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def at_once(*jobs: Callable) -> list:
+    """The results of jobs that do not need each other, run side by side.
+
+    Each runs in a copy of the context, so that what it writes is deleted with the rest.
+    """
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [run.result() for run in [pool.submit(copy_context().run, job) for job in jobs]]
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows of an input out to as many tasks as the session asks for.
 
