@@ -368,13 +368,15 @@ def _tasks(spark: SparkSession, work: int, each: int) -> int:
     return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(2 * spark.sparkContext.defaultParallelism, work // each)))
 
 
-def _sampled(rows: DataFrame, specs: list[Spec], sizes: list[int], folds: dict[str, str], names: list[str], seed: int) -> list[tuple]:
+def _sampled(rows: DataFrame, specs: list[Spec], sizes: list[int], folds: dict[str, str], names: list[str], labels: list[str],
+             seed: int) -> list[tuple]:
     """Per forest the values and sizes of its distinct rows, at most ``CUT_ROWS``: the first in the order of a hash.
 
     Only rows below a hash that leaves a few more than that are fetched. Should
     it leave fewer, as copies in several folds are one row, it is raised.
     """
-    keyed = rows.withColumn("key", F.xxhash64(F.lit(seed), *names))
+    keyed = rows.withColumn("key", F.xxhash64(F.lit(seed), *names)).withColumn(
+        "label", F.array_position(F.array(*map(F.lit, labels)), F.col("label")))
     shares = [min(1.0, 1.1 * CUT_ROWS / n) for n in sizes]
     while True:
         ends = [min(int(share * 2**64), 2**64 - 1) - 2**63 for share in shares]
@@ -383,7 +385,7 @@ def _sampled(rows: DataFrame, specs: list[Spec], sizes: list[int], folds: dict[s
         found = keyed.where(reduce(Column.__or__, wanted)).toArrow()
         key, n = found["key"].to_numpy(), found["n"].to_numpy()
         values = np.stack([found[x].to_numpy() for x in names], axis=1)
-        label = np.unique(np.array(found["label"].to_pylist(), object), return_inverse=True)[1]
+        label = found["label"].to_numpy()
         order = np.lexsort((label, *values.T[::-1], key))
         outside = {(s.fold, s.out): np.array(pc.fill_null(pc.not_equal(found[folds[s.fold]], s.out), False))
                    for s in specs if s.fold is not None}
@@ -551,7 +553,7 @@ def fit_many(rows: DataFrame, specs: list[Spec], *, label: str, columns: list[st
     labels = [sorted({r["label"] for r in some}) for some in own]
     sizes = [sum(r["n"] for r in some) for some in own]
     cuts = [[_cuts(values[:, j], n) for j in range(len(columns))]
-            for values, n in _sampled(rows, specs, sizes, folds, names, seed)]
+            for values, n in _sampled(rows, specs, sizes, folds, names, sorted({r["label"] for r in known}), seed)]
     shape = Shape(len(columns), max(map(len, labels)), trees, seed, min_leaf)
     learns = [F.col(f"__out_{g}").isNull() | (F.col(f"__out_{g}") != F.col(g)) for g in folds.values()]
     number = F.array_position("__labels", F.col("label")) - 1

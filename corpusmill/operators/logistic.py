@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,13 +68,14 @@ def _start(spec: Spec, parts: list, fold: str, label: str, labels: list, columns
 
 
 def _table(rows: DataFrame, models: list[Fitted]) -> DataFrame:
-    """A row per model: its number, fold, and flat columns of its numbers."""
+    """A row per model: its number, fold, and flat columns of its numbers. As an Arrow table, it costs no job."""
     k, p = models[0].weights.shape
-    data = [(i, m.spec.fold, *m.mean.tolist(), *(1 / m.scale).tolist(), *m.present.tolist(), *m.weights.ravel().tolist())
-            for i, m in enumerate(models)]
-    names = ([f"__m{j} double" for j in range(p - 1)] + [f"__s{j} double" for j in range(p - 1)]
-             + [f"__on{y} boolean" for y in range(k)] + [f"__w{y}_{j} double" for y in range(k) for j in range(p)])
-    return F.broadcast(rows.sparkSession.createDataFrame(data, "__model int, __fold int, " + ", ".join(names)))
+    return F.broadcast(rows.sparkSession.createDataFrame(pa.table({
+        "__model": pa.array(range(len(models)), pa.int32()), "__fold": pa.array([m.spec.fold for m in models], pa.int32()),
+        **{f"__m{j}": pa.array([float(m.mean[j]) for m in models], pa.float64()) for j in range(p - 1)},
+        **{f"__s{j}": pa.array([float(1 / m.scale[j]) for m in models], pa.float64()) for j in range(p - 1)},
+        **{f"__on{y}": pa.array([bool(m.present[y]) for m in models], pa.bool_()) for y in range(k)},
+        **{f"__w{y}_{j}": pa.array([float(m.weights[y, j]) for m in models], pa.float64()) for y in range(k) for j in range(p)}})))
 
 
 def _with_chances(rows: DataFrame, models: list[Fitted], on: str) -> DataFrame:

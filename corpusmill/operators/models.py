@@ -156,9 +156,7 @@ def cross_validate_forests(rows: DataFrame, forests: R.Forests, *, label: str) -
     """Scores of forests of ``forest_specs`` on the folds they left out, by both kinds of folds."""
     preds = forests.predict_folds(rows, keep=[label])
     found = pair_counts(preds.withColumn("model", F.lit(FOREST)), truth=label, by=["split", "model", "fold"])
-    per_fold = scores(found, ["split", "model", "fold"])
-    parts = [cv_scores(per_fold.where(F.col("split") == split), split) for split in (GROUPED, RANDOM)]
-    return parts[0].unionByName(parts[1])
+    return cv_scores(scores(found, ["split", "model", "fold"]), None)
 
 
 def logistic_scores_by_fold(rows: DataFrame, sets: dict[str, list[str]], *, label: str, columns: list[str], folds: int,
