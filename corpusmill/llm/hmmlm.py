@@ -26,7 +26,7 @@ from corpusmill.llm.batches import small_batches
 from corpusmill.llm.hmm import COUNT, Hmm, cluster_sums, counts_of, expected_sums, log10_forward, maximise, mixture, sticky
 from corpusmill.llm.langid import held_out
 from corpusmill.llm.wordcodes import Words, chunks, words
-from corpusmill.runtime import materialise
+from corpusmill.runtime import LONG_ROWS, materialise
 
 SYMBOLS = 1 << 19  # about so many are learned from together; forward-backward holds some 150 bytes for each
 LONG = 1024  # texts with more symbols are taken together with each other, or the few of a batch would add steps to all
@@ -134,7 +134,10 @@ def vocabulary(counts: DataFrame, texts: int, p: HmmLm) -> Vocabulary:
 
 
 def encode(docs: DataFrame, v: Vocabulary, p: HmmLm) -> DataFrame:
-    """Blocks of texts as packed rows, written: symbols under part -1, the codes of other words under their parts."""
+    """Blocks of texts as packed rows, written: symbols under part -1, the codes of other words under their parts.
+
+    Each kind has its own columns, so that the rounds of learning do not read the codes.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(v)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -158,13 +161,15 @@ def encode(docs: DataFrame, v: Vocabulary, p: HmmLm) -> DataFrame:
                 pa.array([block] * (1 + len(cut)), pa.int64()), pa.array([-1, *map(int, part[cut])], pa.int32()),
                 pa.array([batch.column(0).to_pylist(), *[None] * len(cut)], pa.list_(pa.int64())),
                 pa.array([batch.column(1).to_pylist(), *[None] * len(cut)], pa.list_(pa.bool_())),
-                pa.array([sequence.tobytes(), *(rare[a:b].tobytes() for a, b in zip(cut, ends, strict=True))], pa.binary()),
-                pa.array([bounds.astype(np.int64).tobytes(),
-                          *(text[a:b].tobytes() for a, b in zip(cut, ends, strict=True))], pa.binary()),
-            ], names=["block", "part", "doc_id", "held", "what", "whose"])
+                pa.array([sequence.tobytes(), *[None] * len(cut)], pa.binary()),
+                pa.array([bounds.astype(np.int64).tobytes(), *[None] * len(cut)], pa.binary()),
+                pa.array([None, *(rare[a:b].tobytes() for a, b in zip(cut, ends, strict=True))], pa.binary()),
+                pa.array([None, *(text[a:b].tobytes() for a, b in zip(cut, ends, strict=True))], pa.binary()),
+            ], names=["block", "part", "doc_id", "held", "what", "whose", "codes", "owners"])
 
-    schema = "block long, part int, doc_id array<long>, held array<boolean>, what binary, whose binary"
-    return materialise(docs.select("doc_id", "held_out", "text").mapInArrow(run, schema), "encoded")
+    schema = ("block long, part int, doc_id array<long>, held array<boolean>, what binary, whose binary, "
+              "codes binary, owners binary")
+    return materialise(docs.select("doc_id", "held_out", "text").mapInArrow(run, schema), "encoded", LONG_ROWS)
 
 
 def _sequences(row) -> tuple[np.ndarray, np.ndarray]:
@@ -275,7 +280,7 @@ def baum_welch(encoded: DataFrame, texts: int, v: Vocabulary, p: HmmLm) -> Hmm:
 
 def rare_sums(encoded: DataFrame, counts: DataFrame, v: Vocabulary, p: HmmLm) -> DataFrame:
     """Per block and part of the vocabulary: sums of log10(c + 0.5) and known words, by text."""
-    asked = encoded.where("part >= 0").select("part", "block", "what", "whose")
+    asked = encoded.where("part >= 0").select("part", "block", "codes", "owners")
     known = counts.where(F.col("n") < max(1, p.share * v.tokens)).select(
         F.pmod("code", F.lit(v.parts)).cast("int").alias("part"), "code", "n")
     schema = "block long, part int, text binary, total binary, known binary"
@@ -287,8 +292,8 @@ def rare_sums(encoded: DataFrame, counts: DataFrame, v: Vocabulary, p: HmmLm) ->
         code, n = np.append(code[order], 0), np.append(n[order], 0.0)
         out = [[], [], [], [], []]
         for row in asked.to_pylist() if asked.num_rows else []:
-            want = np.frombuffer(row["what"], np.int64)
-            text = np.frombuffer(row["whose"], np.uint16 if len(row["whose"]) == 2 * len(want) else np.uint32)
+            want = np.frombuffer(row["codes"], np.int64)
+            text = np.frombuffer(row["owners"], np.uint16 if len(row["owners"]) == 2 * len(want) else np.uint32)
             at = np.searchsorted(code[:-1], want)
             c = np.where(code[at] == want, n[at], 0.0) if len(code) > 1 else np.zeros(len(want))
             c[at == len(code) - 1] = 0.0

@@ -55,8 +55,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` to the shared folder as Parquet and read it back.
+#: Parquet writers look at sizes only every hundred rows; a hundred long rows would be one page, held whole to be
+#: compressed and read. With these they look every few rows and end pages at 1 MB and row groups at 4 MB.
+LONG_ROWS = {"parquet.block.size": str(4 << 20), "parquet.block.size.row.check.min": "4",
+             "parquet.page.size.row.check.min": "4", "parquet.page.size.check.estimate": "false"}
+
+
+def materialise(df: DataFrame, name: str = "stage", options: dict[str, str] | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder as Parquet, with these options of the writer, and read it back.
 
     Used where several branches read one expensive result. Unlike a cached
     table the written one survives the loss of executors, and unlike a plain
@@ -67,7 +73,7 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     path = fresh_path(spark, name)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     kept = _scratch.get()
     if kept is not None:
         kept.append(path)
