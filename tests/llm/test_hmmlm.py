@@ -179,15 +179,15 @@ def test_a_task_learns_from_few_blocks_at_once():
 def test_learning_reads_no_codes_and_holds_few_blocks(spark):
     """A reader holds a row group's column at once, so row groups stay small and the codes have columns of their own."""
     p = H.HmmLm(part_words=1000)
-    rows = spark.range(0, 48, 1, 1).selectExpr(
+    rows = spark.range(0, 20, 1, 1).selectExpr(
         "id AS doc_id", "id % 3 = 0 AS held_out",
-        "array_join(transform(sequence(1, 150000), x -> concat(hex(x), if(x % 2 = 0, '', hex(id)))), ' ') AS text")
+        "array_join(transform(sequence(1, 100000), x -> concat(hex(x), if(x % 2 = 0, '', hex(id)))), ' ') AS text")
     words = H.count_words(rows, p)
-    blocks = H.encode(rows, H.vocabulary(words, 48, p), p)
+    blocks = H.encode(rows, H.vocabulary(words, 20, p), p)
     assert blocks.where("(part = -1) != (codes IS NULL) OR (part = -1) != (what IS NOT NULL)").count() == 0
-    assert blocks.where("part >= 0").selectExpr("sum(length(codes))").first()[0] == 48 * 150000 * 8
+    assert blocks.where("part >= 0").selectExpr("sum(length(codes))").first()[0] == 20 * 100000 * 8
     largest = 0
     for file in blocks.inputFiles():
         groups = pq.ParquetFile(file.removeprefix("file://")).metadata
         largest = max(largest, *(groups.row_group(i).total_byte_size for i in range(groups.num_row_groups)))
-    assert 0 < largest < 16e6
+    assert 0 < largest < 10e6
